@@ -15,6 +15,7 @@ from railtide.models import forest
 from railtide.operators import (
     asof, clean, encode, geo, journey, quality, stats, tracking,
 )
+from railtide.plans.train import prepared
 from railtide.session import scratch_path
 from railtide.sinks import files as sinks
 from railtide.sources import files as sources
@@ -57,7 +58,8 @@ def scan_parquet(spark, sf):
 @query
 def scan_weather(spark, sf):
     path = scratch_path(spark, "scan_weather")
-    v.weather(spark, sf).write.option("header", True).csv(path)
+    v.weather(spark, sf).write.option("header", True).option(
+        "timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
     return sources.read_weather_csv(spark, path)
 
 
@@ -532,9 +534,7 @@ TARGET = "dep_delay_s"
 
 
 def _model_table(spark, sf, names=mf.COMPACT_FEATURES):
-    df = v.features(spark, sf)
-    names = mf.vector_order(mf.feature_list(df, names))
-    return mf.prepare_features(df, names), names
+    return prepared(v.features(spark, sf), names)
 
 
 def _fitted(spark, sf, target=TARGET):

@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railtide.constants import RAW_COLUMNS
-from railtide.functions.times import hour_of_minutes, synthetic_datetime, with_delays_and_times
-from railtide.functions.values import is_rush_hour, journey_id
+from railtide.functions.times import synthetic_datetime, with_delays_and_times
+from railtide.functions.values import journey_id
 from railtide.operators.asof import add_weather
-from railtide.operators.clean import narrow_floats
 from railtide.operators.encode import encode_flags
-from railtide.operators.journey import historical_pattern, journey_features, weather_interactions
+from railtide.plans.features import build_features
+from railtide.session import store
 
 ORDER = ["dep_minutes", "row_key"]
 
@@ -131,9 +131,7 @@ def merged(spark: SparkSession, sf: str) -> DataFrame:
 
 def features(spark: SparkSession, sf: str) -> DataFrame:
     """The table models are trained on."""
-    df = journey_features(merged(spark, sf), ORDER)
-    df = weather_interactions(historical_pattern(df))
-    hour = hour_of_minutes(F.col("dep_minutes"))
-    df = encode_flags(df.withColumns({"hour": hour, "rush_hour": is_rush_hour(hour)}))
-    df = df.withColumns({"line_id_encoded": F.col("line_id"), "station_name_encoded": F.col("station_id")})
-    return narrow_floats(df)
+    df = store(encode_flags(merged(spark, sf)).withColumns({
+        "line_id_encoded": F.col("line_id"), "station_name_encoded": F.col("station_id"),
+        "line_text_encoded": F.substring("line_text", 3, 2).try_cast("int")}), "merged")
+    return build_features(df, ORDER)

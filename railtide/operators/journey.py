@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from railtide.constants import MAX_GROUP_ROWS, MISSING_COORDINATE
 from railtide.functions.times import floor_hours
 from railtide.functions.values import above, leg_distance
-from railtide.operators.clean import fill_numeric_zero
 from railtide.operators.ordering import range_chunks
 from railtide.operators.quantiles import as_lookup, exact_quantiles
 from railtide.operators.skew import attach_group_aggregates, split_hot_groups
@@ -23,7 +22,7 @@ FEATURES = [
 
 def journey_features(df: DataFrame, order: list[str], journey: str = "journey_id",
                      delay: str = "dep_delay_s", sentinel_as_null: bool = False,
-                     max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                     max_rows: int = MAX_GROUP_ROWS, counted_on: DataFrame | None = None) -> DataFrame:
     """Add the columns of ``FEATURES``; ``order`` must order the stops of a journey uniquely.
 
     A leg counts towards the stop it starts from, so the running distance of a stop already holds
@@ -31,9 +30,10 @@ def journey_features(df: DataFrame, order: list[str], journey: str = "journey_id
     the distance as they are.
 
     Journeys of up to ``max_rows`` stops are one window each. Longer ones are cut into consecutive
-    chunks, and each chunk gets from the others what its borders need.
+    chunks, and each chunk gets from the others what its borders need. Journeys are counted on
+    ``counted_on`` where that is a cheaper table with the same journeys.
     """
-    rest, hot, hot_rows = split_hot_groups(df, [journey], max_rows)
+    rest, hot, hot_rows = split_hot_groups(df, [journey], max_rows, counted_on)
     result = _whole_journeys(rest, journey, order, delay, sentinel_as_null)
     if hot is not None:
         split = _split_journeys(hot, journey, order, delay, sentinel_as_null,
@@ -151,8 +151,3 @@ def weather_interactions(df: DataFrame) -> DataFrame:
         "severe_weather": (severe[0] | severe[1]).cast("int"),
         "temp_dewpoint_diff": F.col("temperature_2m") - F.col("dewpoint_2m"),
     }).drop("_q")
-
-
-def fill_after_features(df: DataFrame) -> DataFrame:
-    """0 for every numeric null that is left once all features are there."""
-    return fill_numeric_zero(df)

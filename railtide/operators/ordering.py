@@ -5,17 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from railtide.session import cut
+from railtide.session import store
 
 
 def range_chunks(df: DataFrame, order: list, chunks: int, name: str = "chunk") -> DataFrame:
     """Cut the table into ``chunks`` consecutive ranges of ``order`` and number them.
 
     The number is the range partition, which a second evaluation could draw differently, so the
-    result is checkpointed.
+    result is stored.
     """
     ranged = df.repartitionByRange(chunks, *order)
-    return cut(ranged.withColumn(name, F.spark_partition_id()))
+    return store(ranged.withColumn(name, F.spark_partition_id()), "ranges")
 
 
 def ordered_index(df: DataFrame, order: list[str], name: str = "pos") -> DataFrame:

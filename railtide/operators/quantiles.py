@@ -44,20 +44,17 @@ def quantiles_of_counts(counts: DataFrame, probabilities: list[float], by: list[
         F.percentile_approx("value", grid, SKETCH_ACCURACY).alias("_cuts"),
         F.sum("n").alias("_total"))
     ranks = [F.lit(p) * (F.col("_total") - 1) for p in probabilities]
-    wanted = F.array_distinct(F.flatten(F.array(
-        *[F.array(F.floor(r), F.ceil(r)) for r in ranks])))
-    # One row per group and measure.
-    shape = shape.withColumn("_wanted", wanted)
+    wanted = F.array(*[f(r) for r in ranks for f in (F.floor, F.ceil)])
 
     bucketed = counts.join(F.broadcast(shape), group).withColumn(
         "_bucket", F.size(F.filter("_cuts", lambda cut: cut < F.col("value"))))
     sizes = bucketed.groupBy(*group, "_bucket").agg(
-        F.sum("n").alias("_size"), F.first("_wanted").alias("_wanted"))
+        F.sum("n").alias("_size"), F.first("_total").alias("_total"))
     # At most BUCKETS rows per group and measure.
     earlier = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     holding = (
         sizes.withColumn("_start", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
-        .where(F.exists("_wanted", lambda r: (r >= F.col("_start"))
+        .where(F.exists(wanted, lambda r: (r >= F.col("_start"))
                         & (r < F.col("_start") + F.col("_size"))))
         .select(*group, "_bucket", "_start")
     )

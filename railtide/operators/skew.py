@@ -22,12 +22,14 @@ def hot_groups(df: DataFrame, keys: list[str], max_rows: int = MAX_GROUP_ROWS) -
     return counts.where(F.col("n") > max_rows)
 
 
-def split_hot_groups(df: DataFrame, keys: list[str], max_rows: int = MAX_GROUP_ROWS):
+def split_hot_groups(df: DataFrame, keys: list[str], max_rows: int = MAX_GROUP_ROWS,
+                     counted_on: DataFrame | None = None):
     """``(rest, hot, hot_rows)``: rows of the groups that fit one task, and those that do not.
 
-    ``hot`` is None when every group fits.
+    ``hot`` is None when every group fits. ``counted_on`` is a table with the same groups that is
+    cheaper to count.
     """
-    found = hot_groups(df, keys, max_rows)
+    found = hot_groups(df if counted_on is None else counted_on, keys, max_rows)
     hot_rows = found.agg(F.sum("n")).first()[0]
     if not hot_rows:
         return df, None, 0

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -48,9 +48,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/railtide/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df):
-    """Cut lineage with a reliable checkpoint, so that a lost executor cannot change the rows."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
+def store(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write the table to the shared folder and read it back.
+
+    Cuts lineage so that a lost executor cannot change the rows, and later steps scan only the
+    columns they need instead of computing the table again.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
