@@ -23,17 +23,17 @@ def nearest_in_time(points: DataFrame, series: DataFrame, key: str, at: str, tim
         series.select(key, F.col(time).alias(at), row.alias("_row")))
     stacked = stacked.withColumn("_day", F.to_date(at))
 
-    edges = stacked.groupBy(key, "_day").agg(F.min("_row").alias("_first"), F.max("_row").alias("_last"))
+    own_time = F.when(F.col("_row").isNotNull(), F.col(at))
+    edges = stacked.groupBy(key, "_day").agg(F.min(own_time).alias("_first"), F.max(own_time).alias("_last"))
     # One row per key and day.
     earlier_days = Window.partitionBy(key).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
     later_days = Window.partitionBy(key).orderBy(F.desc("_day")).rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
+    borders = (
         edges.select(key, "_day", F.last("_last", ignorenulls=True).over(earlier_days).alias("_before"),
                      F.last("_first", ignorenulls=True).over(later_days).alias("_after"))
-        .select(key, "_day", F.explode(F.array("_before", "_after")).alias("_row"))
-        .where(F.col("_row").isNotNull())
-        .select(key, F.col("_row")[time].alias(at), "_row", "_day")
+        .select(key, "_day", F.explode(F.array("_before", "_after")).alias(time))
     )
+    carried = borders.join(series, [key, time]).select(key, F.col(time).alias(at), row.alias("_row"), "_day")
 
     is_point = F.col("_row").isNull()
     forwards = Window.partitionBy(key, "_day").orderBy(F.col(at), is_point)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from railtide.operators.quantiles import exact_quantiles
+from railtide.operators.stats import describe_values
 
 
 def weather_coverage(df: DataFrame, month: str = "dep_month", station: str = "station_id") -> DataFrame:
@@ -31,11 +31,7 @@ def stations_without_weather(df: DataFrame, station: str = "station_id") -> Data
 def time_diff_stats(df: DataFrame) -> DataFrame:
     """Mean, median, largest and smallest distance in time of the matched events."""
     matched = df.where("weather_station_found")
-    median = exact_quantiles(matched, ["time_diff_minutes"], [0.5]).select("q50").scalar()
-    diff = F.col("time_diff_minutes").cast("double")
-    return matched.agg(
-        F.avg(diff).alias("mean"), F.max(diff).alias("max"), F.min(diff).alias("min"),
-    ).select("mean", median.alias("median"), "max", "min")
+    return describe_values(matched, ["time_diff_minutes"], {0.5: "median"}).select("mean", "median", "max", "min")
 
 
 def dataset_profile(df: DataFrame) -> DataFrame:

@@ -28,6 +28,28 @@ def value_counts(df: DataFrame, measures: list[str], by: list[str] = ()) -> Data
     )
 
 
+def moments_of_counts(counts: DataFrame, by: list[str] = ()) -> DataFrame:
+    """Rows, mean, deviation, skew, excess kurtosis and range of each measure.
+
+    Skew and kurtosis are those of the whole population, the deviation that of a sample.
+    """
+    group = list(by) + ["measure"]
+    centre = counts.groupBy(*group).agg((F.sum(F.col("n") * F.col("value")) / F.sum("n")).alias("_mean"))
+    off = F.col("value") - F.col("_mean")
+    powers = {f"_m{k}": F.sum(F.col("n") * F.pow(off, k)) for k in (2, 3, 4)}
+    # One row per group and measure is broadcast.
+    sums = counts.join(F.broadcast(centre), group).groupBy(*group, "_mean").agg(
+        F.sum("n").alias("n"), F.min("value").alias("min"), F.max("value").alias("max"),
+        *[c.alias(name) for name, c in powers.items()])
+    n, m2 = F.col("n"), F.col("_m2")
+    return sums.select(
+        *group, "n", F.col("_mean").alias("mean"),
+        F.sqrt(F.try_divide(m2, n - 1)).alias("std"),
+        F.try_divide(F.col("_m3") / n, F.pow(m2 / n, 1.5)).alias("skew"),
+        (F.try_divide(F.col("_m4") / n, F.pow(m2 / n, 2)) - 3).alias("kurtosis"),
+        "min", "max")
+
+
 def quantile_name(p: float) -> str:
     return f"q{p * 100:g}".replace(".", "_")
 

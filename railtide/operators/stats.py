@@ -9,7 +9,7 @@ from railtide.constants import IMPACT_WEATHER
 from railtide.functions.times import hour_of_minutes
 from railtide.functions.values import day_period, delay_class, is_on_time, to_minutes
 from railtide.operators.quantiles import (
-    exact_quantiles, quantile_name, quantiles_of_counts, value_counts,
+    exact_quantiles, moments_of_counts, quantile_name, quantiles_of_counts, value_counts,
 )
 
 DELAYS = ["arr_delay_s", "dep_delay_s"]
@@ -43,7 +43,7 @@ def top_stations(stats: DataFrame, k: int = 15, station: str = "station_id") ->
 def station_mean_summary(stats: DataFrame) -> DataFrame:
     """Mean, median and deviation of the station means, in minutes."""
     means = [f"{d}_mean" for d in DELAYS]
-    return _moments(stats, means, {0.5: "median"}, {"mean": F.avg, "std": F.stddev_samp}, 60)
+    return describe_values(stats, means, {0.5: "median"}, 60).select("measure", "mean", "std", "median")
 
 
 def outlier_stations(stats: DataFrame) -> DataFrame:
@@ -53,28 +53,22 @@ def outlier_stations(stats: DataFrame) -> DataFrame:
     return stats.withColumn("_limit", limit).where(above).drop("_limit")
 
 
-def _moments(df: DataFrame, columns: list[str], quantiles: dict[float, str],
-             moments: dict, divisor: float) -> DataFrame:
-    """Moments and quantiles of each column, one row per column, from its value counts."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value"))
-                      for c in columns])
-    tall = df.select(F.inline(pairs)).where(F.col("value").isNotNull())
-    basic = tall.groupBy("measure").agg(*[f("value").alias(n) for n, f in moments.items()])
-    exact = exact_quantiles(df, columns, list(quantiles)).drop("n")
-    scaled = [n for n in moments if n not in ("skew", "kurtosis")]
-    # Both sides have one row per measure.
-    return basic.join(F.broadcast(exact), "measure").select(
-        "measure",
-        *[(F.col(n) / divisor).alias(n) if n in scaled else F.col(n) for n in moments],
-        *[(F.col(quantile_name(p)) / divisor).alias(n) for p, n in quantiles.items()])
+def describe_values(df: DataFrame, columns: list[str], quantiles: dict[float, str],
+                    unit: float = 1) -> DataFrame:
+    """Moments, range and named quantiles of each column divided by ``unit``, one row per column."""
+    counts = value_counts(df, columns)
+    exact = quantiles_of_counts(counts, list(quantiles)).drop("n")
+    # Both sides have one row per column.
+    return moments_of_counts(counts).join(F.broadcast(exact), "measure").select(
+        "measure", "n", *[(F.col(c) / unit).alias(c) for c in ("mean", "std", "min", "max")],
+        "skew", "kurtosis",
+        *[(F.col(quantile_name(p)) / unit).alias(name) for p, name in quantiles.items()])
 
 
 def delay_stats(df: DataFrame, unit_seconds: float = 1) -> DataFrame:
     """Mean, median, deviation, skew, excess kurtosis, 90 % and 95 % quantile of both delays."""
-    return _moments(
-        df, DELAYS, {0.5: "median", 0.9: "q90", 0.95: "q95"},
-        {"mean": F.avg, "std": F.stddev_samp, "skew": F.skewness, "kurtosis": F.kurtosis},
-        unit_seconds)
+    found = describe_values(df, DELAYS, {0.5: "median", 0.9: "q90", 0.95: "q95"}, unit_seconds)
+    return found.select("measure", "mean", "std", "skew", "kurtosis", "median", "q90", "q95")
 
 
 def delay_by_minute(df: DataFrame) -> DataFrame:
@@ -145,11 +139,9 @@ def density(df: DataFrame, columns: list[str], points: int = GRID_POINTS, unit:
     """
     counts = value_counts(df, columns).withColumn("value", F.col("value") / unit)
     value, n = F.col("value"), F.col("n")
-    total = F.sum("n")
-    spread = F.sqrt((F.sum(n * value * value) - F.pow(F.sum(n * value), 2) / total) / (total - 1))
-    shape = counts.groupBy("measure").agg(
-        total.alias("_total"), (spread * F.pow(total, F.lit(-0.2))).alias("_h"),
-        F.min("value").alias("_lo"), F.max("value").alias("_hi"))
+    shape = moments_of_counts(counts).select(
+        "measure", F.col("n").alias("_total"), (F.col("std") * F.pow("n", F.lit(-0.2))).alias("_h"),
+        F.col("min").alias("_lo"), F.col("max").alias("_hi"))
     step = (F.col("_hi") - F.col("_lo") + 6 * F.col("_h")) / (points - 1)
     x = F.col("_lo") - 3 * F.col("_h") + F.col("point") * step
     # One row of bandwidth and range per column; every value meets the same fixed number of points.
