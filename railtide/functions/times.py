@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,17 +71,25 @@ def from_epoch_millis(ms: Column) -> Column:
                            F.lit("1970-01-01").cast("timestamp_ntz"))
 
 
+def first_week_dates(year: int = 2024) -> list[list[datetime]]:
+    """For each month, the date in its first week that stands for each day of week.
+
+    Days of week count from Monday = 0 but are set against ISO weekdays (Monday = 1), so every date
+    falls one weekday early. Kept, because existing merged tables are built that way.
+    """
+    firsts = [datetime(year, month, 1) for month in range(1, 13)]
+    return [[first + timedelta(days=(dow - first.isoweekday()) % 7) for dow in range(7)] for first in firsts]
+
+
 def synthetic_datetime(month: Column, dow: Column, minutes: Column) -> Column:
-    """A datetime in the first week of the month of 2024, for tables that kept no date.
+    """A datetime in the first week of the month, for tables that kept no date; null where it has no place.
 
-    ``dow`` counts from Monday = 0 but is set against ISO weekdays (Monday = 1), so the date falls
-    one weekday early. Kept, because existing merged tables are built that way.
+    A lookup instead of date arithmetic, so that each input is evaluated once even where a filter on
+    the result is pushed down to the scan.
     """
-    month, dow, minutes = (c.cast("int") for c in (month, dow, minutes))
-    first = F.make_date(F.lit(2024), F.when(month.between(1, 12), month), F.lit(1))
-    shift = dow - (F.weekday(first) + 1)
-    shift = F.when(shift < 0, shift + 7).otherwise(shift)
-    return F.timestamp_add("MINUTE", minutes, F.date_add(first, shift).cast("timestamp_ntz"))
+    dates = F.array(*[F.array(*[F.lit(d).cast("timestamp_ntz") for d in week]) for week in first_week_dates()])
+    date = F.get(F.get(dates, month.cast("int") - 1), dow.cast("int"))
+    return F.timestamp_add("MINUTE", minutes.cast("int"), date)
 
 
 def floor_hours(ts: Column, hours: int = 3) -> Column:

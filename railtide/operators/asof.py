@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from railtide.constants import MAX_GROUP_ROWS, WEATHER_MEASURES
 from railtide.operators.skew import join_spread
+from railtide.session import store
 
 
 def nearest_in_time(points: DataFrame, series: DataFrame, key: str, at: str, time: str,
@@ -62,11 +63,12 @@ def add_weather(events: DataFrame, weather: DataFrame, station: str = "station_i
 
     The answer depends on station and time alone, so the search runs over the distinct pairs,
     counted together before the shuffle. A station with a large share of the events then weighs
-    no more than its distinct times. Of several weather rows at one time the smallest is taken.
+    no more than its distinct times. The pairs are stored, so that ``events`` is read once for them.
+    Of several weather rows at one time the smallest is taken.
     """
     events = events.where(F.col(at).isNotNull())
-    points = events.groupBy(station, at).agg(F.count(F.lit(1)).alias("n")).where(
-        F.col(station).isNotNull())
+    points = store(events.groupBy(station, at).agg(F.count(F.lit(1)).alias("n")).where(
+        F.col(station).isNotNull()), "points")
     observed = (
         weather.withColumnRenamed("station_id", station).where(F.col("valid_time").isNotNull())
         .groupBy(station, "valid_time").agg(F.min(F.struct(*measures)).alias("_m"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from railtide.constants import MAX_BROADCAST_ROWS, MAX_GROUP_ROWS
+from railtide.session import store
 
 # Parts over which rows with a null key are dealt out.
 NULL_KEY_SPREAD = 1000
@@ -59,10 +60,11 @@ def attach_group_aggregates(df: DataFrame, keys: list[str], aggregates: dict,
                             max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Give every row the aggregates of its group; partial sums meet before the shuffle.
 
-    Rows with a null key belong to no group and get null aggregates.
+    Rows with a null key belong to no group and get null aggregates. The aggregates are stored, so
+    that ``df`` is read once for them and their real size decides how they are joined.
     """
-    values = df.groupBy(*keys).agg(
-        *[c.alias(name) for name, c in aggregates.items()], F.count(F.lit(1)).alias("n"))
+    values = store(df.groupBy(*keys).agg(
+        *[c.alias(name) for name, c in aggregates.items()], F.count(F.lit(1)).alias("n")), "groups")
     hot = values.where(F.col("n") > max_rows).select(*keys, "n")
     return join_spread(df, values.drop("n"), keys, hot, max_rows)
 
