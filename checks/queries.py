@@ -16,7 +16,7 @@ from railtide.operators import (
     asof, clean, encode, geo, journey, quality, stats, tracking,
 )
 from railtide.plans.train import prepared
-from railtide.session import scratch_path
+from railtide.session import scratch_path, store
 from railtide.sinks import files as sinks
 from railtide.sources import files as sources
 
@@ -257,7 +257,7 @@ def decode_category(spark, sf):
 # ---------------------------------------------------------------- aggregates
 
 def _station_stats(spark, sf):
-    return stats.station_stats(v.timed(spark, sf))
+    return store(stats.station_stats(v.timed(spark, sf)), "stations")
 
 
 STATION_NUMBERS = ["arr_delay_s_mean", "arr_delay_s_std", "dep_delay_s_mean", "dep_delay_s_std", "bubble_size"]

@@ -31,7 +31,8 @@ def station_stats(df: DataFrame, station: str = "station_id") -> DataFrame:
     stats = df.groupBy(station).agg(*[
         f(d).alias(f"{d}_{name}") for d in DELAYS
         for name, f in (("count", F.count), ("mean", F.avg), ("std", F.stddev_samp))])
-    largest = stats.agg(F.max("arr_delay_s_count")).scalar()
+    # One row per station; a second look at the events would cost more than this one task.
+    largest = F.max("arr_delay_s_count").over(Window.partitionBy(F.lit(0)))
     return stats.withColumn("bubble_size", F.col("arr_delay_s_count") / largest * 300)
 
 
@@ -120,11 +121,12 @@ def delay_classes(df: DataFrame, delay: str = "dep_delay_s") -> DataFrame:
 def delay_histogram(df: DataFrame, bins: int = 49) -> DataFrame:
     """Counts over equal bins between plus and minus the largest delay; empty bins are left out."""
     counts = value_counts(df, DELAYS)
-    reach = df.agg(F.max(F.greatest(*[F.abs(d) for d in DELAYS])))
+    # The total keeps this the same aggregation as the counts, whose shuffle then serves both.
+    shape = counts.agg(F.struct(F.max(F.abs("value")).alias("reach"), F.sum("n").alias("total")).alias("s"))
     width = F.col("_m") * 2 / bins
     bin_no = F.coalesce(F.floor(F.try_divide(F.col("value") + F.col("_m"), width)), F.lit(0))
     return (
-        counts.withColumn("_m", reach.scalar())
+        counts.withColumn("_m", shape.scalar()["reach"])
         .groupBy("measure", F.least(bin_no, F.lit(bins - 1)).cast("int").alias("bin"), "_m")
         .agg(F.sum("n").alias("n"))
         .select("measure", "bin", (F.col("bin") * width - F.col("_m")).alias("left_edge"), "n")

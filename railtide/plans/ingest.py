@@ -61,6 +61,6 @@ def run(spark: SparkSession, raw_path: str | list[str], out: str, gazetteer_path
         write_table(with_source_headers(df.select(*[c for c in PROCESSED_TYPES if c in df.columns])),
                     f"{out}/processed")
     else:
-        write_table(df.withColumn("service_month", F.date_format("service_date", "yyyy-MM")),
-                    f"{out}/processed", ["service_month"])
+        write_table(df.withColumn("period", F.date_format("service_date", "yyyy-MM")),
+                    f"{out}/processed", ["period"])
     write_encodings(encoding_table(codes), f"{out}/encodings")
