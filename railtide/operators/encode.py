@@ -11,6 +11,7 @@ from railtide.constants import (
 from railtide.functions.values import category_text, encode_flag
 from railtide.operators.ordering import ordered_index
 from railtide.operators.skew import join_lookup
+from railtide.session import store
 
 
 def category_codes(df: DataFrame, columns: list[str] = CATEGORY_COLUMNS,
@@ -23,8 +24,8 @@ def category_codes(df: DataFrame, columns: list[str] = CATEGORY_COLUMNS,
     ranked = ordered_index(df.select(F.inline(pairs)).distinct(), ["column", "value"])
     # One row per encoded column.
     first = ranked.groupBy("column").agg(F.min("pos").alias("_first"))
-    return ranked.join(F.broadcast(first), "column").select(
-        "column", "value", (F.col("pos") - F.col("_first")).cast("int").alias("code"))
+    return store(ranked.join(F.broadcast(first), "column").select(
+        "column", "value", (F.col("pos") - F.col("_first")).cast("int").alias("code")), "codes")
 
 
 def encode_categories(df: DataFrame, codes: DataFrame, columns: list[str] = CATEGORY_COLUMNS,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from railtide.operators.stats import describe_values
@@ -48,6 +48,12 @@ def dataset_profile(df: DataFrame) -> DataFrame:
     )
 
 
+def counted(df: DataFrame, step: str) -> tuple[DataFrame, Observation]:
+    """The table, and its row count as seen by the job that will run it; no job of its own."""
+    seen = Observation(step)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
 def dataset_files(df: DataFrame) -> DataFrame:
     """Number of files behind a scanned table and their size."""
     files = df.select("_metadata.file_path", "_metadata.file_size").distinct()

@@ -14,6 +14,8 @@ from railtide.functions.times import parse_timestamp, with_delays_and_times
 from railtide.operators.clean import cast_columns, filter_in_lists, keep_real
 from railtide.operators.encode import category_codes, encode_categories, encode_flags, encoding_table
 from railtide.operators.geo import add_coordinates, gazetteer_aliases
+from railtide.operators.quality import counted
+from railtide.session import store
 from railtide.sinks.files import write_encodings, write_table, with_source_headers
 from railtide.sources.files import filter_months, read_gazetteer, read_stop_csv, recent_months
 
@@ -31,21 +33,19 @@ def clean(raw: DataFrame, filters: dict = LINE_FILTER) -> DataFrame:
     return encode_flags(with_delays_and_times(df))
 
 
-def process(raw: DataFrame, aliases: DataFrame | None = None, filters: dict = LINE_FILTER):
-    """``(processed, codes)``. Category codes need a pass of their own over three columns."""
-    df = clean(raw, filters)
-    codes = category_codes(df, CATEGORY_COLUMNS)
-    df = encode_categories(df, codes)
+def process(cleaned: DataFrame, codes: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
+    """Codes and coordinates added, types fixed, everything else dropped."""
+    df = encode_categories(cleaned, codes)
     if aliases is not None:
         df = add_coordinates(df, aliases)
     kept = [c for c in [*IDENTITY, *PROCESSED_TYPES] if c in df.columns]
-    return cast_columns(df.select(*kept)), codes
+    return cast_columns(df.select(*kept))
 
 
 def run(spark: SparkSession, raw_path: str | list[str], out: str, gazetteer_path: str | None = None,
         filters: dict = LINE_FILTER, months: int | None = None, as_of: date | None = None,
-        source_layout: bool = False) -> None:
-    """Read dumps, write ``out/processed`` and ``out/encodings``.
+        source_layout: bool = False) -> dict[str, int]:
+    """Read dumps, write ``out/processed`` and ``out/encodings``; returns rows per step.
 
     ``source_layout`` writes just the 19 processed columns under their German headers. Otherwise
     the table also keeps trip, date and times and is partitioned by month.
@@ -55,8 +55,14 @@ def run(spark: SparkSession, raw_path: str | list[str], out: str, gazetteer_path
     if months:
         dated = raw.withColumn("_date", F.to_date(parse_timestamp(F.col("service_date"))))
         raw = filter_months(dated, recent_months(months, as_of or date.today()), "_date").drop("_date")
-    aliases = gazetteer_aliases(read_gazetteer(spark, gazetteer_path)) if gazetteer_path else None
-    df, codes = process(raw, aliases, filters)
+    aliases = None
+    if gazetteer_path:
+        aliases = store(gazetteer_aliases(read_gazetteer(spark, gazetteer_path)), "aliases")
+    cleaned = clean(raw, filters)
+    # Codes need a pass of their own over three columns.
+    codes = category_codes(cleaned, CATEGORY_COLUMNS)
+    watched, cleaned_rows = counted(cleaned, "cleaned")
+    df, written_rows = counted(process(watched, codes, aliases), "written")
     if source_layout:
         write_table(with_source_headers(df.select(*[c for c in PROCESSED_TYPES if c in df.columns])),
                     f"{out}/processed")
@@ -64,3 +70,4 @@ def run(spark: SparkSession, raw_path: str | list[str], out: str, gazetteer_path
         write_table(df.withColumn("period", F.date_format("service_date", "yyyy-MM")),
                     f"{out}/processed", ["period"])
     write_encodings(encoding_table(codes), f"{out}/encodings")
+    return {"cleaned": cleaned_rows.get["rows"], "written": written_rows.get["rows"]}

@@ -58,10 +58,13 @@ def test_whole_chain(spark):
     views.gazetteer(spark, SMALL).drop("line_no").coalesce(1).write.option("sep", "\t").option("quote", "").csv(f"{root}/gaz")
 
     filters = {"line_text": [f"IC{i}" for i in range(10)]}
-    ingest.run(spark, f"{root}/raw", f"{root}/out", f"{root}/gaz", filters)
+    counts = ingest.run(spark, f"{root}/raw", f"{root}/out", f"{root}/gaz", filters)
     processed = spark.read.parquet(f"{root}/out/processed")
     expected = clean.keep_real(clean.filter_in_lists(views.stops(spark, SMALL), filters)).count()
+    assert counts == {"cleaned": expected, "written": expected}
     assert processed.count() == expected
+    files, described = sinks.read_back(spark, f"{root}/out/processed", ["lat", "lon", "geoname_id"])
+    assert files.first()["files"] > 0 and described.first()["rows"] == expected
     assert {f.name: f.dataType.simpleString() for f in processed.schema if f.name in PROCESSED_TYPES} == PROCESSED_TYPES
     codes = sinks.read_encodings(spark, f"{root}/out/encodings")
     assert codes.where("column = 'extra_flag'").count() == 4

@@ -84,6 +84,12 @@ def test_quantiles_equal_numpy(spark, seed):
         np.testing.assert_allclose([r[quantiles.quantile_name(p)] for p in probabilities], want, rtol=1e-9, atol=1e-9)
 
 
+def test_approximate_quantiles_are_close(spark):
+    df = spark.range(1001).select(F.col("id").cast("double").alias("x"))
+    got = quantiles.approximate_quantiles(df, ["x"], [0.1, 0.5]).first()
+    assert got["n"] == 1001 and abs(got["q10"] - 100) <= 2 and abs(got["q50"] - 500) <= 2
+
+
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert quantiles.exact_quantiles(df, ["x"], [0.5]).count() == 0
