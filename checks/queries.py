@@ -90,7 +90,7 @@ def recent_months(spark, sf):
 def sink_parquet(spark, sf):
     path = scratch_path(spark, "sink_parquet")
     out = v.stops(spark, sf).select(
-        "row_key", "station_name", "lat", "dep_sched", F.date_format("dep_sched", "yyyy-MM").alias("service_month"))
+        "row_key", "station_name", "lat", "dep_sched", F.date_format(F.to_date("dep_sched"), "yyyy-MM").alias("service_month"))
     sinks.write_table(out, path, ["service_month"])
     return spark.read.parquet(path).withColumn("service_month", F.col("service_month").cast("string"))
 
@@ -459,9 +459,9 @@ def severe_weather(spark, sf):
 
 @query
 def parse_timestamp(spark, sf):
-    text = F.expr("""case l_linenumber % 5 when 0 then date_format(dep_prog, 'dd.MM.yyyy HH:mm:ss')
-        when 1 then date_format(dep_prog, 'dd.MM.yyyy HH:mm') when 2 then date_format(dep_prog, 'dd.MM.yyyy')
-        when 3 then date_format(dep_prog, 'yyyy-MM-dd HH:mm:ss') else 'junk' end""")
+    kind = F.col("l_linenumber") % 5
+    text = F.when(kind == 0, v.day_first("dep_prog", 19)).when(kind == 1, v.day_first("dep_prog", 16)) \
+        .when(kind == 2, v.day_first("dep_prog", 10)).when(kind == 3, F.col("dep_prog").cast("string")).otherwise("junk")
     return v.stops(spark, sf).select("row_key", times.parse_timestamp(text).alias("ts"))
 
 
@@ -483,7 +483,8 @@ def time_features(spark, sf):
 def date_components(spark, sf):
     columns = ["arr_sched", "arr_prog", "dep_sched", "dep_prog"]
     df = times.with_date_components(v.stops(spark, sf).select("row_key", *columns), columns + ["not_there"])
-    millis = F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', dep_prog) div 1000")
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    millis = (times.micros_between(epoch, F.col("dep_prog")) / 1000).cast("bigint")
     return df.withColumn("dep_prog_ms", times.from_epoch_millis(millis)).drop(*columns)
 
 

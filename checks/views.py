@@ -53,11 +53,19 @@ def stops(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def day_first(ts: str, length: int):
+    """Text like 31.12.2024 23:59:59, cut to ``length``; the same in every session zone."""
+    iso = F.col(ts).cast("string")
+    text = F.concat(F.substring(iso, 9, 2), F.lit("."), F.substring(iso, 6, 2), F.lit("."),
+                    F.substring(iso, 1, 4), F.substring(iso, 11, 9))
+    return F.substring(text, 1, length)
+
+
 def raw_stops(spark: SparkSession, sf: str) -> DataFrame:
     """The stops as a dump: German header, everything text, day-first times."""
-    short, full = "dd.MM.yyyy HH:mm", "dd.MM.yyyy HH:mm:ss"
+    short, full = 16, 19
     text = {
-        "service_date": F.date_format("dep_sched", "dd.MM.yyyy"),
+        "service_date": day_first("dep_sched", 10),
         "trip_id": F.concat_ws(":", F.lit("85"), "l_orderkey", "row_key"),
         "operator_id": F.lit("85:11"), "operator_abbr": F.lit("SB"), "operator_name": F.lit("Bahn"),
         "product_id": F.lit("Zug"), "line_id": F.col("line_id").cast("string"),
@@ -65,9 +73,9 @@ def raw_stops(spark: SparkSession, sf: str) -> DataFrame:
         "vehicle_type": F.lit("IC"), "extra_flag": F.col("extra_flag"),
         "cancelled_flag": F.col("cancelled_flag"), "stop_uic": F.col("station_id").cast("string"),
         "station_name": F.col("station_name"),
-        "arr_sched": F.date_format("arr_sched", short), "arr_prog": F.date_format("arr_prog", full),
+        "arr_sched": day_first("arr_sched", short), "arr_prog": day_first("arr_prog", full),
         "arr_status": F.col("arr_status"),
-        "dep_sched": F.date_format("dep_sched", short), "dep_prog": F.date_format("dep_prog", full),
+        "dep_sched": day_first("dep_sched", short), "dep_prog": day_first("dep_prog", full),
         "dep_status": F.col("dep_status"), "pass_through_flag": F.col("pass_through_flag"),
     }
     return stops(spark, sf).select(*[text[ours].alias(header) for header, ours in RAW_COLUMNS.items()])

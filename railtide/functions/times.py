@@ -16,10 +16,19 @@ def parse_timestamp(text: Column) -> Column:
     return iso.try_cast("timestamp_ntz")
 
 
+def micros_between(start: Column, end: Column) -> Column:
+    """Microseconds from start to end. Zone-free timestamps stay so, whatever the session's zone."""
+    gap = end - start
+    whole = [F.extract(F.lit(unit), gap).cast("bigint") * micros for unit, micros in
+             (("DAY", 86_400_000_000), ("HOUR", 3_600_000_000), ("MINUTE", 60_000_000))]
+    seconds = (F.extract(F.lit("SECOND"), gap) * 1_000_000).cast("bigint")
+    return whole[0] + whole[1] + whole[2] + seconds
+
+
 def delay_seconds(scheduled: Column, actual: Column, actual_first: bool = True) -> Column:
     """Seconds from schedule to actual. ``actual_first=False`` gives the older, opposite sign."""
     start, end = (scheduled, actual) if actual_first else (actual, scheduled)
-    return F.timestamp_diff("MICROSECOND", start, end) / F.lit(1e6)
+    return micros_between(start, end) / F.lit(1e6)
 
 
 def minutes_of_day(ts: Column) -> Column:
@@ -87,7 +96,7 @@ def synthetic_datetime(month: Column, dow: Column, minutes: Column) -> Column:
     A lookup instead of date arithmetic, so that each input is evaluated once even where a filter on
     the result is pushed down to the scan.
     """
-    dates = F.array(*[F.array(*[F.lit(d).cast("timestamp_ntz") for d in week]) for week in first_week_dates()])
+    dates = F.array(*[F.array(*[F.lit(d.isoformat()).cast("timestamp_ntz") for d in week]) for week in first_week_dates()])
     date = F.get(F.get(dates, month.cast("int") - 1), dow.cast("int"))
     return F.timestamp_add("MINUTE", minutes.cast("int"), date)
 

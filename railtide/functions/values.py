@@ -75,7 +75,7 @@ def journey_id(mode: str, when: Column, line: Column, minutes: Column, trip: Col
     ``date_line``: calendar day and line. ``date_line_hour``: also the hour of departure.
     ``trip``: the operator's own trip id on that day.
     """
-    date = F.date_format(when, "yyyy-MM-dd")
+    date = F.to_date(when)
     if mode == "date_line":
         parts = [date, line, F.floor(minutes / 1440)]
     elif mode == "date_line_hour":

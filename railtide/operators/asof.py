@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from railtide.constants import MAX_GROUP_ROWS, WEATHER_MEASURES
+from railtide.functions.times import micros_between
 from railtide.operators.skew import join_spread
 from railtide.session import store
 
@@ -42,7 +43,7 @@ def nearest_in_time(points: DataFrame, series: DataFrame, key: str, at: str, tim
     earlier, later = F.col("_earlier"), F.col("_later")
 
     def gap(found):
-        return F.abs(F.timestamp_diff("MICROSECOND", found[time], F.col(at)))
+        return F.abs(micros_between(found[time], F.col(at)))
 
     nearer = F.when(earlier.isNull() | (gap(later) < gap(earlier)), later).otherwise(earlier)
     return (
@@ -75,7 +76,7 @@ def add_weather(events: DataFrame, weather: DataFrame, station: str = "station_i
         .select(station, "valid_time", "_m.*")
     )
     nearest = nearest_in_time(points, observed, station, at, "valid_time", measures)
-    gap = F.abs(F.timestamp_diff("MICROSECOND", F.col("valid_time"), F.col(at))) / F.lit(60e6)
+    gap = F.abs(micros_between(F.col("valid_time"), F.col(at))) / F.lit(60e6)
     hot = points.where(F.col("n") > max_rows)
     return join_spread(events, nearest, [station, at], hot, max_rows).withColumns({
         "time_diff_minutes": gap.cast("float"),

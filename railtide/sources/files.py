@@ -90,4 +90,4 @@ def filter_months(df: DataFrame, months: list[str], column: str = "service_date"
     at = F.col(column)
     kind = df.schema[column].dataType.simpleString()
     bounds = (at >= F.lit(start).cast(kind)) & (at < F.lit(end).cast(kind))
-    return df.where(bounds & F.date_format(at, "yyyy-MM").isin(months))
+    return df.where(bounds & F.date_format(F.to_date(at), "yyyy-MM").isin(months))

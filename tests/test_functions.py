@@ -83,3 +83,17 @@ def test_on_time_counts_missing_as_late(spark):
 def test_floor_hours(spark):
     got = apply(spark, times.floor_hours, [datetime(2024, 1, 1, 2, 59), datetime(2024, 1, 1, 23, 1)], "timestamp_ntz")
     assert got == [datetime(2024, 1, 1), datetime(2024, 1, 1, 21)]
+
+
+def test_differences_do_not_depend_on_the_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    df = spark.createDataFrame([("2024-03-31 01:58:00", "2024-03-31 03:02:00.25")], "a string, b string").selectExpr(
+        "cast(a as timestamp_ntz) a", "cast(b as timestamp_ntz) b")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Zurich")
+    try:
+        assert df.select(times.delay_seconds(F.col("a"), F.col("b"))).first()[0] == 3840.25
+        got = df.select(times.synthetic_datetime(F.lit(3), F.lit(6), F.lit(150)).cast("string"),
+                        values.journey_id("date_line", F.col("a"), F.lit(7), F.lit(118))).first()
+        assert tuple(got) == ("2024-03-02 02:30:00", "2024-03-31_7_0")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
