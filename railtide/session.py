@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -27,10 +28,15 @@ def build_session(master: str | None = None, app: str = "railtide", **options: s
     return builder.getOrCreate()
 
 
+# Folders of local sessions without ``spark.checkpoint.dir``, one per application.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own.
+    A session in one process (``local`` or ``local[n]``) may leave it unset and gets one folder for
+    the application; any cluster, ``local-cluster`` included, is refused without the setting.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -38,9 +44,12 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rsplit("/", 1)[0]
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="railtide-")
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="railtide-")
+    return _LOCAL_FOLDERS[application]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
