@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from railtide.llm.common import read_table
 from railtide.llm.exact_dedup import exact_dedup
 from railtide.llm.mixing import schedule, source_weights
 from railtide.llm.sharding import shard_rows
+from railtide.llm.simhash import near_duplicates
+from railtide.llm.token_files import token_table
 from railtide.llm.url_lists import evaluate, url_host
 
 QUERIES: dict = {}
@@ -28,6 +31,16 @@ def op4_temperature_mixing(spark, sf):
         "doc_id", "source", "n_tokens", "exponent", "weight", "budget", "pass", "block", "block_rank", "start")
 
 
+@query
+def op5_simhash(spark, sf):
+    return near_duplicates(read_table(spark, sf, "documents"))
+
+
+@query
+def op6_token_files(spark, sf):
+    return token_table(read_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query
 def op7_rendezvous_sharding(spark, sf):
     return shard_rows(read_table(spark, sf, "documents"), 16)
