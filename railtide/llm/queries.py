@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from railtide.llm.common import read_table
+from railtide.llm.common import id_remainder, read_table
 from railtide.llm.exact_dedup import exact_dedup
+from railtide.llm.hidden_markov import score_texts
 from railtide.llm.mixing import schedule, source_weights
 from railtide.llm.sharding import shard_rows
 from railtide.llm.simhash import near_duplicates
@@ -21,6 +22,12 @@ def query(f):
     return f
 
 
+@query
+def op1_hidden_markov(spark, sf):
+    docs = read_table(spark, sf, "documents")
+    return score_texts(docs.withColumn("held_out", id_remainder(10) == 0))
+
+
 @query
 def op4_temperature_mixing(spark, sf):
     """Every reading of every document at weights with 97 % of the entropy of equal ones, but no
