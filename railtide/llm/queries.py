@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from railtide.llm import language_id, toxicity
 from railtide.llm.common import id_remainder, read_table
 from railtide.llm.exact_dedup import exact_dedup
 from railtide.llm.hidden_markov import score_texts
@@ -28,6 +29,25 @@ def op1_hidden_markov(spark, sf):
     return score_texts(docs.withColumn("held_out", id_remainder(10) == 0))
 
 
+@query
+def op2_toxicity(spark, sf):
+    docs = read_table(spark, sf, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf, "labels").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+    seen = docs.where(id_remainder(5) != 0).join(labels.where("toxic is not null"), "doc_id")
+    return toxicity.score_texts(docs, toxicity.train(seen)).select(
+        "doc_id", (id_remainder(5) == 0).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), F.size("offending").alias("n_offending"),
+        "worst_start", "worst_stop", "worst_score")
+
+
+@query
+def op3_language_id(spark, sf):
+    docs = read_table(spark, sf, "documents").select("doc_id", "text", "lang")
+    model = language_id.train(docs.where(id_remainder(4) != 2))
+    return language_id.predict(docs, model).select(
+        "doc_id", (id_remainder(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op4_temperature_mixing(spark, sf):
     """Every reading of every document at weights with 97 % of the entropy of equal ones, but no
