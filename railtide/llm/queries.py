@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from railtide.llm import language_id, toxicity
 from railtide.llm.common import id_remainder, read_table
+from railtide.llm.decontaminate import find_leaks
 from railtide.llm.exact_dedup import exact_dedup
 from railtide.llm.hidden_markov import score_texts
 from railtide.llm.mixing import schedule, source_weights
@@ -102,3 +103,14 @@ def op9_url_lists(spark, sf):
     captures = pages.withColumn(
         "fetched", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") * 7919 % 366).cast("int")))
     return evaluate(captures, dated_entries(pages))
+
+
+@query
+def op10_decontamination(spark, sf):
+    """One row per document: the leaked item that is most alike, and how many there are."""
+    found = find_leaks(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
+    best = F.get("leaks", F.lit(0))
+    return found.select(
+        "doc_id", (F.size("leaks") > 0).alias("contaminated"), F.size("leaks").alias("n_items"),
+        F.transform("leaks", lambda x: x["item_id"]).alias("item_ids"), best["item_id"].alias("item_id"),
+        best["share"].alias("share"), best["answered"].alias("answered"))
