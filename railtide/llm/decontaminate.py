@@ -292,21 +292,27 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, columns: list[str] | None
     ``benchmark`` has item_id and text; items with fewer than five words or null are not searched,
     repeated item ids are items of their own. Words are runs of letters and digits, lower-cased.
     A null or empty document has no leaks. Items are searched some hundreds at a time, each time
-    over all documents. ``docs`` must have no columns named leaks or found.
+    over all documents. A column of ``docs`` named leaks cannot be asked for.
     """
     columns = columns or ["doc_id"]
+    return _searched(docs.select(F.struct(*columns).alias("row"), "text"), benchmark).select("row.*", "leaks")
+
+
+def _searched(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``docs`` has row and text; adds leaks."""
     turns = max(1, -(-benchmark.count() // ITEMS_AT_ONCE))
     turn = F.pmod(F.xxhash64("item_id", "text"), F.lit(turns))
-    rows = docs.select(*dict.fromkeys([*columns, "text"])).withColumn("leaks", F.array().cast(LEAK))
+    rows = docs.withColumn("leaks", F.array().cast(LEAK))
     for n in range(turns):
         # About ITEMS_AT_ONCE rows.
         items = [(r.item_id, r.text) for r in benchmark.where(turn == n).select("item_id", "text").collect()]
         model = fit(docs, items)
         schema = StructType([*rows.schema.fields, StructField("found", rows.schema["leaks"].dataType)])
         rows = rows.mapInArrow(_search(model), schema).withColumn("leaks", F.concat("leaks", "found")).drop("found")
-    return rows.select(*columns, "leaks")
+    return rows
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` in which no benchmark item was found."""
-    return find_leaks(docs, benchmark, docs.columns).where(F.size("leaks") == 0).drop("leaks")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    return _searched(rows, benchmark).where(F.size("leaks") == 0).select("row.*")

@@ -43,7 +43,7 @@ def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.int64), np.zeros(0)
     keep = letter.copy()
     keep[1:] |= letter[:-1]
-    line = np.concatenate([[32], np.where(letter, codes, 32)[keep]]).astype(np.uint32)
+    line = np.concatenate([[32], np.where(letter, codes, 32)[keep], [32] if letter[-1] else []]).astype(np.uint32)
     counts, hashed = np.zeros(_SIZE), np.zeros(len(line), np.uint32)
     for n in range(1, LONGEST_GRAM + 1):
         hashed = (hashed[:len(line) - n + 1] * np.uint32(31) + line[n - 1:] + np.uint32(n)) * _FACTOR

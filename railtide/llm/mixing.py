@@ -108,25 +108,38 @@ def source_weights(docs: DataFrame, entropy_part: float | None = None, repeats:
         # Passes are w T / n; the largest source has the fewest when the exponent is at most one.
         tokens = math.ceil(total * largest ** (1 - min(exponent, 1.0)) * norm)
     weight = F.round(F.pow("share", F.lit(exponent)) / F.lit(norm), 9)
+    least = F.col("tokens") if cover else F.lit(0)
     return shares.select(
         "mix_source", "tokens", "rows", "share", F.lit(exponent).alias("exponent"), weight.alias("weight"),
-        F.floor(weight * F.lit(float(tokens))).cast("long").alias("budget"))
+        F.greatest(F.floor(weight * F.lit(float(tokens))).cast("long"), least).alias("budget"))
 
 
 def _drawn(*parts) -> Column:
     return F.md5(F.concat_ws(":", *parts).cast("binary"))
 
 
+ADDED = ["mix_source", "n_tokens", "exponent", "weight", "budget", "pass", "block", "block_rank", "start"]
+
+
 def schedule(docs: DataFrame, weights: DataFrame, seed: int = 17, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
-    """Every reading of every row, with all its columns.
+    """Every reading of every row, with all its columns but those of the names in ``ADDED``, which are
+    replaced: see ``readings``."""
+    kept = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in ADDED]
+    return readings(docs, weights, seed, rows_per_block).select(*kept, *ADDED)
+
+
+def readings(docs: DataFrame, weights: DataFrame, seed: int = 17, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+    """Every reading of every row: ``row`` holds all its columns.
 
     Adds mix_source, n_tokens, exponent, weight, budget, pass (from 0), block, block_rank (place of
     the block in the pass), start (tokens of the source read before in this pass). Full passes read
     every row; the last one reads rows while the budget is not used up, so it may exceed it by less
     than one row. A row no pass reads is left out: that is what the weights ask for. Repeated rows
-    are rows of their own. ``docs`` may not have columns with the added names.
+    are rows of their own.
     """
-    named = docs.withColumns({"mix_source": source_name(F.col("source")), "n_tokens": token_count(F.col("text"))})
+    named = docs.select(
+        F.struct(*docs.columns).alias("row"), "doc_id", source_name(F.col("source")).alias("mix_source"),
+        token_count(F.col("text")).alias("n_tokens"))
     plan = weights.select(
         "mix_source", "exponent", "weight", "budget", F.col("tokens").alias("_tokens"),
         F.ceil(F.col("rows") / rows_per_block).cast("long").alias("_blocks"),
@@ -153,5 +166,4 @@ def schedule(docs: DataFrame, weights: DataFrame, seed: int = 17, rows_per_block
         F.coalesce(F.sum("_size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"))
     placed = read.join(places, group).withColumn("start", F.col("_start") + F.col("_before"))
     wanted = (F.col("pass") < F.col("_full")) | (F.col("start") < F.col("budget") - F.col("_full") * F.col("_tokens"))
-    return placed.where(wanted).select(
-        *docs.columns, "mix_source", "n_tokens", "exponent", "weight", "budget", "pass", "block", "block_rank", "start")
+    return placed.where(wanted).select("row", *ADDED)

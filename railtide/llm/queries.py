@@ -61,7 +61,7 @@ def op4_temperature_mixing(spark, sf):
 
 @query
 def op5_simhash(spark, sf):
-    return near_duplicates(read_table(spark, sf, "documents"))
+    return near_duplicates(read_table(spark, sf, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
 @query

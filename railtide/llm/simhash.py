@@ -68,12 +68,19 @@ def _fingerprints(batches):
         texts = batch.column("data")
         values = (fingerprint(shingle_hashes(t.as_py())) for t in texts)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(np.fromiter(values, np.int64, len(texts)))], names=["doc_id", "fp"])
+            [batch.column("doc_id"), batch.column("text_hash"), pa.array(np.fromiter(values, np.int64, len(texts)))],
+            names=["doc_id", "text_hash", "fp"])
+
+
+def text_hash():
+    """Tells rows of the same doc_id apart; a null text counts as empty."""
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and fp (the fingerprint's 64 bits as a long) of every row."""
-    return docs.select("doc_id", text_bytes().alias("data")).mapInArrow(_fingerprints, "doc_id long, fp long")
+    """doc_id, text_hash and fp (the fingerprint's 64 bits as a long) of every row."""
+    return docs.select("doc_id", text_hash().alias("text_hash"), text_bytes().alias("data")).mapInArrow(
+        _fingerprints, "doc_id long, text_hash long, fp long")
 
 
 def tile_links(left: np.ndarray, right: np.ndarray | None, radius: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -174,12 +181,13 @@ def fingerprint_links(unique: DataFrame, radius: int = RADIUS, tile: int = TILE,
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, fingerprint, component_id.
+    """One row per row of ``docs``: doc_id, fingerprint, component_id, component, text_hash.
 
     Words are lower-cased in A-Z only and split at ASCII white space; a null or empty text has the
     fingerprint zero and is linked like any other. component_id is the smallest doc_id reachable
-    over links of at most ``radius`` bits, null if all of them are null. Rows may repeat; other
-    columns are not read; an empty table gives no rows. Equal fingerprints are compared once.
+    over links of at most ``radius`` bits, null if all of them are null; component numbers the groups
+    of the latter too. Rows may repeat; other columns are not read; an empty table gives no rows.
+    Equal fingerprints are compared once.
     """
     rows = store(fingerprints(docs), "fingerprints")
     unique = store(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "unique")
@@ -188,6 +196,20 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     known = unique.join(labels, unique.fp == labels.node, "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("component"))
     smallest = known.groupBy("component").agg(F.min("least").alias("component_id"))
-    known = store(known.join(smallest, "component").select("fp", "component_id"), "components")
+    known = store(known.join(smallest, "component").select("fp", "component_id", "component"), "components")
     return spread_join(rows, known, ["fp"], "left").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "component", "text_hash")
+
+
+def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Of every group of near copies the row with the smallest doc_id; all columns of ``docs``.
+
+    A null doc_id comes after all others. Of rows with the same doc_id the one with the smallest
+    hash of its text stays, of rows equal in both any one.
+    """
+    key = lambda i, h: F.concat_ws(":", F.coalesce(i.cast("string"), F.lit("")), h.cast("string"))
+    first = near_duplicates(docs, radius).groupBy("component").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")).alias("first"))
+    first = first.select(key(F.col("first.doc_id"), F.col("first.text_hash")).alias("key"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), key(F.col("doc_id"), text_hash()).alias("key"))
+    return rows.join(first, "key", "left_semi").dropDuplicates(["key"]).select("row.*")

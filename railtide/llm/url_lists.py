@@ -48,6 +48,9 @@ def intervals(entries: DataFrame) -> DataFrame:
         "list", "key", F.col("dated").alias("valid_from"), "valid_to")
 
 
+ADDED = ["host", "active", "matched_list", "matched_key", "valid_from", "valid_to", "blocked"]
+
+
 def evaluate(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """Adds to every capture (url, fetched, any other columns) what the lists said when it was fetched.
 
@@ -55,7 +58,7 @@ def evaluate(captures: DataFrame, entries: DataFrame) -> DataFrame:
     valid_to (of the entry that decides) and blocked. The longest key decides, on equal length the
     smaller key, on equal keys the list whose name sorts last, so ``block`` before ``allow``.
     A null url or time, or a url without host, matches nothing and is not blocked. Repeated captures
-    keep their rows; names of other columns must differ from the new ones.
+    keep their rows; a column with the name of a new one is replaced.
 
     Each distinct url and time is evaluated once, and a frequent key or url is dealt out.
     """
@@ -70,9 +73,10 @@ def evaluate(captures: DataFrame, entries: DataFrame) -> DataFrame:
     best = joined.groupBy("url", "fetched").agg(
         F.count(F.lit(1)).alias("active"),
         F.min_by(F.struct("list", "key", "valid_from", "valid_to"), rank).alias("hit"))
-    found = spread_join(captures, best, ["url", "fetched"], "left")
+    rows = captures.select(F.struct(*captures.columns).alias("row"), "url", "fetched")
+    found = spread_join(rows, best, ["url", "fetched"], "left")
     return found.select(
-        *captures.columns, url_host(F.col("url")).alias("host"),
+        *[F.col("row").getField(c).alias(c) for c in captures.columns if c not in ADDED], url_host(F.col("url")).alias("host"),
         F.coalesce("active", F.lit(0).cast("long")).alias("active"),
         F.col("hit.list").alias("matched_list"), F.col("hit.key").alias("matched_key"),
         F.col("hit.valid_from").alias("valid_from"), F.col("hit.valid_to").alias("valid_to"),

@@ -201,7 +201,7 @@ def test_token_files(name, request):
     assert sorted(got, key=lambda r: r[1]) == want
 
 
-@given(st.text(alphabet=st.sampled_from("ab1'é漢 \n\t.,s<|endoftext|>  "), max_size=60))
+@given(st.text(alphabet=st.sampled_from("ab1'éÉñ漢.,!? \n\t.,s<|endoftext|>  "), max_size=60))
 @settings(max_examples=300, deadline=None)
 def test_words_encode_like_whole_texts(text):
     global _encoder
