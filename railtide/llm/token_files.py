@@ -15,8 +15,10 @@ block is filled up with its first id.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +35,7 @@ PERCENTILE = 90
 BYTES_PER_FILE = 32_000_000
 # Ids packed at once, and words whose ids a task remembers.
 IDS_PER_PACK = 1 << 17
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 
 
 def pack_blocks(ids: np.ndarray, percentile: int = PERCENTILE) -> tuple[bytes, np.ndarray]:
@@ -172,6 +174,19 @@ def read_token_file(path: str):
             begin += length
 
 
+def _byte_symbols() -> dict[int, str]:
+    """Byte-level BPE writes printable bytes as themselves and the others as symbols from U+0100 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(0x100 + n) for n, b in enumerate(hidden)}
+
+
+_SYMBOLS = _byte_symbols()
+# Letters up to here are letters in every version of Unicode.
+_LAST_LATIN = "\u017f"
+_PUNCTUATION = ".,;:!?"
+
+
 class WordEncoder:
     """Ids of whole texts, remembering the ids of words.
 
@@ -181,26 +196,70 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
-        import re
-
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.double = re.compile(r"\s\s").search
+        self.space = re.compile(r"\s").search
+        self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.known: dict[str, bytes] = {}
+        # At most one entry per run of a few punctuation marks.
+        self.tails: dict[str, bytes] = {}
+        probes = ["word", "É", "ñandú", "straße", "x"]
+        self.bytewise = all(self._encode([" " + w])[0] == self._word(w) for w in probes)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _word(self, word: str) -> bytes:
+        """Ids of a word of Latin letters and the space before it, which is one piece."""
+        symbols = word if word.isascii() else word.encode().decode("latin-1").translate(_SYMBOLS)
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(_SYMBOLS[32] + symbols)]).tobytes()
+
+    def _learn(self, words: list[str]) -> None:
+        """Remember the ids of words that have a space before them.
+
+        A word of Latin letters is one piece, and punctuation after it is another. Other words
+        without white space are encoded together, a line each: before a space a line end is a piece
+        of its own, with an id that nothing else has.
+        """
+        known, plain, odd = self.known, [], []
+        for word in words:
+            base = word.rstrip(_PUNCTUATION)
+            if base and self.bytewise and base.isalpha() and max(base) <= _LAST_LATIN:
+                ids = known.get(base)
+                if ids is None:
+                    ids = known[base] = self._word(base)
+                if base != word:
+                    tail = word[len(base):]
+                    if tail not in self.tails:
+                        self.tails[tail] = self._encode([tail])[0]
+                    known[word] = ids + self.tails[tail]
+            elif word and not self.space(word):
+                plain.append(word)
+            else:
+                odd.append(word)
+        if plain and len(self.line_end) == 1:
+            ids = np.array(self.tokenizer.encode_batch_fast(
+                ["\n".join([" " + w for w in plain])], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.append(np.flatnonzero(ids == self.line_end[0]), len(ids))
+            if len(ends) == len(plain):
+                data, edges = ids.tobytes(), (ends * 4).tolist()
+                starts = [0, *(e + 4 for e in edges[:-1])]
+                known.update(zip(plain, [data[a:b] for a, b in zip(starts, edges)]))
+                plain = []
+        odd += plain
+        known.update(zip(odd, self._encode([" " + w for w in odd])))
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.known) > REMEMBERED:
             self.known.clear()
+            self.tails.clear()
         cut = [None if self.double(t) else t.split(" ") for t in texts]
         firsts = iter(self._encode([words[0] if words else t for words, t in zip(cut, texts)]))
-        fresh = list({w for words in cut if words for w in words[1:]} - self.known.keys())
-        self.known.update(zip(fresh, self._encode([" " + w for w in fresh])))
+        self._learn(list({w for words in cut if words for w in words[1:]} - self.known.keys()))
         get = self.known.__getitem__
         return [np.frombuffer(next(firsts) + b"".join(map(get, words[1:] if words else ())), "<u4") for words in cut]
 
