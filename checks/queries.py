@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from checks import views as v
@@ -52,7 +53,7 @@ def scan_exclude_columns(spark, sf):
 
 @query
 def scan_parquet(spark, sf):
-    return sources.read_table(spark, sf, "lineitem*.parquet").select("l_orderkey", "l_linenumber", "l_quantity")
+    return sources.read_table(spark, sf, "lineitem*.parquet")
 
 
 @query
@@ -60,7 +61,7 @@ def scan_weather(spark, sf):
     path = scratch_path(spark, "scan_weather")
     v.weather(spark, sf).write.option("header", True).option(
         "timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
-    return sources.read_weather_csv(spark, path)
+    return sources.read_weather_csv(spark, path).drop("line_no")
 
 
 @query
@@ -124,7 +125,7 @@ def sink_versioned(spark, sf):
     old = v.stops(spark, sf).select("row_key", "station_id", "lat", "lon")
     sinks.write_version(old, path, "20241101_000000")
     fixed = geo.apply_corrections(
-        sinks.read_version(spark, path), tracking.refresh_status(v.tracking(spark, sf)))
+        sinks.read_version(spark, path), tracking.refresh_status(v.every_tracking(spark, sf)))
     sinks.write_version(fixed, path, "20241201_000000")
     return sinks.read_version(spark, path)
 
@@ -233,6 +234,18 @@ def asof_nearest(spark, sf):
         "time_diff_minutes", F.round(F.col("time_diff_minutes").cast("double"), 2))
 
 
+@query
+def asof_duplicates(spark, sf):
+    """Altered copies of every observation, some damaged, come later in the file and must not win."""
+    first = v.weather(spark, sf).drop("event_id").withColumn("line_no", F.lit(0))
+    later = first.withColumns({m: F.when(F.col("station_id") % 2 == 0, F.col(m) - 100) for m in WEATHER_MEASURES})
+    both = first.unionByName(later.withColumn("line_no", F.lit(1)))
+    df = asof.add_weather(v.timed(spark, sf), both).select(
+        "row_key", "station_id", "datetime", *WEATHER_MEASURES, "time_diff_minutes", "weather_station_found")
+    return r6(df, *WEATHER_MEASURES).withColumn(
+        "time_diff_minutes", F.round(F.col("time_diff_minutes").cast("double"), 2))
+
+
 @query
 def tracking_new(spark, sf):
     missing = tracking.missing_stations(v.stops(spark, sf))
@@ -241,7 +254,7 @@ def tracking_new(spark, sf):
 
 @query
 def apply_corrections(spark, sf):
-    fixes = tracking.refresh_status(v.tracking(spark, sf))
+    fixes = tracking.refresh_status(v.every_tracking(spark, sf))
     return r6(geo.apply_corrections(v.stops(spark, sf).select("row_key", "station_id", "lat", "lon"), fixes),
               "lat", "lon")
 
@@ -336,7 +349,7 @@ def tracking_summary(spark, sf):
 
 @query
 def tracking_status(spark, sf):
-    return tracking.refresh_status(v.tracking(spark, sf)).drop("line_no")
+    return tracking.refresh_status(v.every_tracking(spark, sf)).drop("line_no")
 
 
 @query
@@ -535,7 +548,7 @@ TARGET = "dep_delay_s"
 
 
 def _model_table(spark, sf, names=mf.COMPACT_FEATURES):
-    return prepared(v.features(spark, sf), names)
+    return prepared(v.features(spark, sf), names, clip_weather=names is mf.COMPACT_FEATURES)
 
 
 def _fitted(spark, sf, target=TARGET):
@@ -545,19 +558,37 @@ def _fitted(spark, sf, target=TARGET):
 
 
 def _importances(spark, sf):
-    found = []
-    df, names = _model_table(spark, sf, mf.FULL_FEATURES)
-    train, _ = mf.split_rows(df, ["row_key"])
-    for target in ("arr_delay_s", "dep_delay_s"):
-        model = forest.train_forest(train, target, names, **SMALL_FOREST)
-        found.append(forest.feature_importance(model, names, spark, target))
-    return found[0].unionByName(found[1])
+    """Importances of two models by formula, one row per country and model."""
+    k = F.create_map(F.lit("arrival"), F.lit(7), F.lit("departure"), F.lit(11))
+    named = F.when(F.col("n_nationkey") == 3, "lat").when(F.col("n_nationkey") == 7, "lon").otherwise(F.col("n_name"))
+    return v.table(spark, sf, "nation").withColumn("model", F.explode(F.array(F.lit("arrival"), F.lit("departure")))).select(
+        "model", named.alias("feature"),
+        ((F.col("n_nationkey") * k[F.col("model")]) % 31 / 100).cast("double").alias("importance"))
+
+
+def _prepared(spark, sf, clip):
+    names = [*MODEL_WEATHER, "arr_minutes"]
+    df = v.merged(spark, sf).select("row_key", *names, "lat")
+    return r6(mf.prepare_features(df, names, clip), *MODEL_WEATHER)
+
+
+@query
+def prepared_full(spark, sf):
+    return _prepared(spark, sf, False)
+
+
+@query
+def prepared_compact(spark, sf):
+    return _prepared(spark, sf, True)
 
 
 @query
 def feature_vector(spark, sf):
     df, names = _model_table(spark, sf)
-    return mf.assembler(names).transform(df).select("row_key", F.col("features").cast("string").alias("features"))
+    parts = F.array(*[F.col(c).cast("double") for c in names])
+    return mf.assembler(names).transform(df).select(
+        "row_key", (vector_to_array("features") == parts).alias("in_order"),
+        F.size(parts).alias("width"), F.exists(parts, lambda x: x.isNull()).alias("has_null"))
 
 
 @query
@@ -585,42 +616,59 @@ def expanding_folds(spark, sf):
 
 @query
 def train_forest(spark, sf):
+    """Whether all held-out rows were scored and the forest explains more than their mean does."""
     model, test, _ = _fitted(spark, sf)
-    return forest.evaluate(model, test, TARGET)
+    return forest.evaluate(model, test, TARGET).select("n", (F.col("r2") > 0.2).alias("explains"))
 
 
 @query
 def grid_search(spark, sf):
     df, names = _model_table(spark, sf)
-    return forest.grid_search(df, TARGET, names, ["datetime", "row_key"],
-                              {"minInstancesPerNode": [5, 10], "minInfoGain": [0.0, 0.1]}, **SMALL_FOREST)
+    found = forest.grid_search(df, TARGET, names, ["datetime", "row_key"],
+                               {"minInstancesPerNode": [5, 10], "minInfoGain": [0.0, 0.1]}, **SMALL_FOREST)
+    # One row per grid point.
+    before = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    placed = found.withColumn("place", F.monotonically_increasing_id())
+    return placed.select(
+        "params", (F.col("mean_r2").isNotNull() & (F.col("std_rmse_min") >= 0)).alias("scored"),
+        F.coalesce(F.col("mean_rmse_min") >= F.max("mean_rmse_min").over(before), F.lit(True)).alias("in_order"))
 
 
 @query
 def feature_importance(spark, sf):
     model, _, names = _fitted(spark, sf)
-    return forest.feature_importance(model, names, spark, TARGET)
+    found = forest.feature_importance(model, names, spark, TARGET)
+    return found.agg(
+        ((F.count_distinct("feature") == len(names)) & (F.count(F.lit(1)) == len(names))).cast("int").alias("complete"),
+        (F.abs(F.sum("importance") - 1) < 1e-9).cast("int").alias("sums_to_one"),
+        F.count_if(F.col("importance") < 0).cast("int").alias("negative"))
 
 
 @query
 def importance_mean(spark, sf):
-    return forest.importance_mean(_importances(spark, sf))
+    return r6(forest.importance_mean(_importances(spark, sf)), "importance")
 
 
 @query
 def importance_topk(spark, sf):
-    return forest.importance_topk(_importances(spark, sf), 10)
+    return r6(forest.importance_topk(_importances(spark, sf), 10), "importance")
 
 
 @query
 def geo_importance(spark, sf):
-    return forest.geo_importance(_importances(spark, sf))
+    return r6(forest.geo_importance(_importances(spark, sf)), "geo_pct")
 
 
 @query
 def permutation_importance(spark, sf):
     model, test, names = _fitted(spark, sf)
-    return forest.permutation_importance(model, test, TARGET, names, ["row_key"])
+    found = forest.permutation_importance(model, test, TARGET, names, ["row_key"])
+    finite = F.col("importance").isNotNull() & (F.col("importance_std") >= 0)
+    # One row per feature; the previous delay gives most of the departure delay away.
+    return found.agg(
+        (F.count_distinct("feature") == len(names)).cast("int").alias("complete"),
+        (F.count_if(finite) == len(names)).cast("int").alias("finite"),
+        (F.max("importance") > 0.01).cast("int").alias("ordered"))
 
 
 @query
@@ -628,22 +676,32 @@ def model_roundtrip(spark, sf):
     model, test, _ = _fitted(spark, sf)
     path = scratch_path(spark, "model")
     forest.save_model(model, path)
-    return forest.evaluate(forest.load_model(path), test, TARGET)
+    before = forest.evaluate(model, test, TARGET)
+    after = forest.evaluate(forest.load_model(path), test, TARGET)
+    same = (F.abs(F.col("r2") - F.col("b.r2")) < 1e-9) & (F.abs(F.col("rmse_min") - F.col("b.rmse_min")) < 1e-9)
+    return after.withColumn("b", before.agg(F.first(F.struct("r2", "rmse_min"))).scalar()).select(
+        "n", same.alias("same_scores"))
 
 
 @query
 def predictions(spark, sf):
-    model, test, _ = _fitted(spark, sf)
-    return forest.predict(model, test).select("row_key", TARGET, "prediction")
+    df, names = _model_table(spark, sf)
+    train, _ = mf.split_rows(df, ["row_key"])
+    model = forest.train_forest(train, TARGET, names, **SMALL_FOREST)
+    reach = df.agg(F.struct(F.min(TARGET).alias("lo"), F.max(TARGET).alias("hi"))).scalar()
+    return forest.predict(model, df).select(
+        "row_key", TARGET, F.col("prediction").between(reach["lo"], reach["hi"]).alias("predicted"))
 
 
 @query
 def train_classifier(spark, sf):
+    """Whether the forest is right more often than the most frequent class would be."""
     df, names = _model_table(spark, sf)
     train, test = mf.split_rows(df, ["row_key"])
     model = forest.train_classifier(train, TARGET, names, **SMALL_FOREST_CLASSIFIER)
-    labelled = test.withColumn("label", forest.class_index(TARGET))
-    return forest.accuracy(model.transform(labelled))
+    labelled = test.withColumn("label", forest.class_index(TARGET)).where("label is not null")
+    guess = labelled.groupBy("label").count().agg((F.max("count") / F.sum("count"))).scalar()
+    return forest.accuracy(model.transform(labelled)).select((F.col("accuracy") > guess).alias("better_than_guessing"))
 
 
 SMALL_FOREST_CLASSIFIER = {"num_trees": 10, "maxDepth": 6}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from railtide.models.features import COMPACT_FEATURES
 from railtide.constants import IMPACT_WEATHER, MODEL_WEATHER, RAW_COLUMNS, WEATHER_MEASURES
 
 MINUTE = "((l_partkey * 7 + l_linenumber * 53) % 1440)"
@@ -77,18 +78,20 @@ select alias, arg_max(latitude, line_no) as latitude, arg_max(longitude, line_no
   arg_max(geonameid, line_no) as geonameid
 from (select unnest(list_concat([name, ascii_name], string_split(alt_names, ','))) as alias, * from gazetteer)
 where alias <> '' group by alias""",
-    "tracking": """
+    "tracking": "select * from every_tracking where line_no in (select s_suppkey from supplier where s_nationkey < 15)",
+    "every_tracking": """
 select cast(s_suppkey as int) as encoded_id,
   case when s_suppkey % 4 = 0 then cast(46.5 as double) end as new_latitude,
   case when s_suppkey % 4 = 0 then cast(7.5 as double) end as new_longitude,
   '2024-11-01' as date_added, case when s_suppkey % 5 = 3 then 'invalid' else 'pending' end as status,
   s_suppkey as line_no
-from supplier where s_nationkey < 15""",
-    "refreshed": """
+from supplier""",
+    "refreshed": "select * from every_refreshed where line_no in (select line_no from tracking)",
+    "every_refreshed": """
 select encoded_id, new_latitude, new_longitude, date_added,
   case when status = 'pending' and new_latitude is not null and new_longitude is not null then 'updated'
     else status end as status, line_no
-from tracking""",
+from every_tracking""",
     "missing": "select distinct station_id as encoded_id from stops where lat = -999 or lon = -999",
     "tracked": """
 select encoded_id, new_latitude, new_longitude, date_added, status, false as is_new from refreshed
@@ -137,7 +140,8 @@ select *, sum(leg) over (partition by journey_id order by dep_minutes, row_key
 # Which views a view reads.
 NEEDS = {
     "raw": ["stops"], "base": ["stops"], "timed": ["base"], "aliases": ["gazetteer"],
-    "refreshed": ["tracking"], "missing": ["stops"], "tracked": ["refreshed", "missing"],
+    "tracking": ["every_tracking"], "every_refreshed": ["every_tracking"],
+    "refreshed": ["every_refreshed", "tracking"], "missing": ["stops"], "tracked": ["refreshed", "missing"],
     "points": ["timed"], "nearest": ["points", "weather"], "merged": ["nearest"],
     "stats": ["timed"], "tall": ["timed"], "by_minute": ["tall"], "by_hour": ["by_minute"],
     "by_period": ["by_hour"], "legs": ["timed"], "runs": ["legs"],
@@ -236,13 +240,19 @@ COVERAGE = ("count(*) as total, count(*) filter (weather_station_found) as with_
             + r6("count(*) filter (weather_station_found) * 100e0 / count(*)", "coverage_percentage"))
 FOLD_CASES = "case when n - p <= t then 3 when n - p <= 2 * t then 2 when n - p <= 3 * t then 1 else 0 end"
 
+# Importances of two models by formula, one row per country and model.
+IMPORTANCES = """
+select m.model, case n_nationkey when 3 then 'lat' when 7 then 'lon' else n_name end as feature,
+  cast((n_nationkey * m.k) % 31 as double) / 100 as importance
+from nation, (values ('arrival', 7), ('departure', 11)) m(model, k)"""
+
 ORACLE = {
     # sources and sinks
     "scan_csv": over("raw", sql="select * from raw"),
     "scan_exclude_columns": over("raw", sql="""
 select line_id, line_text, extra_flag, cancelled_flag, station_name, arr_sched, arr_prog, arr_status,
   dep_sched, dep_prog, dep_status, pass_through_flag from raw"""),
-    "scan_parquet": "select l_orderkey, l_linenumber, l_quantity from lineitem",
+    "scan_parquet": "select * from lineitem",
     "scan_weather": over("weather", sql="select station_id, valid_time, " + ", ".join(
         f"cast({m} as float) as {m}" for m in WEATHER_MEASURES) + " from weather"),
     "scan_gazetteer": over("gazetteer", sql="""
@@ -259,9 +269,9 @@ select distinct station_id, lat as latitude, lon as longitude from stops"""),
 select encoded_id, cast(null as double) as new_latitude, cast(null as double) as new_longitude,
   '2024-12-01' as date_added, 'pending' as status from missing"""),
     "summary_json": over("timed", sql=(moments("arr_delay_s") + " union all " + moments("dep_delay_s")).replace(" / 60", "")),
-    "sink_versioned": over("stops", "refreshed", sql="""
+    "sink_versioned": over("stops", "every_refreshed", sql="""
 select row_key, station_id, coalesce(new_latitude, lat) as lat, coalesce(new_longitude, lon) as lon
-from stops left join (select * from refreshed where status = 'updated') on station_id = encoded_id"""),
+from stops left join (select * from every_refreshed where status = 'updated') on station_id = encoded_id"""),
     "encoding_table": over("stops", sql=" union all ".join(
         f"""select '{c}' as "column", value, cast(dense_rank() over (order by value) - 1 as int) as code
 from (select distinct coalesce(cast({c} as varchar), 'nan') as value from stops)"""
@@ -310,14 +320,17 @@ select row_key, station_name, {r6('coalesce(latitude, -999)', 'lat')}, {r6('coal
     "gazetteer_alias": over("aliases", sql=f"""
 select alias, {r6('latitude')}, {r6('longitude')}, geonameid from aliases"""),
     "asof_nearest": over("merged", sql=f"""
+select row_key, station_id, datetime, {', '.join(r6(m) for m in WEATHER_MEASURES)},
+  round(cast(cast(time_diff_minutes as float) as double), 2) as time_diff_minutes, weather_station_found from merged"""),
+    "asof_duplicates": over("merged", sql=f"""
 select row_key, station_id, datetime, {', '.join(r6(m) for m in WEATHER_MEASURES)},
   round(cast(cast(time_diff_minutes as float) as double), 2) as time_diff_minutes, weather_station_found from merged"""),
     "tracking_new": over("tracked", sql="select encoded_id, new_latitude, new_longitude, date_added, status from tracked"),
-    "tracking_status": over("refreshed", sql="""
-select encoded_id, new_latitude, new_longitude, date_added, status from refreshed"""),
-    "apply_corrections": over("stops", "refreshed", sql=f"""
+    "tracking_status": over("every_refreshed", sql="""
+select encoded_id, new_latitude, new_longitude, date_added, status from every_refreshed"""),
+    "apply_corrections": over("stops", "every_refreshed", sql=f"""
 select row_key, station_id, {r6('coalesce(new_latitude, lat)', 'lat')}, {r6('coalesce(new_longitude, lon)', 'lon')}
-from stops left join (select * from refreshed where status = 'updated') on station_id = encoded_id"""),
+from stops left join (select * from every_refreshed where status = 'updated') on station_id = encoded_id"""),
     "decode_category": over("stops", sql=f"select row_key, {code('station_name')}, station_name from stops"),
     # aggregates
     "station_delay_stats": over("stats", sql=f"""
@@ -364,8 +377,10 @@ where stats.arr_delay_s_mean > q or stats.dep_delay_s_mean > q"""),
     "top_stations": over("stats", sql=f"""
 select {STATION_COLUMNS} from (select * from stats order by arr_delay_s_mean desc nulls last, station_id limit 15)"""),
     "delay_histogram": over("tall", sql=f""", m as (select max(abs(delay_s)) as m from tall)
-select measure, cast(bin as int) as bin, {r6('bin * (m * 2 / 49) - m', 'left_edge')}, cast(count(*) as bigint) as n
-from (select measure, m, least(floor((delay_s + m) / (m * 2 / 49)), 48) as bin from tall, m) group by measure, bin, m"""),
+select k.measure, cast(b as int) as bin, {r6('b * (m * 2 / 49) - m', 'left_edge')}, cast(count(bin) as bigint) as n
+from (select distinct measure from tall) k cross join range(49) r(b) cross join m
+left join (select measure, least(floor((delay_s + m) / (m * 2 / 49)), 48) as bin from tall, m where delay_s is not null) f
+  on f.measure = k.measure and f.bin = b group by all"""),
     "delay_kde": over("tall", sql=density("select measure, delay_s as value from tall")),
     "station_mean_kde": over("stats", sql=density("""
 select 'arr_delay_s_mean' as measure, arr_delay_s_mean as value from stats
@@ -438,6 +453,32 @@ select row_key, {', '.join(code(c) for c in ('line_id', 'line_text', 'station_na
     "encode_all": over("raw", sql="select " + ", ".join(
         code(ours, header) for header, ours in RAW_COLUMNS.items()) + " from raw"),
     # models
+    "prepared_full": over("merged", sql="select row_key, " + ", ".join(
+        r6(f"coalesce(m.{c}, q.{c}[2])", c) for c in MODEL_WEATHER) + f""",
+  coalesce(cast(arr_minutes as double), 0) as arr_minutes, lat from merged m, (select {QUARTILES} from merged) q"""),
+    "prepared_compact": over("merged", sql="select row_key, " + ", ".join(
+        clipped(c).replace("w.", "m.") for c in MODEL_WEATHER) + f""",
+  coalesce(cast(arr_minutes as double), 0) as arr_minutes, lat from merged m, (select {QUARTILES} from merged) q"""),
+    "importance_mean": f"select feature, {r6('avg(importance)', 'importance')} from ({IMPORTANCES}) group by feature",
+    "importance_topk": f"""select model, feature, {r6('importance')} from ({IMPORTANCES}) where feature in (
+  select feature from ({IMPORTANCES}) group by feature order by avg(importance) desc, feature limit 10)""",
+    "geo_importance": f"""select model, {r6("sum(case when feature in ('lat', 'lon') then importance else 0 end) * 100", 'geo_pct')}
+from ({IMPORTANCES}) group by model""",
+    "feature_vector": over("timed", sql=f"""
+select row_key, true as in_order, {len(COMPACT_FEATURES)} as width, false as has_null from timed"""),
+    # Facts about fitted models that hold whatever the forests look like.
+    "feature_importance": "select 1 as complete, 1 as sums_to_one, 0 as negative",
+    "permutation_importance": "select 1 as complete, 1 as finite, 1 as ordered",
+    "model_roundtrip": over("timed", sql=f"""
+select count(*) as n, true as same_scores from timed where {HASH} % 100 < 20"""),
+    "predictions": over("timed", sql="select row_key, dep_delay_s, true as predicted from timed"),
+    "train_forest": over("timed", sql=f"""
+select count(*) as n, true as explains from timed where {HASH} % 100 < 20"""),
+    "train_classifier": "select true as better_than_guessing",
+    "grid_search": """
+select params, true as scored, true as in_order from (values
+  ('{"minInstancesPerNode": 5, "minInfoGain": 0.0}'), ('{"minInstancesPerNode": 5, "minInfoGain": 0.1}'),
+  ('{"minInstancesPerNode": 10, "minInfoGain": 0.0}'), ('{"minInstancesPerNode": 10, "minInfoGain": 0.1}')) t(params)""",
     "train_test_split": over("stops", sql=f"""
 select row_key, case when {HASH} % 100 < 20 then 'test' else 'train' end as part from stops"""),
     "sample_rows": over("stops", sql="select row_key from stops order by md5(row_key), row_key limit 20000"),

@@ -121,8 +121,14 @@ def gazetteer(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def tracking(spark: SparkSession, sf: str) -> DataFrame:
-    """Stations of some countries are tracked already, some with coordinates, some ruled out."""
-    return table(spark, sf, "supplier").where("s_nationkey < 15").selectExpr(
+    """Stations of some countries are tracked already; the missing ones of the others are new."""
+    some = table(spark, sf, "supplier").where("s_nationkey < 15").select(F.col("s_suppkey").alias("line_no"))
+    return every_tracking(spark, sf).join(some, "line_no", "left_semi")
+
+
+def every_tracking(spark: SparkSession, sf: str) -> DataFrame:
+    """All stations are tracked, some with coordinates, some ruled out."""
+    return table(spark, sf, "supplier").selectExpr(
         "cast(s_suppkey as int) as encoded_id",
         "case when s_suppkey % 4 = 0 then cast(46.5 as double) end as new_latitude",
         "case when s_suppkey % 4 = 0 then cast(7.5 as double) end as new_longitude",

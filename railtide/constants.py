@@ -153,7 +153,6 @@ GEO_FEATURES = ["lat", "lon"]
 INGEST_FOREST = {"numTrees": 500, "maxDepth": 20, "minInstancesPerNode": 10}
 MERGED_FOREST = {"numTrees": 200, "maxDepth": 20, "minInstancesPerNode": 5}
 SEED = 42
-SAMPLE_ROWS = 100_000
 TEST_PERCENT = 20
 
 # Rows one task may hold of a single group before the group is split over several tasks.

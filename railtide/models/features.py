@@ -7,9 +7,9 @@ from pyspark.ml import Pipeline
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from railtide.constants import MODEL_WEATHER, SAMPLE_ROWS, TEST_PERCENT
-from railtide.operators.clean import clip_iqr
-from railtide.operators.ordering import ordered_index
+from railtide.constants import MODEL_WEATHER, TEST_PERCENT
+from railtide.operators.clean import clip_iqr, impute
+from railtide.operators.ordering import rows_at
 
 # --- Fixed values: feature groups of the merged table -------------------------------------------
 BINARY = ["severe_weather", "rush_hour"]
@@ -37,11 +37,14 @@ def feature_list(df: DataFrame, wanted: list[str] = FULL_FEATURES, exclude_leaky
     return [c for c in wanted if c in df.columns and not (exclude_leaky and c in LEAKY)]
 
 
-def prepare_features(df: DataFrame, features: list[str], clip_weather: bool = True) -> DataFrame:
-    """No nulls left in the features: weather clipped and filled with its median, the rest with 0."""
-    weather = [c for c in features if c in MODEL_WEATHER] if clip_weather else []
+def prepare_features(df: DataFrame, features: list[str], clip_weather: bool = False) -> DataFrame:
+    """No nulls left in the features: weather filled with its median, the rest with 0.
+
+    ``clip_weather`` first pulls weather to within one and a half interquartile ranges of the median.
+    """
+    weather = [c for c in features if c in MODEL_WEATHER and c in df.columns]
     if weather:
-        df = clip_iqr(df, weather)
+        df = clip_iqr(df, weather) if clip_weather else impute(df, weather, [])
     return df.withColumns({
         c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features if c not in weather})
 
@@ -88,11 +91,12 @@ def split_rows(df: DataFrame, keys: list[str], test_percent: int = TEST_PERCENT)
     return df.where(~is_test), df.where(is_test)
 
 
-def sample_rows(df: DataFrame, keys: list[str], k: int = SAMPLE_ROWS) -> DataFrame:
-    """Exactly ``k`` rows (or all, if fewer) with the smallest key hashes.
+def sample_rows(df: DataFrame, keys: list[str], k: int) -> DataFrame:
+    """Exactly ``k`` rows (or all, if fewer) with the smallest key hashes, where they are.
 
-    Rows are first counted by the head of their hash; heads past the one that completes ``k`` are
-    filtered out before anything is sorted.
+    Rows are first counted by the head of their hash. Only the rows of the head that completes ``k``
+    are ordered, to find the last key that is taken; the sample is then a filter. Rows that repeat
+    that key are taken with it.
     """
     digest = row_hash(keys)
     head = F.substring(digest, 1, 4)
@@ -100,8 +104,12 @@ def sample_rows(df: DataFrame, keys: list[str], k: int = SAMPLE_ROWS) -> DataFra
     running = Window.orderBy("head").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     heads = df.groupBy(head.alias("head")).agg(F.count(F.lit(1)).alias("n"))
     last = heads.withColumn("_before", F.sum("n").over(running) - F.col("n")).where(
-        F.col("_before") < k).agg(F.max("head"))
-    return df.where(head <= last.scalar()).orderBy(digest, *keys).limit(k)
+        F.col("_before") < k).orderBy(F.desc("head")).first()
+    if last is None:
+        return df.limit(0)
+    place = F.struct(digest.alias("digest"), *keys)
+    edge = df.where(head == last["head"]).select(place.alias("place")).orderBy("place").limit(k - last["_before"])
+    return df.where((head < last["head"]) | ((head == last["head"]) & (place <= edge.agg(F.max("place")).scalar())))
 
 
 def fold_bounds(df: DataFrame, order: list[str], folds: int = 3) -> DataFrame:
@@ -109,12 +117,11 @@ def fold_bounds(df: DataFrame, order: list[str], folds: int = 3) -> DataFrame:
 
     With ``t = rows div (folds + 1)``, the last ``folds * t`` rows in time order form blocks of ``t``.
     """
-    placed = ordered_index(df.select(*order), order)
-    total = placed.count()
+    total = df.count()
     size = total // (folds + 1)
     start_of = {total - size * (folds + 1 - f): f for f in range(1, folds + 1)}
     fold = F.element_at(F.create_map(*[F.lit(v) for kv in start_of.items() for v in kv]), F.col("pos"))
-    return placed.where(F.col("pos").isin(list(start_of))).select(
+    return rows_at(df.select(*order), order, list(start_of)).select(
         fold.cast("int").alias("fold"), F.struct(*order).alias("start"))
 
 

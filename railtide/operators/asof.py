@@ -11,48 +11,42 @@ from railtide.operators.skew import join_spread
 from railtide.session import store
 
 
-def nearest_in_time(points: DataFrame, series: DataFrame, key: str, at: str, time: str,
-                    payload: list[str]) -> DataFrame:
-    """``(key, at, time, payload...)``: for every distinct point the row of ``series`` closest to it.
+def nearest_in_time(points: DataFrame, series: DataFrame, key: str, at: str, time: str) -> DataFrame:
+    """``(key, at, time)``: for every distinct point the time of ``series`` closest to it.
 
     Both sides are stacked and read once forwards and once backwards within each key and day. The
-    last series row before a day and the first one after it are put into that day, so no key has to
-    fit one task and days without series rows are bridged. On equal distance the earlier row wins.
+    last time before a day and the first one after it are put into that day, so no key has to fit
+    one task and days without times are bridged. On equal distance the earlier time wins.
     """
-    row = F.struct(time, *payload)
-    nothing = F.lit(None).cast(series.select(row.alias("_row")).schema["_row"].dataType)
-    stacked = points.select(key, at, nothing.alias("_row")).unionByName(
-        series.select(key, F.col(time).alias(at), row.alias("_row")))
+    stacked = points.select(key, at, F.lit(None).cast(series.schema[time].dataType).alias(time)).unionByName(
+        series.select(key, F.col(time).alias(at), time))
     stacked = stacked.withColumn("_day", F.to_date(at))
 
-    own_time = F.when(F.col("_row").isNotNull(), F.col(at))
-    edges = stacked.groupBy(key, "_day").agg(F.min(own_time).alias("_first"), F.max(own_time).alias("_last"))
+    edges = stacked.groupBy(key, "_day").agg(F.min(time).alias("_first"), F.max(time).alias("_last"))
     # One row per key and day.
     earlier_days = Window.partitionBy(key).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
     later_days = Window.partitionBy(key).orderBy(F.desc("_day")).rowsBetween(Window.unboundedPreceding, -1)
-    borders = (
+    carried = (
         edges.select(key, "_day", F.last("_last", ignorenulls=True).over(earlier_days).alias("_before"),
                      F.last("_first", ignorenulls=True).over(later_days).alias("_after"))
         .select(key, "_day", F.explode(F.array("_before", "_after")).alias(time))
+        .where(F.col(time).isNotNull()).select(key, F.col(time).alias(at), time, "_day")
     )
-    carried = borders.join(series, [key, time]).select(key, F.col(time).alias(at), row.alias("_row"), "_day")
-
-    is_point = F.col("_row").isNull()
+    is_point = F.col(time).isNull()
     forwards = Window.partitionBy(key, "_day").orderBy(F.col(at), is_point)
     backwards = Window.partitionBy(key, "_day").orderBy(F.col(at).desc(), is_point)
     earlier, later = F.col("_earlier"), F.col("_later")
 
     def gap(found):
-        return F.abs(micros_between(found[time], F.col(at)))
+        return F.abs(micros_between(found, F.col(at)))
 
     nearer = F.when(earlier.isNull() | (gap(later) < gap(earlier)), later).otherwise(earlier)
     return (
         stacked.unionByName(carried)
-        .withColumn("_earlier", F.last("_row", ignorenulls=True).over(forwards))
-        .withColumn("_later", F.last("_row", ignorenulls=True).over(backwards))
+        .withColumn("_earlier", F.last(time, ignorenulls=True).over(forwards))
+        .withColumn("_later", F.last(time, ignorenulls=True).over(backwards))
         .where(is_point)
-        .select(key, at, nearer.alias("_found"))
-        .select(key, at, "_found.*")
+        .select(key, at, nearer.alias(time))
     )
 
 
@@ -63,19 +57,22 @@ def add_weather(events: DataFrame, weather: DataFrame, station: str = "station_i
     whether there was any.
 
     The answer depends on station and time alone, so the search runs over the distinct pairs,
-    counted together before the shuffle. A station with a large share of the events then weighs
-    no more than its distinct times. The pairs are stored, so that ``events`` is read once for them.
-    Of several weather rows at one time the smallest is taken.
+    counted together before the shuffle, and carries nothing but times; the measures are joined to
+    what it found. A station with a large share of the events then weighs no more than its distinct
+    times. Pairs and weather are stored, so that each source is read once. Of several weather rows
+    at one time the one with the smallest ``line_no`` is taken, as in the order of a file; without
+    that column the smallest row of measures.
     """
     events = events.where(F.col(at).isNotNull())
     points = store(events.groupBy(station, at).agg(F.count(F.lit(1)).alias("n")).where(
         F.col(station).isNotNull()), "points")
-    observed = (
+    row = F.struct(*measures)
+    first = F.min_by(row, "line_no") if "line_no" in weather.columns else F.min(row)
+    observed = store(
         weather.withColumnRenamed("station_id", station).where(F.col("valid_time").isNotNull())
-        .groupBy(station, "valid_time").agg(F.min(F.struct(*measures)).alias("_m"))
-        .select(station, "valid_time", "_m.*")
-    )
-    nearest = nearest_in_time(points, observed, station, at, "valid_time", measures)
+        .groupBy(station, "valid_time").agg(first.alias("_m")).select(station, "valid_time", "_m.*"), "observed")
+    nearest = nearest_in_time(points, observed.select(station, "valid_time"), station, at, "valid_time")
+    nearest = nearest.join(observed, [station, "valid_time"], "left")
     gap = F.abs(micros_between(F.col("valid_time"), F.col(at))) / F.lit(60e6)
     hot = points.where(F.col("n") > max_rows)
     return join_spread(events, nearest, [station, at], hot, max_rows).withColumns({

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from railtide.constants import (
-    CATEGORY_COLUMNS, FLAG_CODES, FLAG_COLUMNS, MAX_BROADCAST_ROWS, NULL_CATEGORY,
+    CATEGORY_COLUMNS, FLAG_CODES, FLAG_COLUMNS, MAX_BROADCAST_ROWS, MAX_GROUP_ROWS, NULL_CATEGORY,
 )
 from railtide.functions.values import category_text, encode_flag
 from railtide.operators.ordering import ordered_index
-from railtide.operators.skew import join_lookup
+from railtide.operators.skew import join_lookup, join_spread
 from railtide.session import store
 
 
@@ -29,25 +29,39 @@ def category_codes(df: DataFrame, columns: list[str] = CATEGORY_COLUMNS,
 
 
 def encode_categories(df: DataFrame, codes: DataFrame, columns: list[str] = CATEGORY_COLUMNS,
-                      null_token: str = NULL_CATEGORY) -> DataFrame:
+                      null_token: str = NULL_CATEGORY, max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+                      max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Add ``<column>_encoded`` from a code table.
 
-    The smallest lookups are broadcast as long as all of them together stay within the limit.
+    The smallest lookups are broadcast as long as all of them together stay within the limit. For
+    the others frequent values are counted once, over all columns and on the table as it came in,
+    so that each further lookup adds one join and no further look at the table.
     """
     columns = [c for c in columns if c in df.columns]
     # One row per encoded column.
     sizes = {r["column"]: r["count"] for r in codes.groupBy("column").count().collect()}
-    budget = MAX_BROADCAST_ROWS
+    budget = max_broadcast_rows
     small = set()
     for c in sorted(columns, key=lambda c: sizes.get(c, 0)):
         budget -= sizes.get(c, 0)
         if budget >= 0:
             small.add(c)
+    large = [c for c in columns if c not in small]
+    if large:
+        pairs = F.array(*[F.struct(F.lit(c).alias("column"), category_text(F.col(c), null_token).alias("_value"))
+                          for c in large])
+        # At most rows / max_rows values per column.
+        hot = store(df.select(F.inline(pairs)).groupBy("column", "_value").agg(
+            F.count(F.lit(1)).alias("n")).where(F.col("n") > max_rows), "frequent")
     for c in columns:
         own = codes.where(F.col("column") == c).select(
             F.col("value").alias("_value"), F.col("code").alias(f"{c}_encoded"))
         keyed = df.withColumn("_value", category_text(F.col(c), null_token))
-        df = join_lookup(keyed, own, ["_value"], small=c in small).drop("_value")
+        if c in small:
+            df = keyed.join(F.broadcast(own), ["_value"], "left").drop("_value")
+        else:
+            frequent = hot.where(F.col("column") == c).drop("column")
+            df = join_spread(keyed, own, ["_value"], frequent, max_rows).drop("_value")
     return df
 
 

@@ -43,14 +43,16 @@ def join_spread(df: DataFrame, values: DataFrame, keys: list[str], hot: DataFram
     """Left join to ``values`` (one row per key) with the ``hot`` keys of ``df`` dealt out.
 
     A hot key gets a copy of its ``values`` row per ``max_rows`` rows, and the rows of ``df`` are
-    dealt out over the copies by the partition they come from. Rows with a null key match nothing
-    and are dealt out as well.
+    dealt out over the copies by a hash of their other columns, wherever they lie. Rows with a null
+    key match nothing and are dealt out as well.
     """
     hot = F.broadcast(hot.select(*keys, F.ceil(F.col("n") / max_rows).cast("int").alias("_copies")))
     copies = F.coalesce("_copies", F.lit(1))
     no_key = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
+    others = [f.name for f in df.schema if f.name not in keys and f.dataType.typeName() != "map"]
+    row = F.xxhash64(*others) if others else F.lit(0).cast("long")
     dealt = df.join(hot, keys, "left").withColumn(
-        "_salt", F.pmod(F.spark_partition_id(), F.when(no_key, NULL_KEY_SPREAD).otherwise(copies)))
+        "_salt", F.pmod(row, F.when(no_key, NULL_KEY_SPREAD).otherwise(copies)).cast("int"))
     copied = values.join(hot, keys, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), copies - 1)))
     return dealt.drop("_copies").join(copied.drop("_copies"), keys + ["_salt"], "left").drop("_salt")

@@ -11,6 +11,7 @@ from railtide.functions.values import day_period, delay_class, is_on_time, to_mi
 from railtide.operators.quantiles import (
     exact_quantiles, moments_of_counts, quantile_name, quantiles_of_counts, value_counts,
 )
+from railtide.session import store
 
 DELAYS = ["arr_delay_s", "dep_delay_s"]
 KINDS = {"Arrival": ("arr_minutes", "arr_delay_s"), "Departure": ("dep_minutes", "dep_delay_s")}
@@ -31,8 +32,9 @@ def station_stats(df: DataFrame, station: str = "station_id") -> DataFrame:
     stats = df.groupBy(station).agg(*[
         f(d).alias(f"{d}_{name}") for d in DELAYS
         for name, f in (("count", F.count), ("mean", F.avg), ("std", F.stddev_samp))])
-    # One row per station; a second look at the events would cost more than this one task.
-    largest = F.max("arr_delay_s_count").over(Window.partitionBy(F.lit(0)))
+    # One row per station, stored so that the largest count takes no second look at the events.
+    stats = store(stats, "stations")
+    largest = stats.agg(F.max("arr_delay_s_count")).scalar()
     return stats.withColumn("bubble_size", F.col("arr_delay_s_count") / largest * 300)
 
 
@@ -119,16 +121,21 @@ def delay_classes(df: DataFrame, delay: str = "dep_delay_s") -> DataFrame:
 
 
 def delay_histogram(df: DataFrame, bins: int = 49) -> DataFrame:
-    """Counts over equal bins between plus and minus the largest delay; empty bins are left out."""
+    """Counts over equal bins between plus and minus the largest delay, empty bins with 0."""
     counts = value_counts(df, DELAYS)
     # The total keeps this the same aggregation as the counts, whose shuffle then serves both.
     shape = counts.agg(F.struct(F.max(F.abs("value")).alias("reach"), F.sum("n").alias("total")).alias("s"))
     width = F.col("_m") * 2 / bins
     bin_no = F.coalesce(F.floor(F.try_divide(F.col("value") + F.col("_m"), width)), F.lit(0))
+    # One row of zero per measure and bin joins the counts.
+    every = F.explode(F.array(*[F.lit(d) for d in DELAYS])).alias("measure")
+    empty = df.sparkSession.range(1).select(every).select(
+        "measure", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), F.lit(0).cast("long").alias("n"))
+    filled = counts.withColumn("_m", shape.scalar()["reach"]).select(
+        "measure", F.least(bin_no, F.lit(bins - 1)).cast("int").alias("bin"), "n")
     return (
-        counts.withColumn("_m", shape.scalar()["reach"])
-        .groupBy("measure", F.least(bin_no, F.lit(bins - 1)).cast("int").alias("bin"), "_m")
-        .agg(F.sum("n").alias("n"))
+        filled.unionByName(empty).groupBy("measure", "bin").agg(F.sum("n").alias("n"))
+        .withColumn("_m", shape.scalar()["reach"])
         .select("measure", "bin", (F.col("bin") * width - F.col("_m")).alias("left_edge"), "n")
     )
 

@@ -33,15 +33,18 @@ def write_chunks(df: DataFrame, path: str, rows_per_file: int = 10_000, rows_per
 def write_csv(df: DataFrame, path: str, order: list[str] = (), one_file: bool = False,
               mode: str = "errorifexists") -> None:
     """CSV with header. ``one_file`` is for tables of dimension size."""
-    out = df.orderBy(*order) if order else df
     if one_file:
-        out = out.coalesce(1)
+        # A shuffle of its own, so that only the writing takes place in one task.
+        out = df.repartition(1)
+        out = out.sortWithinPartitions(*order) if order else out
+    else:
+        out = df.orderBy(*order) if order else df
     out.write.mode(mode).option("header", True).csv(path)
 
 
 def write_summary(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """A small summary table as JSON lines."""
-    df.coalesce(1).write.mode(mode).option("ignoreNullFields", False).json(path)
+    df.repartition(1).write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
 def write_encodings(codes: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -67,12 +70,19 @@ def write_version(df: DataFrame, root: str, version: str) -> None:
 
 
 def read_version(spark: SparkSession, root: str, version: str | None = None) -> DataFrame:
-    """A version of a table, the latest one by default. Only its folder is scanned."""
-    versions = spark.read.option("recursiveFileLookup", False).parquet(root)
-    versions = versions.withColumn("version", F.col("version").cast("string"))
+    """A version of a table, the latest one by default. Only its folder is read; the latest one is
+    found by the names of the folders."""
     if version is None:
-        version = versions.agg(F.max("version")).first()[0]
-    return versions.where(F.col("version") == version).drop("version")
+        version = max(versions(spark, root))
+    return spark.read.parquet(f"{root}/version={version}")
+
+
+def versions(spark: SparkSession, root: str) -> list[str]:
+    """Versions of a table by its folders."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    listed = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    names = [entry.getPath().getName() for entry in listed if entry.isDirectory()]
+    return [n.removeprefix("version=") for n in names if n.startswith("version=")]
 
 
 def read_back(spark: SparkSession, path: str, columns: list[str]):

@@ -44,12 +44,19 @@ def read_table(spark: SparkSession, path: str | list[str], pattern: str | None =
 
 
 def read_weather_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Typed weather; further columns of the file are ignored."""
-    raw = spark.read.option("header", True).csv(path)
+    """Typed weather with ``line_no``, its sortable place in the files; further columns are ignored.
+
+    All files must have the same columns in the same order; one that differs fails instead of
+    putting a measure under another one's name.
+    """
+    reader = spark.read.option("header", True)
+    raw = reader.schema(reader.csv(path).schema).option("enforceSchema", False).csv(path)
     station = F.col("station_id").try_cast("double").cast("int").alias("station_id")
     time = F.col("valid_time").try_cast("timestamp_ntz").alias("valid_time")
     measures = [F.col(m).try_cast("float").alias(m) for m in WEATHER_MEASURES]
-    return raw.select(station, time, *measures).to(WEATHER_SCHEMA)
+    typed = raw.select(station, time, *measures, line_number().alias("line_no"))
+    kinds = {f.name: f.dataType for f in WEATHER_SCHEMA}
+    return typed.select(*[F.col(c).cast(kinds[c]).alias(c) for c in kinds], "line_no")
 
 
 def read_gazetteer(spark: SparkSession, path: str) -> DataFrame:

@@ -7,12 +7,6 @@ from checks.queries import QUERIES
 from checks.sql import ORACLE
 from conftest import SMALL
 
-MODEL_QUERIES = {
-    "train_forest", "grid_search", "feature_importance", "importance_mean", "importance_topk",
-    "geo_importance", "permutation_importance", "model_roundtrip", "predictions", "train_classifier",
-    "feature_vector",
-}
-
 
 @pytest.fixture(scope="module")
 def duck():
@@ -20,8 +14,7 @@ def duck():
 
 
 def test_every_sql_belongs_to_a_query():
-    assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == MODEL_QUERIES
+    assert set(ORACLE) == set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
