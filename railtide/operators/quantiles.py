@@ -13,8 +13,11 @@ BUCKETS = 64
 SKETCH_ACCURACY = 1000
 
 
-def value_counts(df: DataFrame, measures: list[str], by: list[str] = ()) -> DataFrame:
-    """``(by..., measure, value, n)``: how often each non-null value of each measure occurs."""
+def value_counts(df: DataFrame, measures: list[str], by: list[str] = (), keep_null: bool = False) -> DataFrame:
+    """``(by..., measure, value, n)``: how often each non-null value of each measure occurs.
+
+    ``keep_null`` adds a row with a null value for the rows without one.
+    """
     pairs = F.array(*[
         F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value")) for m in measures])
     if len(measures) == 1:
@@ -23,7 +26,7 @@ def value_counts(df: DataFrame, measures: list[str], by: list[str] = ()) -> Data
     else:
         tall = df.select(*by, F.inline(pairs))
     return (
-        tall.where(F.col("value").isNotNull())
+        (tall if keep_null else tall.where(F.col("value").isNotNull()))
         .groupBy(*by, "measure", "value").agg(F.count(F.lit(1)).alias("n"))
     )
 

@@ -9,7 +9,7 @@ from railtide.constants import IMPACT_WEATHER
 from railtide.functions.times import hour_of_minutes
 from railtide.functions.values import day_period, delay_class, is_on_time, to_minutes
 from railtide.operators.quantiles import (
-    exact_quantiles, moments_of_counts, quantile_name, quantiles_of_counts, value_counts,
+    approximate_quantiles, exact_quantiles, moments_of_counts, quantile_name, quantiles_of_counts, value_counts,
 )
 from railtide.session import store
 
@@ -56,11 +56,25 @@ def outlier_stations(stats: DataFrame) -> DataFrame:
     return stats.withColumn("_limit", limit).where(above).drop("_limit")
 
 
-def describe_values(df: DataFrame, columns: list[str], quantiles: dict[float, str],
-                    unit: float = 1) -> DataFrame:
-    """Moments, range and named quantiles of each column divided by ``unit``, one row per column."""
-    counts = value_counts(df, columns)
-    exact = quantiles_of_counts(counts, list(quantiles)).drop("n")
+def known_counts(df: DataFrame | None, columns: list[str], counts: DataFrame | None) -> DataFrame:
+    """Value counts of the columns, from a table that counted them already if there is one."""
+    if counts is None:
+        return value_counts(df, columns)
+    return counts.where(F.col("measure").isin(list(columns)) & F.col("value").isNotNull())
+
+
+def describe_values(df: DataFrame | None, columns: list[str], quantiles: dict[float, str], unit: float = 1,
+                    counts: DataFrame | None = None, accuracy: int | None = None) -> DataFrame:
+    """Moments, range and named quantiles of each column divided by ``unit``, one row per column.
+
+    ``counts`` are value counts made before. With ``accuracy`` quantiles come from sketches with a
+    relative rank error of its reciprocal, which needs ``df``, instead of exactly.
+    """
+    counts = known_counts(df, columns, counts)
+    if accuracy is None:
+        exact = quantiles_of_counts(counts, list(quantiles)).drop("n")
+    else:
+        exact = approximate_quantiles(df, columns, list(quantiles), accuracy=accuracy).drop("n")
     # Both sides have one row per column.
     return moments_of_counts(counts).join(F.broadcast(exact), "measure").select(
         "measure", "n", *[(F.col(c) / unit).alias(c) for c in ("mean", "std", "min", "max")],
@@ -68,9 +82,15 @@ def describe_values(df: DataFrame, columns: list[str], quantiles: dict[float, st
         *[(F.col(quantile_name(p)) / unit).alias(name) for p, name in quantiles.items()])
 
 
-def delay_stats(df: DataFrame, unit_seconds: float = 1) -> DataFrame:
+def delay_counts(df: DataFrame) -> DataFrame:
+    """How often each value of both delays occurs, missing ones included: enough for most statistics."""
+    return value_counts(df, DELAYS, keep_null=True)
+
+
+def delay_stats(df: DataFrame | None, unit_seconds: float = 1, counts: DataFrame | None = None,
+                accuracy: int | None = None) -> DataFrame:
     """Mean, median, deviation, skew, excess kurtosis, 90 % and 95 % quantile of both delays."""
-    found = describe_values(df, DELAYS, {0.5: "median", 0.9: "q90", 0.95: "q95"}, unit_seconds)
+    found = describe_values(df, DELAYS, {0.5: "median", 0.9: "q90", 0.95: "q95"}, unit_seconds, counts, accuracy)
     return found.select("measure", "mean", "std", "skew", "kurtosis", "median", "q90", "q95")
 
 
@@ -80,34 +100,34 @@ def delay_by_minute(df: DataFrame) -> DataFrame:
         F.avg("delay_s").alias("mean_delay_s"))
 
 
-def delay_by_hour(df: DataFrame) -> DataFrame:
+def delay_by_hour(df: DataFrame | None, by_minute: DataFrame | None = None) -> DataFrame:
     """Hourly profile in minutes: every minute of the hour weighs the same."""
     return (
-        delay_by_minute(df).groupBy("kind", hour_of_minutes(F.col("minutes")).alias("hour"))
+        (delay_by_minute(df) if by_minute is None else by_minute).groupBy("kind", hour_of_minutes(F.col("minutes")).alias("hour"))
         .agg(F.avg(to_minutes(F.col("mean_delay_s"))).alias("delay_min"))
     )
 
 
-def hourly_trend(df: DataFrame) -> DataFrame:
+def hourly_trend(df: DataFrame | None, by_minute: DataFrame | None = None) -> DataFrame:
     """Centred three-hour mean of the hourly profile, null where an hour of the three is missing."""
     # At most 24 rows per kind.
     three = Window.partitionBy("kind").orderBy("hour").rowsBetween(-1, 1)
     full = F.count("delay_min").over(three) == 3
-    return delay_by_hour(df).withColumn("trend_min", F.when(full, F.avg("delay_min").over(three)))
+    return delay_by_hour(df, by_minute).withColumn("trend_min", F.when(full, F.avg("delay_min").over(three)))
 
 
-def delay_by_period(df: DataFrame) -> DataFrame:
+def delay_by_period(df: DataFrame | None, by_minute: DataFrame | None = None) -> DataFrame:
     """Day-period profile in minutes: every hour of the period weighs the same."""
     return (
-        delay_by_hour(df).groupBy("kind", day_period(F.col("hour")).alias("period"))
+        delay_by_hour(df, by_minute).groupBy("kind", day_period(F.col("hour")).alias("period"))
         .agg(F.avg("delay_min").alias("delay_min"))
     )
 
 
-def extreme_periods(df: DataFrame) -> DataFrame:
+def extreme_periods(df: DataFrame | None, by_minute: DataFrame | None = None) -> DataFrame:
     """The day period and kind with the highest and the one with the lowest delay."""
     at = F.struct("period", "kind", "delay_min")
-    found = delay_by_period(df).agg(
+    found = delay_by_period(df, by_minute).agg(
         F.max_by(at, "delay_min").alias("highest"), F.min_by(at, "delay_min").alias("lowest"))
     sides = [F.struct(F.lit(n).alias("extreme"), F.col(f"{n}.period").alias("period"),
                       F.col(f"{n}.kind").alias("kind"), F.col(f"{n}.delay_min").alias("delay_min"))
@@ -115,21 +135,24 @@ def extreme_periods(df: DataFrame) -> DataFrame:
     return found.select(F.inline(F.array(*sides)))
 
 
-def delay_classes(df: DataFrame, delay: str = "dep_delay_s") -> DataFrame:
+def delay_classes(df: DataFrame | None, delay: str = "dep_delay_s", counts: DataFrame | None = None) -> DataFrame:
     """Rows per delay class."""
+    if counts is not None:
+        own = counts.where(F.col("measure") == delay)
+        return own.groupBy(delay_class(F.col("value")).alias("delay_class")).agg(F.sum("n").alias("n"))
     return df.groupBy(delay_class(F.col(delay)).alias("delay_class")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def delay_histogram(df: DataFrame, bins: int = 49) -> DataFrame:
+def delay_histogram(df: DataFrame | None, bins: int = 49, counts: DataFrame | None = None) -> DataFrame:
     """Counts over equal bins between plus and minus the largest delay, empty bins with 0."""
-    counts = value_counts(df, DELAYS)
+    counts = known_counts(df, DELAYS, counts)
     # The total keeps this the same aggregation as the counts, whose shuffle then serves both.
     shape = counts.agg(F.struct(F.max(F.abs("value")).alias("reach"), F.sum("n").alias("total")).alias("s"))
     width = F.col("_m") * 2 / bins
     bin_no = F.coalesce(F.floor(F.try_divide(F.col("value") + F.col("_m"), width)), F.lit(0))
     # One row of zero per measure and bin joins the counts.
     every = F.explode(F.array(*[F.lit(d) for d in DELAYS])).alias("measure")
-    empty = df.sparkSession.range(1).select(every).select(
+    empty = counts.sparkSession.range(1).select(every).select(
         "measure", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), F.lit(0).cast("long").alias("n"))
     filled = counts.withColumn("_m", shape.scalar()["reach"]).select(
         "measure", F.least(bin_no, F.lit(bins - 1)).cast("int").alias("bin"), "n")
@@ -140,13 +163,14 @@ def delay_histogram(df: DataFrame, bins: int = 49) -> DataFrame:
     )
 
 
-def density(df: DataFrame, columns: list[str], points: int = GRID_POINTS, unit: float = 60) -> DataFrame:
+def density(df: DataFrame | None, columns: list[str], points: int = GRID_POINTS, unit: float = 60,
+            counts: DataFrame | None = None) -> DataFrame:
     """Gaussian kernel density over an even grid reaching three bandwidths past the data.
 
     Bandwidth is the deviation times ``n ** -0.2``. Each distinct value enters once, weighted by
     how often it occurs.
     """
-    counts = value_counts(df, columns).withColumn("value", F.col("value") / unit)
+    counts = known_counts(df, columns, counts).withColumn("value", F.col("value") / unit)
     value, n = F.col("value"), F.col("n")
     shape = moments_of_counts(counts).select(
         "measure", F.col("n").alias("_total"), (F.col("std") * F.pow("n", F.lit(-0.2))).alias("_h"),
@@ -165,8 +189,13 @@ def density(df: DataFrame, columns: list[str], points: int = GRID_POINTS, unit:
     )
 
 
-def on_time_rate(df: DataFrame, tolerance: int = 60) -> DataFrame:
+def on_time_rate(df: DataFrame | None, tolerance: int = 60, counts: DataFrame | None = None) -> DataFrame:
     """Percent of arrivals and departures within the tolerance."""
+    if counts is not None:
+        good = F.when(is_on_time(F.col("value"), tolerance), F.col("n")).otherwise(0)
+        return counts.agg(*[
+            (100 * F.sum(F.when(F.col("measure") == d, good)) / F.sum(F.when(F.col("measure") == d, F.col("n")))).alias(name)
+            for name, d in (("arrival_pct", "arr_delay_s"), ("departure_pct", "dep_delay_s"))])
     rates = [(100 * F.avg(is_on_time(F.col(d), tolerance).cast("double"))).alias(name)
              for name, d in (("arrival_pct", "arr_delay_s"), ("departure_pct", "dep_delay_s"))]
     return df.agg(*rates)

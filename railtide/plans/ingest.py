@@ -15,7 +15,7 @@ from railtide.operators.clean import cast_columns, filter_in_lists, keep_real
 from railtide.operators.encode import category_codes, encode_categories, encode_flags, encoding_table
 from railtide.operators.geo import add_coordinates, gazetteer_aliases
 from railtide.operators.quality import counted
-from railtide.session import store
+from railtide.session import leaves_nothing, store
 from railtide.sinks.files import write_encodings, write_table, with_source_headers
 from railtide.sources.files import filter_months, read_gazetteer, read_stop_csv, recent_months
 
@@ -42,6 +42,7 @@ def process(cleaned: DataFrame, codes: DataFrame, aliases: DataFrame | None = No
     return cast_columns(df.select(*kept))
 
 
+@leaves_nothing
 def run(spark: SparkSession, raw_path: str | list[str], out: str, gazetteer_path: str | None = None,
         filters: dict = LINE_FILTER, months: int | None = None, as_of: date | None = None,
         source_layout: bool = False) -> dict[str, int]:

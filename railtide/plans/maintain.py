@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from railtide.constants import TRACKING_SCHEMA
 from railtide.operators.geo import apply_corrections, station_mapping
 from railtide.operators.tracking import missing_stations, track, tracking_summary
+from railtide.session import store
 from railtide.sinks.files import read_version, write_csv, write_version
 from railtide.sources.files import line_number, open_tracking
 
@@ -18,7 +19,7 @@ def detect_missing(spark: SparkSession, df: DataFrame, tracking_path: str, out_p
                    as_of: str) -> DataFrame:
     """Write the tracking list with new stations appended to ``out_path``; returns its summary."""
     known = open_tracking(spark, tracking_path)
-    missing = missing_stations(df, STATION)
+    missing = store(missing_stations(df, STATION), "missing")
     write_csv(track(known, missing, as_of), out_path, one_file=True)
     return tracking_summary(known, missing, as_of)
 

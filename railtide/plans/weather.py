@@ -9,8 +9,9 @@ from railtide.functions.times import synthetic_datetime
 from railtide.operators.asof import add_weather
 from railtide.operators.clean import coerce_numeric
 from railtide.operators.quality import stations_without_weather, time_diff_stats, weather_coverage
+from railtide.session import leaves_nothing
 from railtide.sinks.files import write_chunks, write_summary, write_table
-from railtide.sources.files import read_table, read_weather_csv
+from railtide.sources.files import read_processed, read_table, read_weather_csv
 
 STATION = "station_name_encoded"
 
@@ -28,10 +29,12 @@ def merge(events: DataFrame, weather: DataFrame, mode: str = "actual") -> DataFr
     return add_weather(with_datetime(events, mode), weather, station=STATION)
 
 
+@leaves_nothing
 def run(spark: SparkSession, processed_path: str, weather_path: str, out: str, mode: str = "actual",
         small_files: bool = False) -> None:
-    """Write ``out/merged`` and, from the written table, the three parts of ``out/coverage``."""
-    df = merge(read_table(spark, processed_path), read_weather_csv(spark, weather_path), mode)
+    """Write ``out/merged`` and, from the written table, the three parts of ``out/coverage``; all three
+    are in ``out/coverage/report`` as JSON too."""
+    df = merge(read_processed(spark, processed_path), read_weather_csv(spark, weather_path), mode)
     if small_files:
         write_chunks(df, f"{out}/merged")
     else:
@@ -40,3 +43,6 @@ def run(spark: SparkSession, processed_path: str, weather_path: str, out: str, m
     write_table(weather_coverage(written, station=STATION), f"{out}/coverage/levels", files=1)
     write_table(stations_without_weather(written, STATION), f"{out}/coverage/stations", files=1)
     write_summary(time_diff_stats(written), f"{out}/coverage/time_diff")
+    for part in ("levels", "stations"):
+        write_summary(read_table(spark, f"{out}/coverage/{part}"), f"{out}/coverage/report/{part}")
+    write_summary(spark.read.json(f"{out}/coverage/time_diff"), f"{out}/coverage/report/time_diff")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import re
 import tempfile
 import uuid
@@ -52,9 +53,30 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_FOLDERS[application]
 
 
+# Folders of the plans that are running, the innermost last.
+_PLANS: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/railtide/{name}-{uuid.uuid4().hex}"
+    """A new path below the shared folder, or below the folder of the running plan."""
+    root = _PLANS[-1] if _PLANS else f"{shared_dir(spark).rstrip('/')}/railtide"
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+def leaves_nothing(plan):
+    """Run a plan, whose first argument is the session, with a folder for its intermediate tables
+    that is removed when it ends. What it returns must not read them."""
+    @functools.wraps(plan)
+    def run(spark: SparkSession, *args, **options):
+        folder = scratch_path(spark, plan.__module__.rsplit(".", 1)[-1])
+        _PLANS.append(folder)
+        try:
+            return plan(spark, *args, **options)
+        finally:
+            _PLANS.pop()
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return run
 
 
 def store(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from railtide.constants import (
-    EXCLUDED_COLUMNS, GAZETTEER_SCHEMA, RAW_COLUMNS, TRACKING_SCHEMA, WEATHER_MEASURES, WEATHER_SCHEMA,
+    EXCLUDED_COLUMNS, GAZETTEER_SCHEMA, PROCESSED_HEADERS, RAW_COLUMNS, TRACKING_SCHEMA, WEATHER_MEASURES, WEATHER_SCHEMA,
 )
 from railtide.operators.tracking import refresh_status
 
@@ -43,6 +43,19 @@ def read_table(spark: SparkSession, path: str | list[str], pattern: str | None =
     return reader.parquet(*([path] if isinstance(path, str) else path))
 
 
+def read_processed(spark: SparkSession, path: str, months: list[str] | None = None) -> DataFrame:
+    """A processed or merged table under our names, also if it was written under its original headers.
+
+    ``months`` (``yyyy-MM``) reads only the folders of those months where the table is partitioned
+    by ``period``.
+    """
+    df = spark.read.parquet(path)
+    df = df.withColumnsRenamed({theirs: ours for ours, theirs in PROCESSED_HEADERS.items() if theirs in df.columns})
+    if months is None:
+        return df
+    return df.where(F.col("period").cast("string").isin(months)) if "period" in df.columns else filter_months(df, months)
+
+
 def read_weather_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Typed weather with ``line_no``, its sortable place in the files; further columns are ignored.
 

@@ -10,10 +10,12 @@ from checks import queries, views
 from conftest import SMALL, rows
 from railtide.constants import PROCESSED_HEADERS, PROCESSED_TYPES
 from railtide.models import forest
-from railtide.operators import clean, geo
+from railtide.operators import clean, encode, geo, stats
 from railtide.operators.journey import journey_features
 from railtide.plans import analyse, ingest, maintain, train, weather
+from railtide.session import leaves_nothing, scratch_path, store
 from railtide.sinks import files as sinks
+from railtide.sources.files import read_processed, read_weather_csv
 
 
 def plan(df):
@@ -92,7 +94,20 @@ def test_whole_chain(spark):
               {"minInstancesPerNode": [5, 10]}, **small)
     assert spark.read.json(f"{root}/compact/arrival_cv").count() == 2
     assert forest.load_model(f"{root}/compact/arrival_model").stages
+    assert spark.read.parquet(f"{root}/compact/arrival_predictions").count() == merged.count()
     train.run_on_processed(spark, f"{root}/out/processed", f"{root}/plain", ["trip_id"], **small)
+    assert spark.read.parquet(f"{root}/plain/departure_predictions").count() == processed.count()
+    train.run_classifier(spark, f"{root}/out/processed", f"{root}/classes", ["trip_id"], num_trees=3, maxDepth=4)
+    assert 0 < spark.read.json(f"{root}/classes/class_accuracy").first()[0] <= 1
+    same = read_processed(spark, f"{root}/same/processed")
+    assert set(same.columns) == set(PROCESSED_HEADERS)
+    analyse.run(spark, f"{root}/same/processed", f"{root}/same/encodings", f"{root}/same/stats")
+    for name in ("histogram", "delay_stats", "on_time", "classes", "hourly"):
+        assert spark.read.json(f"{root}/same/stats/{name}").count() == spark.read.json(f"{root}/stats/{name}").count()
+    month = processed.agg(F.max("period")).first()[0]
+    text = plan(read_processed(spark, f"{root}/out/processed", [month]).select("trip_id"))
+    assert "PartitionFilters: [" in text and month in text.split("PartitionFilters: [")[1].split("\n")[0]
+    assert spark.read.json(f"{root}/joined/coverage/report/levels").where("level = 'all'").first()["total"] == expected
     assert spark.read.json(f"{root}/plain/geo_importance").count() == 2
 
 
@@ -147,3 +162,87 @@ def test_importance_of_a_column_that_decides(spark):
     assert forest.feature_importance(model, ["a", "b"], spark).first()["feature"] == "a"
     top = forest.permutation_importance(model, df, "y", ["a", "b"], ["key"]).first()
     assert top["feature"] == "a" and top["importance"] > 0.5
+
+
+def test_encoder_plan_grows_with_the_columns(spark):
+    """Every large column adds one join; the facts appear once however many there are."""
+    df = spark.range(2000).select(
+        "id", *[(F.col("id") % (60 + n)).cast("string").alias(f"c{n}") for n in range(5)],
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("c5"))
+    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    df.write.parquet(f"{root}/facts")
+    facts = spark.read.parquet(f"{root}/facts")
+    columns = [f"c{n}" for n in range(6)]
+    codes = encode.category_codes(facts, columns)
+    plain = encode.encode_categories(facts, codes, columns)
+    large = encode.encode_categories(facts, codes, columns, max_broadcast_rows=50, max_rows=100)
+    names = ["id", *[f"{c}_encoded" for c in columns]]
+    assert rows(plain.select(names)) == rows(large.select(names))
+    optimised = large._jdf.queryExecution().optimizedPlan().toString()
+    assert optimised.count("Relation [id#") == 1
+
+
+def test_station_maximum_takes_no_single_task(spark):
+    text = plan(stats.station_stats(views.timed(spark, SMALL)))
+    assert "SinglePartition" not in text.split("Subqueries")[0]
+
+
+def test_analyse_reads_the_table_a_few_times(spark):
+    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    df = views.timed(spark, SMALL)
+    counts = store(stats.delay_counts(df), "counts")
+    by_minute = store(stats.delay_by_minute(df), "by-minute")
+    pairs = [
+        (stats.delay_stats(df), stats.delay_stats(None, counts=counts)),
+        (stats.delay_histogram(df), stats.delay_histogram(None, counts=counts)),
+        (stats.delay_classes(df), stats.delay_classes(None, counts=counts)),
+        (stats.delay_by_period(df), stats.delay_by_period(None, by_minute)),
+        (stats.on_time_rate(df), stats.on_time_rate(None, counts=counts)),
+    ]
+    for plain, derived in pairs:
+        a, b = (x.toPandas().sort_values(x.columns[:2], ignore_index=True).round(6) for x in (plain, derived))
+        assert a.equals(b[a.columns])
+        assert "lineitem" not in plan(derived)
+    near = stats.delay_stats(df, accuracy=10_000).toPandas()
+    assert (near.set_index("measure")["median"] - pairs[0][0].toPandas().set_index("measure")["median"]).abs().max() <= 5
+    assert os.path.isdir(root)
+
+
+def test_a_plan_leaves_nothing_behind(spark):
+    seen = []
+
+    @leaves_nothing
+    def some_plan(session):
+        seen.append(scratch_path(session, "x").rsplit("/", 1)[0])
+        return store(session.range(5), "y").count()
+
+    assert some_plan(spark) == 5
+    assert seen[0].startswith("/") and not os.path.exists(seen[0])
+
+
+def test_weather_with_another_column_order_fails(spark):
+    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    df = views.weather(spark, SMALL).drop("event_id").coalesce(1)
+    df.write.option("header", True).csv(f"{root}/w")
+    df.select(*reversed(df.columns)).write.mode("append").option("header", True).csv(f"{root}/w")
+    with pytest.raises(Exception, match="header"):
+        read_weather_csv(spark, f"{root}/w").collect()
+
+
+def test_full_variant_keeps_extreme_weather(spark):
+    df = spark.createDataFrame([(1.0,)] * 20 + [(500.0,), (None,)], "wind_speed double")
+    from railtide.models import features as mf
+    full = sorted(r[0] for r in mf.prepare_features(df, ["wind_speed"]).collect())
+    assert full[-1] == 500.0 and full[0] == 1.0 and len(full) == 22
+    assert max(r[0] for r in mf.prepare_features(df, ["wind_speed"], clip_weather=True).collect()) == 1.0
+
+
+def test_sample_is_spread_out_and_scores_are_of_all_rows(spark):
+    from railtide.models import features as mf
+    df = spark.range(0, 150_000, 1, 8).select(F.col("id").cast("string").alias("key"), (F.col("id") % 50).cast("double").alias("a")) \
+        .withColumn("y", F.col("a") * 10)
+    taken = mf.sample_rows(df, ["key"], 30_000)
+    assert taken.count() == 30_000 and taken.rdd.getNumPartitions() > 1
+    part, test = mf.split_rows(df, ["key"])
+    model = forest.train_forest(mf.sample_rows(part, ["key"], 1_000), "y", ["a"], scale=False, numTrees=2, maxDepth=4)
+    assert forest.summary(model, test, "m", "y", ["a"], {}).first()["n"] == test.count() > 29_000
