@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -13,6 +14,7 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     session = build_session("local[4]", "tests", spark__sql__shuffle__partitions="4", spark__ui__enabled="false",
+                            spark__checkpoint__dir=tempfile.mkdtemp(prefix="tests-"),
                             spark__ui__showConsoleProgress="false", spark__driver__memory="8g")
     session.sparkContext.setLogLevel("ERROR")
     yield session
