@@ -187,12 +187,39 @@ _LAST_LATIN = "\u017f"
 _PUNCTUATION = ".,;:!?"
 
 
+class _Pieces(dict):
+    """Ids of the pieces between spaces, worked out when first asked for.
+
+    ``before`` is the space that belongs to every piece, or nothing.
+    """
+
+    def __init__(self, encoder: WordEncoder, before: str):
+        super().__init__()
+        self.encoder, self.before = encoder, before
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self[piece] = self._work_out(piece)
+        return ids
+
+    def _work_out(self, piece: str) -> bytes:
+        base = piece.rstrip(_PUNCTUATION)
+        if base and base.isalpha() and max(base) <= _LAST_LATIN and self.encoder.bytewise:
+            if base == piece:
+                return self.encoder.word(self.before, piece)
+            return self[base] + self.encoder.bare[piece[len(base):]]
+        head, line_end, tail = piece.partition("\n")
+        if line_end and head:
+            return self[head] + self.encoder.line_end + (self.encoder.bare[tail] if tail else b"")
+        return self.encoder.plain([self.before + piece])[0]
+
+
 class WordEncoder:
     """Ids of whole texts, remembering the ids of words.
 
-    Byte-level BPE starts a new piece at a single space before a visible character, so words can be
-    encoded on their own, each with the space before it. A text with two white space characters in
-    a row is encoded whole.
+    Byte-level BPE starts a new piece at a single space before a visible character, so what lies
+    between spaces can be encoded on its own, with the space before it. A line end between visible
+    characters is a piece, a run of Latin letters is one, and so is the punctuation after it. A text
+    with two white space characters in a row is encoded whole.
     """
 
     def __init__(self, path: str):
@@ -201,83 +228,42 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.double = re.compile(r"\s\s").search
-        self.space = re.compile(r"\s").search
-        self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.known: dict[str, bytes] = {}
-        # At most one entry per run of a few punctuation marks.
-        self.tails: dict[str, bytes] = {}
+        self.line_end = self.plain(["\n"])[0]
         probes = ["word", "É", "ñandú", "straße", "x"]
-        self.bytewise = all(self._encode([" " + w])[0] == self._word(w) for w in probes)
+        self.bytewise = all(self.plain([b + w])[0] == self.word(b, w) for w in probes for b in (" ", ""))
+        self.spaced, self.bare = _Pieces(self, " "), _Pieces(self, "")
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
+    def plain(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        return [array("I", e.ids).tobytes() for e in found]
 
-    def _word(self, word: str) -> bytes:
+    def word(self, before: str, word: str) -> bytes:
         """Ids of a word of Latin letters and the space before it, which is one piece."""
         symbols = word if word.isascii() else word.encode().decode("latin-1").translate(_SYMBOLS)
-        return array("I", [t.id for t in self.tokenizer.model.tokenize(_SYMBOLS[32] + symbols)]).tobytes()
-
-    def _learn(self, words: list[str]) -> None:
-        """Remember the ids of words that have a space before them.
-
-        A word of Latin letters is one piece, and punctuation after it is another. Other words
-        without white space are encoded together, a line each: before a space a line end is a piece
-        of its own, with an id that nothing else has.
-        """
-        known, plain, odd = self.known, [], []
-        for word in words:
-            base = word.rstrip(_PUNCTUATION)
-            if base and self.bytewise and base.isalpha() and max(base) <= _LAST_LATIN:
-                ids = known.get(base)
-                if ids is None:
-                    ids = known[base] = self._word(base)
-                if base != word:
-                    tail = word[len(base):]
-                    if tail not in self.tails:
-                        self.tails[tail] = self._encode([tail])[0]
-                    known[word] = ids + self.tails[tail]
-            elif word and not self.space(word):
-                plain.append(word)
-            else:
-                odd.append(word)
-        if plain and len(self.line_end) == 1:
-            ids = np.array(self.tokenizer.encode_batch_fast(
-                ["\n".join([" " + w for w in plain])], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.append(np.flatnonzero(ids == self.line_end[0]), len(ids))
-            if len(ends) == len(plain):
-                data, edges = ids.tobytes(), (ends * 4).tolist()
-                starts = [0, *(e + 4 for e in edges[:-1])]
-                known.update(zip(plain, [data[a:b] for a, b in zip(starts, edges)]))
-                plain = []
-        odd += plain
-        known.update(zip(odd, self._encode([" " + w for w in odd])))
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-            self.tails.clear()
-        cut = [None if self.double(t) else t.split(" ") for t in texts]
-        firsts = iter(self._encode([words[0] if words else t for words, t in zip(cut, texts)]))
-        self._learn(list({w for words in cut if words for w in words[1:]} - self.known.keys()))
-        get = self.known.__getitem__
-        return [np.frombuffer(next(firsts) + b"".join(map(get, words[1:] if words else ())), "<u4") for words in cut]
+        found = self.tokenizer.model.tokenize(_SYMBOLS[32] + symbols if before else symbols)
+        return array("I", [t.id for t in found]).tobytes()
+
+    def encode(self, text: str) -> np.ndarray:
+        if len(self.spaced) + len(self.bare) > REMEMBERED:
+            self.spaced.clear()
+            self.bare.clear()
+        if self.double(text):
+            return np.frombuffer(self.plain([text])[0], "<u4")
+        first, *words = text.split(" ")
+        head = self.bare[first] if first else b""
+        return np.frombuffer(head + b"".join(map(self.spaced.__getitem__, words)), "<u4")
 
 
 def _write_files(folder: str, tokenizer: str, end_id: int):
     def run(batches):
-        encoder, file, docs = WordEncoder(tokenizer), None, 0
-        end = np.array([end_id], np.uint32)
+        encoder, file, docs, end = WordEncoder(tokenizer), None, 0, np.uint32(end_id)
         task = TaskContext.get()
         name = f"{folder}/tokens-{task.partitionId():06d}-{task.taskAttemptId()}-{uuid.uuid4().hex[:8]}.rtk"
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                texts = [t or "" for t in part.column("text").to_pylist()]
-                for doc_id, ids in zip(part.column("doc_id").to_pylist(), encoder.encode(texts)):
-                    file = file or TokenFile(name)
-                    file.add(doc_id, np.concatenate([ids, end]))
-                    docs += 1
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+                file = file or TokenFile(name)
+                file.add(doc_id, np.append(encoder.encode(text.as_py() or ""), end))
+                docs += 1
         if file:
             yield pa.RecordBatch.from_pydict({
                 "part": pa.array([task.partitionId()], pa.int32()), "file": [name], "docs": pa.array([docs], pa.int64()),

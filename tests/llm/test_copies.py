@@ -206,7 +206,7 @@ def test_token_files(name, request):
 def test_words_encode_like_whole_texts(text):
     global _encoder
     encoder = globals().setdefault("_encoder", token_files.WordEncoder(TOKENIZER))
-    assert encoder.encode([text])[0].tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert encoder.encode(text).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def test_file_of_many_documents(tmp_path):
