@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -25,13 +26,13 @@ PASSAGE, STRIDE = 48, 24
 ITEMS_AT_ONCE = 400
 SPARE_RANK = 56
 # A word in more than this share of all passages, and in more than so many, has no weight.
-COMMON_SHARE, COMMON_LEAST = 0.01, 100
+COMMON_SHARE, COMMON_LEAST = 0.002, 100
 COSINE = 0.25
 # Shares of an item's words in common order that convict it, alone and together with its answer.
 ALIKE, ALIKE_WITH_ANSWER, ANSWER_ALIKE = 0.8, 0.6, 0.6
 FEWEST_WORDS = 5
 TERMS_PER_SLICE = 256
-ROWS_AT_ONCE = 500
+ROWS_AT_ONCE, PASSAGES_AT_ONCE = 500, 256
 
 _WORD = re.compile(r"\w+")
 
@@ -63,7 +64,7 @@ def code_passages(texts: list[list[str]], vocabulary: dict[str, int]):
     """Passages of several texts: (number per text, terms of all passages by passage, counts,
     passage of each entry, words outside the vocabulary per passage)."""
     lengths = np.array([len(t) for t in texts])
-    codes = np.fromiter((vocabulary.get(w, -1) for t in texts for w in t), np.int64, lengths.sum())
+    codes = np.fromiter(map(vocabulary.get, chain.from_iterable(texts), repeat(-1)), np.int64, lengths.sum())
     numbers = np.maximum(1, -(-(lengths - (PASSAGE - STRIDE)) // STRIDE))
     first = np.cumsum(numbers) - numbers
     place = np.arange(len(codes)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
@@ -114,10 +115,9 @@ class Model:
     vocabulary: dict[str, int]
     idf: np.ndarray
     outside: float  # squared weight of a word outside the vocabulary
-    latent: np.ndarray  # terms x rank, orthonormal columns
+    cosines: np.ndarray  # terms x items: what a term adds to the cosine in the latent space
     item_ids: list
     items: list[list[str]]
-    placed: np.ndarray  # items x rank, of unit item vectors
 
 
 def _weighted(model_idf, outside_weight, terms, counts, passage, outside):
@@ -129,13 +129,19 @@ def _weighted(model_idf, outside_weight, terms, counts, passage, outside):
     return values / norms[passage], np.sqrt(known) / norms
 
 
-def _projected(values, terms, passage, passages: int, basis: np.ndarray) -> np.ndarray:
-    """Passage vectors times the basis; entries are sorted by passage."""
-    out = np.zeros((passages, basis.shape[1]), np.float32)
-    if len(terms):
-        starts = np.flatnonzero(np.diff(passage, prepend=-1))
-        out[passage[starts]] = np.add.reduceat(basis[terms] * values[:, None].astype(np.float32), starts, axis=0)
-    return out
+def _dense_parts(terms, passage, values):
+    """Some hundred passages at a time: (passages, terms they use, dense matrix of their values).
+
+    Entries are sorted by passage; passages without entries are left out.
+    """
+    present = np.unique(passage)
+    for at in range(0, len(present), PASSAGES_AT_ONCE):
+        own = present[at:at + PASSAGES_AT_ONCE]
+        lo, hi = np.searchsorted(passage, [own[0], own[-1] + 1])
+        used, column = np.unique(terms[lo:hi], return_inverse=True)
+        dense = np.zeros((len(own), len(used)), np.float32)
+        dense[np.searchsorted(own, passage[lo:hi]), column] = values[lo:hi]
+        yield own, used, dense
 
 
 def _gram(idf: np.ndarray, outside_weight: float, basis: np.ndarray):
@@ -147,20 +153,8 @@ def _gram(idf: np.ndarray, outside_weight: float, basis: np.ndarray):
             passage = np.repeat(np.arange(len(sizes)), sizes)
             values, _ = _weighted(idf, outside_weight, terms, counts, passage, outside)
             heavy = values > 0
-            terms, passage, values = terms[heavy], passage[heavy], values[heavy].astype(np.float32)
-            for at in range(0, len(sizes), 20_000):
-                lo, hi = np.searchsorted(passage, [at, at + 20_000])
-                if lo == hi:
-                    continue
-                t, v, p = terms[lo:hi], values[lo:hi], passage[lo:hi] - at
-                z = _projected(v, t, p, min(20_000, len(sizes) - at), basis)
-                order = np.argsort(t, kind="stable")
-                starts = np.flatnonzero(np.diff(t[order], prepend=-1))
-                for piece in range(0, len(starts), 500):
-                    a = starts[piece]
-                    b = starts[piece + 500] if piece + 500 < len(starts) else len(order)
-                    rows = z[p[order[a:b]]] * v[order[a:b]][:, None]
-                    total[t[order[starts[piece:piece + 500]]]] += np.add.reduceat(rows, starts[piece:piece + 500] - a, axis=0)
+            for _, used, dense in _dense_parts(terms[heavy], passage[heavy], values[heavy]):
+                total[used] += dense.T @ (dense @ basis[used])
         for number in range(0, -(-len(total) // TERMS_PER_SLICE)):
             part = total[number * TERMS_PER_SLICE:(number + 1) * TERMS_PER_SLICE]
             if part.any():
@@ -220,13 +214,16 @@ def fit(docs: DataFrame, items: list[tuple], seed: int = 11) -> Model:
     rank = min(len(vocabulary), len(listed) + SPARE_RANK)
     latent = np.zeros((len(vocabulary), 0))
     if rank:
-        draw = np.random.default_rng(seed).normal(size=(len(vocabulary), rank))
-        basis, _ = np.linalg.qr(_gram_product(passages, heavy, idf, outside, draw))
-        inner = basis.T @ _gram_product(passages, heavy, idf, outside, basis)
+        # One pass: the product with a random draw gives the range, and with the draw again (Nyström)
+        # the small matrix whose eigenvectors are the singular vectors inside it.
+        draw, _ = np.linalg.qr(np.random.default_rng(seed).normal(size=(len(vocabulary), rank)))
+        product = _gram_product(passages, heavy, idf, outside, draw)
+        basis, upper = np.linalg.qr(product)
+        inner = upper @ np.linalg.pinv(draw.T @ product, rcond=1e-6) @ upper.T
         _, turn = np.linalg.eigh((inner + inner.T) / 2)
         latent = basis @ turn[:, ::-1]
-    return Model(vocabulary, idf, outside, latent.astype(np.float32), [i for i, _ in listed], [w for _, w in listed],
-                 (matrix @ latent).astype(np.float32))
+    return Model(vocabulary, idf, outside, (latent @ (matrix @ latent).T).astype(np.float32),
+                 [i for i, _ in listed], [w for _, w in listed])
 
 
 def _candidates(model: Model, texts: list[list[str]]):
@@ -236,20 +233,13 @@ def _candidates(model: Model, texts: list[list[str]]):
     # A cosine cannot exceed the norm of the known part.
     possible = known >= COSINE
     heavy = (values > 0) & possible[passage]
-    chosen = np.flatnonzero(possible)
-    if not len(chosen):
-        return []
-    new = np.cumsum(possible) - 1
     found = []
     first = np.cumsum(numbers) - numbers
     owner = np.repeat(np.arange(len(numbers)), numbers)
-    terms, values, passage = terms[heavy], values[heavy], new[passage[heavy]]
-    for at in range(0, len(chosen), 2000):
-        lo, hi = np.searchsorted(passage, [at, at + 2000])
-        z = _projected(values[lo:hi], terms[lo:hi], passage[lo:hi] - at, min(2000, len(chosen) - at), model.latent)
-        for p, item in zip(*np.nonzero(z @ model.placed.T >= COSINE)):
-            whole = chosen[at + p]
-            found.append((owner[whole], (whole - first[owner[whole]]) * STRIDE, item))
+    for own, used, dense in _dense_parts(terms[heavy], passage[heavy], values[heavy]):
+        for p, item in zip(*np.nonzero(dense @ model.cosines[used] >= COSINE)):
+            text = owner[own[p]]
+            found.append((text, (own[p] - first[text]) * STRIDE, item))
     return found
 
 
