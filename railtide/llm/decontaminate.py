@@ -25,8 +25,11 @@ PASSAGE, STRIDE = 48, 24
 # Items that are searched at once, which bounds vocabulary and rank; more are searched in turns.
 ITEMS_AT_ONCE = 400
 SPARE_RANK = 56
-# A word in more than this share of all passages, and in more than so many, has no weight.
-COMMON_SHARE, COMMON_LEAST = 0.002, 100
+# A word in more than this share of all passages, and in more than so many, has no weight, but the
+# rarest words of every item have some.
+COMMON_SHARE, COMMON_LEAST = 0.01, 100
+RAREST = 5
+# Cosine that makes a candidate; less for items whose convicting share cannot reach it.
 COSINE = 0.25
 # Shares of an item's words in common order that convict it, alone and together with its answer.
 ALIKE, ALIKE_WITH_ANSWER, ANSWER_ALIKE = 0.8, 0.6, 0.6
@@ -116,6 +119,7 @@ class Model:
     idf: np.ndarray
     outside: float  # squared weight of a word outside the vocabulary
     cosines: np.ndarray  # terms x items: what a term adds to the cosine in the latent space
+    limits: np.ndarray  # cosine from which a passage is a candidate, per item
     item_ids: list
     items: list[list[str]]
 
@@ -181,6 +185,20 @@ def _gram_product(passages: DataFrame, items: np.ndarray, idf, outside_weight, b
     return out
 
 
+def _limits(lengths: np.ndarray, norms: np.ndarray, outside_weight: float) -> np.ndarray:
+    """Candidate cosine of every item.
+
+    Some passage holds all of a copied item, or ``PASSAGE - STRIDE`` words of a longer one; the rest
+    of the passage is taken as words outside the vocabulary. A paraphrase may lack what
+    ``ALIKE_WITH_ANSWER`` allows.
+    """
+    held = np.minimum(1, (PASSAGE - STRIDE) / np.maximum(lengths, 1))
+    own = held * norms ** 2
+    rest = np.maximum(0, PASSAGE - held * lengths) * outside_weight
+    reached = np.sqrt(held * own / np.maximum(own + rest, 1e-12))
+    return np.minimum(COSINE, ALIKE_WITH_ANSWER * reached)
+
+
 def fit(docs: DataFrame, items: list[tuple], seed: int = 11) -> Model:
     """Weights and latent space for up to ``ITEMS_AT_ONCE`` items (id, text).
 
@@ -199,7 +217,10 @@ def fit(docs: DataFrame, items: list[tuple], seed: int = 11) -> Model:
         else:
             counts[r.term] = r.n
     idf = np.log((1 + total) / (1 + counts)) + 1
-    idf[counts > max(COMMON_LEAST, COMMON_SHARE * total)] = 0
+    common = counts > max(COMMON_LEAST, COMMON_SHARE * total)
+    for _, words in listed:
+        common[sorted({vocabulary[w] for w in words}, key=lambda term: counts[term])[:RAREST]] = False
+    idf[common] = 0
     outside = float(np.mean(idf[idf > 0] ** 2)) if (idf > 0).any() else 1.0
 
     matrix = np.zeros((len(listed), len(vocabulary)))
@@ -207,7 +228,9 @@ def fit(docs: DataFrame, items: list[tuple], seed: int = 11) -> Model:
         for w in words:
             matrix[n, vocabulary[w]] += 1
     matrix = np.where(matrix > 0, 1 + np.log(np.maximum(matrix, 1)), 0) * idf
-    matrix /= np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-12)
+    norms = np.linalg.norm(matrix, axis=1, keepdims=True)
+    matrix /= np.maximum(norms, 1e-12)
+    limits = _limits(np.array([len(w) for _, w in listed]), norms.ravel(), outside)
 
     # Together the items count as much as all passages, so that the space holds what they are made of.
     heavy = matrix * np.sqrt(max(1.0, total / max(1, len(listed))))
@@ -223,21 +246,21 @@ def fit(docs: DataFrame, items: list[tuple], seed: int = 11) -> Model:
         _, turn = np.linalg.eigh((inner + inner.T) / 2)
         latent = basis @ turn[:, ::-1]
     return Model(vocabulary, idf, outside, (latent @ (matrix @ latent).T).astype(np.float32),
-                 [i for i, _ in listed], [w for _, w in listed])
+                 limits.astype(np.float32), [i for i, _ in listed], [w for _, w in listed])
 
 
 def _candidates(model: Model, texts: list[list[str]]):
-    """(text, passage start, item) of cosines over the limit."""
+    """(text, passage start, item) of cosines from the item's limit on."""
     numbers, terms, counts, passage, outside = code_passages(texts, model.vocabulary)
     values, known = _weighted(model.idf, model.outside, terms, counts, passage, outside)
     # A cosine cannot exceed the norm of the known part.
-    possible = known >= COSINE
+    possible = known >= model.limits.min(initial=COSINE)
     heavy = (values > 0) & possible[passage]
     found = []
     first = np.cumsum(numbers) - numbers
     owner = np.repeat(np.arange(len(numbers)), numbers)
     for own, used, dense in _dense_parts(terms[heavy], passage[heavy], values[heavy]):
-        for p, item in zip(*np.nonzero(dense @ model.cosines[used] >= COSINE)):
+        for p, item in zip(*np.nonzero(dense @ model.cosines[used] >= model.limits)):
             text = owner[own[p]]
             found.append((text, (own[p] - first[text]) * STRIDE, item))
     return found

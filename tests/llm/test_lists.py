@@ -155,6 +155,17 @@ def test_paraphrases_need_their_answer(spark):
     assert many == want
 
 
+def test_items_of_common_words_only_are_found(spark):
+    item = "then they came to see".split()
+    rare = lambda n, size: [f"r{n}x{i}" for i in range(size)]
+    docs = [(n, " ".join(rare(n, 18) + item[::-1] + rare(-n, 18))) for n in range(1, 301)]
+    docs.append((0, " ".join(rare(0, 90) + item + rare(500, 90))))
+    documents = spark.createDataFrame(docs, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    got = {r.doc_id: [x.item_id for x in r.leaks] for r in dc.find_leaks(documents, benchmark).collect()}
+    assert got == {0: [7]} | {n: [] for n in range(1, 301)}
+
+
 def _in_turns(documents, benchmark):
     before, dc.ITEMS_AT_ONCE = dc.ITEMS_AT_ONCE, 10
     try:
