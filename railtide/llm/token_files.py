@@ -14,6 +14,7 @@ block is filled up with its first id.
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 import uuid
@@ -33,7 +34,7 @@ MAGIC = b"RTPFOR01"
 BLOCK = 128
 PERCENTILE = 90
 BYTES_PER_FILE = 32_000_000
-# Ids packed at once, and words whose ids a task remembers.
+# Ids packed at once, and words whose ids a Python worker remembers, twice: those of late and those before.
 IDS_PER_PACK = 1 << 17
 REMEMBERED = 400_000
 
@@ -181,31 +182,48 @@ def _byte_symbols() -> dict[int, str]:
     return {b: chr(0x100 + n) for n, b in enumerate(hidden)}
 
 
-_SYMBOLS = _byte_symbols()
 # Letters up to here are letters in every version of Unicode.
 _LAST_LATIN = "\u017f"
+_SYMBOLS = _byte_symbols()
+_LETTERS = {chr(c): chr(c).encode().decode("latin-1").translate(_SYMBOLS) for c in range(ord(_LAST_LATIN) + 1)}
 _PUNCTUATION = ".,;:!?"
 
 
 class _Pieces(dict):
     """Ids of the pieces between spaces, worked out when first asked for.
 
-    ``before`` is the space that belongs to every piece, or nothing.
+    ``before`` is the space that belongs to every piece, or nothing. Pieces not asked for since the
+    last but one call of ``age`` are forgotten.
     """
 
     def __init__(self, encoder: WordEncoder, before: str):
         super().__init__()
         self.encoder, self.before = encoder, before
+        self.tokenize = encoder.tokenizer.model.tokenize
+        self.lead = _LETTERS[before] if before else ""
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self[piece] = self._work_out(piece)
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.word(piece) if piece.isascii() and piece.isalpha() and self.encoder.bytewise else self._work_out(piece)
+        self[piece] = ids
         return ids
 
+    def age(self) -> None:
+        self.older = dict(self)
+        self.clear()
+
+    def word(self, word: str) -> bytes:
+        """Ids of a word of Latin letters and the space before it, which is one piece."""
+        symbols = word if word.isascii() else "".join(map(_LETTERS.__getitem__, word))
+        return array("I", [t.id for t in self.tokenize(self.lead + symbols)]).tobytes()
+
     def _work_out(self, piece: str) -> bytes:
         base = piece.rstrip(_PUNCTUATION)
-        if base and base.isalpha() and max(base) <= _LAST_LATIN and self.encoder.bytewise:
+        if base.isalpha() and (base.isascii() or max(base) <= _LAST_LATIN) and self.encoder.bytewise:
             if base == piece:
-                return self.encoder.word(self.before, piece)
+                return self.word(piece)
             return self[base] + self.encoder.bare[piece[len(base):]]
         head, line_end, tail = piece.partition("\n")
         if line_end and head:
@@ -229,24 +247,18 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.double = re.compile(r"\s\s").search
         self.line_end = self.plain(["\n"])[0]
-        probes = ["word", "É", "ñandú", "straße", "x"]
-        self.bytewise = all(self.plain([b + w])[0] == self.word(b, w) for w in probes for b in (" ", ""))
         self.spaced, self.bare = _Pieces(self, " "), _Pieces(self, "")
+        probes = ["word", "É", "ñandú", "straße", "x"]
+        self.bytewise = all(self.plain([p.before + w])[0] == p.word(w) for w in probes for p in (self.spaced, self.bare))
 
     def plain(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    def word(self, before: str, word: str) -> bytes:
-        """Ids of a word of Latin letters and the space before it, which is one piece."""
-        symbols = word if word.isascii() else word.encode().decode("latin-1").translate(_SYMBOLS)
-        found = self.tokenizer.model.tokenize(_SYMBOLS[32] + symbols if before else symbols)
-        return array("I", [t.id for t in found]).tobytes()
-
     def encode(self, text: str) -> np.ndarray:
         if len(self.spaced) + len(self.bare) > REMEMBERED:
-            self.spaced.clear()
-            self.bare.clear()
+            self.spaced.age()
+            self.bare.age()
         if self.double(text):
             return np.frombuffer(self.plain([text])[0], "<u4")
         first, *words = text.split(" ")
@@ -254,9 +266,15 @@ class WordEncoder:
         return np.frombuffer(head + b"".join(map(self.spaced.__getitem__, words)), "<u4")
 
 
+@functools.lru_cache(maxsize=1)
+def _encoder(path: str) -> WordEncoder:
+    """One encoder for all tasks of a Python worker."""
+    return WordEncoder(path)
+
+
 def _write_files(folder: str, tokenizer: str, end_id: int):
     def run(batches):
-        encoder, file, docs, end = WordEncoder(tokenizer), None, 0, np.uint32(end_id)
+        encoder, file, docs, end = _encoder(tokenizer), None, 0, np.uint32(end_id)
         task = TaskContext.get()
         name = f"{folder}/tokens-{task.partitionId():06d}-{task.taskAttemptId()}-{uuid.uuid4().hex[:8]}.rtk"
         for batch in batches:
