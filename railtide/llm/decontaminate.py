@@ -2,8 +2,9 @@
 
 Passages of the documents become TF-IDF vectors over the benchmark's words. A randomised SVD, its
 Gram products summed over all partitions, gives a latent space in which every passage is compared
-by cosine with every item. Candidates are then checked word by word: longest common subsequence
-with the item, and whether the end of the item, its answer, is there as well.
+by cosine with every item. A text whose words could convict an item is a candidate too, whatever
+its cosine, so that none is lost. Candidates are then checked word by word: longest common
+subsequence with the item, and whether the end of the item, its answer, is there as well.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ COSINE = 0.25
 # Shares of an item's words in common order that convict it, alone and together with its answer.
 ALIKE, ALIKE_WITH_ANSWER, ANSWER_ALIKE = 0.8, 0.6, 0.6
 FEWEST_WORDS = 5
+# What a check of a candidate costs, in words that an item shares with a passage.
+CHECK_COST = 5000
 TERMS_PER_SLICE = 256
 ROWS_AT_ONCE, PASSAGES_AT_ONCE = 500, 256
 
@@ -113,6 +116,15 @@ def _document_counts(batches):
         names=["term", "n"])
 
 
+@dataclass
+class Words:
+    """Which of an item's words must be near each other wherever the item is convicted."""
+    first: np.ndarray  # per term, and one more: where its items begin
+    items: np.ndarray  # items of each term, as often as the item has the word
+    needed: np.ndarray  # words that must be there, per item
+    reach: np.ndarray  # strides between the first passage and the last that can hold them, per item
+
+
 @dataclass
 class Model:
     vocabulary: dict[str, int]
@@ -122,6 +134,7 @@ class Model:
     limits: np.ndarray  # cosine from which a passage is a candidate, per item
     item_ids: list
     items: list[list[str]]
+    words: Words
 
 
 def _weighted(model_idf, outside_weight, terms, counts, passage, outside):
@@ -199,6 +212,40 @@ def _limits(lengths: np.ndarray, norms: np.ndarray, outside_weight: float) -> np
     return np.minimum(COSINE, ALIKE_WITH_ANSWER * reached)
 
 
+def margin_of(length: int) -> int:
+    """Words before and after a passage that are searched for an item as well."""
+    return length // 2 + STRIDE
+
+
+def needed_words(items: list[list[str]], vocabulary: dict[str, int], shares: np.ndarray) -> Words:
+    """A rule for every item that no convictable text breaks.
+
+    Of ``n`` words at least ``k``, by ``ALIKE_WITH_ANSWER``, are in a text that convicts the item.
+    At most ``n - k`` are missing, so of any ``p`` words at least ``p - (n - k)`` are there. The rule
+    takes the ``p`` rarest, with the ``p`` that makes the search cheapest; ``shares`` of the
+    passages that hold a word only choose among rules that all lose nothing.
+    """
+    terms, owners, needed, reach = [], [], [], []
+    for number, words in enumerate(items):
+        n = len(words)
+        missing = n - next(k for k in range(n + 1) if k / n >= ALIKE_WITH_ANSWER)
+        reach.append(2 + 2 * -(-margin_of(n) // STRIDE))
+        coded = np.array([vocabulary[w] for w in words])
+        coded = coded[np.lexsort((coded, shares[coded]))]
+        found = np.maximum(np.cumsum(shares[coded])[missing:], 1e-9)
+        wanted = np.arange(1, len(found) + 1)
+        # Chance, as of rare events, that a text of this reach holds so many words of its own.
+        mean = found * (reach[-1] + 1) / (PASSAGE // STRIDE)
+        chance = np.where(wanted > mean, np.exp(wanted - mean - wanted * np.log(wanted / mean)), 1)
+        best = int(np.argmin(found + CHECK_COST * chance))
+        needed.append(best + 1)
+        terms.append(coded[:missing + best + 1])
+        owners.append(np.full(len(terms[-1]), number))
+    terms, owners = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (terms, owners))
+    first = np.concatenate([[0], np.cumsum(np.bincount(terms, minlength=len(vocabulary)))])
+    return Words(first, owners[np.argsort(terms, kind="stable")], np.array(needed, np.int64), np.array(reach, np.int64))
+
+
 def fit(docs: DataFrame, items: list[tuple], seed: int = 11) -> Model:
     """Weights and latent space for up to ``ITEMS_AT_ONCE`` items (id, text).
 
@@ -246,37 +293,83 @@ def fit(docs: DataFrame, items: list[tuple], seed: int = 11) -> Model:
         _, turn = np.linalg.eigh((inner + inner.T) / 2)
         latent = basis @ turn[:, ::-1]
     return Model(vocabulary, idf, outside, (latent @ (matrix @ latent).T).astype(np.float32),
-                 limits.astype(np.float32), [i for i, _ in listed], [w for _, w in listed])
+                 limits.astype(np.float32), [i for i, _ in listed], [w for _, w in listed],
+                 needed_words([w for _, w in listed], vocabulary, counts / max(1, total)))
+
+
+def _by_words(model: Model, numbers, terms, passage):
+    """(text, passage starts, item) of all regions that may hold enough words of the item.
+
+    Every second passage and the last of a text hold all its words. Words found in them are ordered
+    by item and passage; so many in a row within reach are enough.
+    """
+    words, count = model.words, len(model.items)
+    gap = int(words.reach.max(initial=0)) + 1
+    first = np.cumsum(numbers) - numbers
+    owner = np.repeat(np.arange(len(numbers)), numbers)
+    local = np.arange(len(owner)) - first[owner]
+    tile = (local % (PASSAGE // STRIDE) == 0) | (local == numbers[owner] - 1)
+    held = words.first[terms + 1] - words.first[terms]
+    seen = tile[passage] & (held > 0)
+    terms, passage, held = terms[seen], passage[seen], held[seen]
+    if not len(terms):
+        return
+    posting = np.arange(held.sum()) + np.repeat(words.first[terms] - (np.cumsum(held) - held), held)
+    begins = first + np.arange(len(numbers)) * gap
+    size = len(owner) + len(numbers) * gap
+    keys = np.sort(words.items[posting] * size + np.repeat(passage + owner[passage] * gap, held))
+    item = keys // size
+    last = np.arange(len(keys)) + words.needed[item] - 1
+    inside = last < len(keys)
+    last, item, low = last[inside], item[inside], keys[inside]
+    near = keys[last] - low <= words.reach[item]
+    for number, lo, hi in np.unique(np.stack([item[near], low[near] % size, keys[last][near] % size], 1), axis=0).tolist():
+        text = int(np.searchsorted(begins, lo, side="right")) - 1
+        half = int(words.reach[number]) // 2
+        lo, hi = lo - int(begins[text]), hi - int(begins[text])
+        yield text, range(max(0, hi - half), min(int(numbers[text]) - 1, lo + half) + 1), number
 
 
 def _candidates(model: Model, texts: list[list[str]]):
-    """(text, passage start, item) of cosines from the item's limit on."""
+    """(text, passage, item) of cosines from the item's limit on, and of regions that may convict by their words."""
     numbers, terms, counts, passage, outside = code_passages(texts, model.vocabulary)
     values, known = _weighted(model.idf, model.outside, terms, counts, passage, outside)
     # A cosine cannot exceed the norm of the known part.
     possible = known >= model.limits.min(initial=COSINE)
     heavy = (values > 0) & possible[passage]
-    found = []
+    found = set()
     first = np.cumsum(numbers) - numbers
     owner = np.repeat(np.arange(len(numbers)), numbers)
     for own, used, dense in _dense_parts(terms[heavy], passage[heavy], values[heavy]):
-        for p, item in zip(*np.nonzero(dense @ model.cosines[used] >= model.limits)):
-            text = owner[own[p]]
-            found.append((text, (own[p] - first[text]) * STRIDE, item))
+        for p, item in zip(*(x.tolist() for x in np.nonzero(dense @ model.cosines[used] >= model.limits))):
+            text = int(owner[own[p]])
+            found.add((text, int(own[p] - first[text]), item))
+    for text, places, item in _by_words(model, numbers, terms, passage):
+        words = model.items[item]
+        # What all regions together do not hold, none of them does.
+        if common_subsequence(words, _region(words, texts[text], places[0], places[-1])) >= ALIKE_WITH_ANSWER * len(words) - 1e-9:
+            found.update((text, place, item) for place in places)
     return found
 
 
+def _region(item: list[str], text: list[str], first: int, last: int) -> list[str]:
+    """The words of passages ``first`` to ``last`` with the item's margin on both sides."""
+    margin = margin_of(len(item))
+    return text[max(0, first * STRIDE - margin):last * STRIDE + PASSAGE + margin]
+
+
 def leaks(model: Model, texts: list[list[str]]) -> list[list[tuple]]:
     """Of every text its leaked items: (item id, share of the item in order, answer found)."""
     best: dict[tuple, tuple] = {}
-    for text, start, item in _candidates(model, texts):
+    for text, place, item in _candidates(model, texts):
         words = model.items[item]
-        margin = len(words) // 2 + STRIDE
-        region = texts[text][max(0, start - margin):start + PASSAGE + margin]
+        region = _region(words, texts[text], place, place)
         share = common_subsequence(words, region) / len(words)
+        if share < ALIKE_WITH_ANSWER:
+            continue
         answer = answer_words(words)
         answered = common_subsequence(answer, region) >= ANSWER_ALIKE * len(answer)
-        if share >= ALIKE or (share >= ALIKE_WITH_ANSWER and answered):
+        if share >= ALIKE or answered:
             best[text, item] = max(best.get((text, item), (0, False)), (share, answered))
     found: list[list[tuple]] = [[] for _ in texts]
     for (text, item), (share, answered) in sorted(best.items(), key=lambda x: (x[0][0], -x[1][0], str(model.item_ids[x[0][1]]))):

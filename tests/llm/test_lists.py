@@ -166,6 +166,42 @@ def test_items_of_common_words_only_are_found(spark):
     assert got == {0: [7]} | {n: [] for n in range(1, 301)}
 
 
+def _convicted(item, text):
+    """By hand: whether any passage's region convicts the item."""
+    margin = len(item) // 2 + dc.STRIDE
+    answer = dc.answer_words(item)
+    for at in range(0, max(1, len(text) - (dc.PASSAGE - dc.STRIDE)), dc.STRIDE):
+        region = text[max(0, at - margin):at + dc.PASSAGE + margin]
+        share = dc.common_subsequence(item, region) / len(item)
+        if share >= 0.8 or share >= 0.6 and dc.common_subsequence(answer, region) >= 0.6 * len(answer):
+            return True
+    return False
+
+
+def test_no_convictable_edit_is_lost(spark):
+    """Edits of the rarest words, in documents with common words and a hot group of copies."""
+    rng = np.random.default_rng(9)
+    common = [f"c{n}" for n in range(60)]
+    word = lambda: str(rng.choice(common)) if rng.random() < 0.7 else f"r{rng.integers(0, 3000)}"
+    draw = lambda n: [word() for _ in range(n)]
+    items = [draw(int(n)) for n in rng.integers(16, 60, 25)]
+    texts = [draw(int(n)) for n in rng.integers(30, 300, 400)]
+    texts += [draw(40) + items[0] + draw(40)] * 60
+    for words in items:
+        rarest = sorted(range(len(words)), key=lambda i: words[i][0] == "c")
+        for part in (0.2, 0.35, 0.4):
+            gone = set(rarest[:int(part * len(words))])
+            body = [f"x{rng.integers(0, 10**6)}" if i in gone else w for i, w in enumerate(words)]
+            texts += [draw(70) + body + draw(55), [f"x{rng.integers(0, 10**6)}" for _ in range(45)] + body]
+    documents = spark.createDataFrame([(n, " ".join(t)) for n, t in enumerate(texts)], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(n, " ".join(w)) for n, w in enumerate(items)], "item_id long, text string")
+    got = {r.doc_id: {x.item_id for x in r.leaks} for r in dc.find_leaks(documents, benchmark).collect()}
+    held = [set(t) for t in texts]
+    want = {n: {i for i, item in enumerate(items)
+                if sum(w in held[n] for w in item) >= 0.6 * len(item) and _convicted(item, t)} for n, t in enumerate(texts)}
+    assert got == want and sum(map(len, want.values())) > 100
+
+
 def _in_turns(documents, benchmark):
     before, dc.ITEMS_AT_ONCE = dc.ITEMS_AT_ONCE, 10
     try:
