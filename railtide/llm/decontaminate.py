@@ -2,7 +2,7 @@
 
 Passages of the documents become TF-IDF vectors over the benchmark's words. A randomised SVD, its
 Gram products summed over all partitions, gives a latent space in which every passage is compared
-by cosine with every item. A text whose words could convict an item is a candidate too, whatever
+by cosine with every item; only its heaviest directions are kept. A text whose words could convict an item is a candidate too, whatever
 its cosine, so that none is lost. Candidates are then checked word by word: longest common
 subsequence with the item, and whether the end of the item, its answer, is there as well.
 """
@@ -25,6 +25,8 @@ from railtide.session import store
 PASSAGE, STRIDE = 48, 24
 # Items that are searched at once, which bounds vocabulary and rank; more are searched in turns.
 ITEMS_AT_ONCE = 400
+# Directions of the latent space: as many, or a third of the items if that is less; and what the draw has above that.
+RANK, RANK_PART = 128, 3
 SPARE_RANK = 56
 # A word in more than this share of all passages, and in more than so many, has no weight, but the
 # rarest words of every item have some.
@@ -281,18 +283,22 @@ def fit(docs: DataFrame, items: list[tuple], seed: int = 11) -> Model:
 
     # Together the items count as much as all passages, so that the space holds what they are made of.
     heavy = matrix * np.sqrt(max(1.0, total / max(1, len(listed))))
-    rank = min(len(vocabulary), len(listed) + SPARE_RANK)
+    rank = min(len(vocabulary), RANK, -(-len(listed) // RANK_PART))
     latent = np.zeros((len(vocabulary), 0))
     if rank:
         # One pass: the product with a random draw gives the range, and with the draw again (Nyström)
         # the small matrix whose eigenvectors are the singular vectors inside it.
-        draw, _ = np.linalg.qr(np.random.default_rng(seed).normal(size=(len(vocabulary), rank)))
+        width = min(len(vocabulary), rank + SPARE_RANK)
+        draw, _ = np.linalg.qr(np.random.default_rng(seed).normal(size=(len(vocabulary), width)))
         product = _gram_product(passages, heavy, idf, outside, draw)
         basis, upper = np.linalg.qr(product)
         inner = upper @ np.linalg.pinv(draw.T @ product, rcond=1e-6) @ upper.T
         _, turn = np.linalg.eigh((inner + inner.T) / 2)
-        latent = basis @ turn[:, ::-1]
-    return Model(vocabulary, idf, outside, (latent @ (matrix @ latent).T).astype(np.float32),
+        latent = basis @ turn[:, ::-1][:, :rank]
+    # Unit vectors again, so that what an item lost to the truncation does not lower its cosines.
+    placed = matrix @ latent
+    placed /= np.maximum(np.linalg.norm(placed, axis=1, keepdims=True), 1e-12)
+    return Model(vocabulary, idf, outside, (latent @ placed.T).astype(np.float32),
                  limits.astype(np.float32), [i for i, _ in listed], [w for _, w in listed],
                  needed_words([w for _, w in listed], vocabulary, counts / max(1, total)))
 

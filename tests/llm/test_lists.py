@@ -202,6 +202,19 @@ def test_no_convictable_edit_is_lost(spark):
     assert got == want and sum(map(len, want.values())) > 100
 
 
+def test_latent_space_is_smaller_than_the_items(spark):
+    docs = read_table(spark, SMALL, "documents")
+    items = [(r.item_id, r.text) for r in read_table(spark, SMALL, "benchmark").collect()]
+    model = dc.fit(docs, items)
+    assert 0 < np.linalg.matrix_rank(model.cosines, tol=1e-3) <= len(model.items) / 2
+    # The rule by hand is met although the space is truncated.
+    gone = lambda words: ["gone" if i % 4 == 1 else w for i, w in enumerate(words)]
+    texts = [["before"] * 60 + gone(words) + ["after"] * 60 for words in model.items]
+    found = [{x[0] for x in row} for row in dc.leaks(model, texts)]
+    want = [{i for i, item in zip(model.item_ids, model.items) if _convicted(item, t)} for t in texts]
+    assert found == want and sum(map(len, want)) >= len(texts) / 2
+
+
 def _in_turns(documents, benchmark):
     before, dc.ITEMS_AT_ONCE = dc.ITEMS_AT_ONCE, 10
     try:
