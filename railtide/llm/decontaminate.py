@@ -11,13 +11,13 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
-from itertools import chain, repeat
+from itertools import chain, islice, repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import DataType, StructField, StructType
 
 from railtide.session import store
 
@@ -136,6 +136,7 @@ class Model:
     limits: np.ndarray  # cosine from which a passage is a candidate, per item
     item_ids: list
     items: list[list[str]]
+    repeats: list[int]  # how often the benchmark has the item
     words: Words
 
 
@@ -249,12 +250,14 @@ def needed_words(items: list[list[str]], vocabulary: dict[str, int], shares: np.
 
 
 def fit(docs: DataFrame, items: list[tuple], seed: int = 11) -> Model:
-    """Weights and latent space for up to ``ITEMS_AT_ONCE`` items (id, text).
+    """Weights and latent space for up to ``ITEMS_AT_ONCE`` items (id, text, and repeats if more than one).
 
     Frequencies and the SVD cover the passages of all documents, the SVD those of the items too.
     """
-    listed = [(i, words_of(t)) for i, t in items]
-    listed = [(i, w) for i, w in listed if len(w) >= FEWEST_WORDS]
+    listed = [(i, words_of(t), *n) for i, t, *n in items]
+    listed = [x for x in listed if len(x[1]) >= FEWEST_WORDS]
+    repeats = [x[2] if len(x) > 2 else 1 for x in listed]
+    listed = [x[:2] for x in listed]
     vocabulary = {w: n for n, w in enumerate(sorted({w for _, words in listed for w in words}))}
     passages = store(docs.select("text").mapInArrow(
         _passages(vocabulary), "terms array<int>, counts array<int>, sizes array<int>, outside array<int>"), "passages")
@@ -299,7 +302,7 @@ def fit(docs: DataFrame, items: list[tuple], seed: int = 11) -> Model:
     placed = matrix @ latent
     placed /= np.maximum(np.linalg.norm(placed, axis=1, keepdims=True), 1e-12)
     return Model(vocabulary, idf, outside, (latent @ placed.T).astype(np.float32),
-                 limits.astype(np.float32), [i for i, _ in listed], [w for _, w in listed],
+                 limits.astype(np.float32), [i for i, _ in listed], [w for _, w in listed], repeats,
                  needed_words([w for _, w in listed], vocabulary, counts / max(1, total)))
 
 
@@ -365,7 +368,7 @@ def _region(item: list[str], text: list[str], first: int, last: int) -> list[str
 
 
 def leaks(model: Model, texts: list[list[str]]) -> list[list[tuple]]:
-    """Of every text its leaked items: (item id, share of the item in order, answer found)."""
+    """Of every text its leaked items: (item id, share of the item in order, answer found, repeats)."""
     best: dict[tuple, tuple] = {}
     for text, place, item in _candidates(model, texts):
         words = model.items[item]
@@ -379,21 +382,22 @@ def leaks(model: Model, texts: list[list[str]]) -> list[list[tuple]]:
             best[text, item] = max(best.get((text, item), (0, False)), (share, answered))
     found: list[list[tuple]] = [[] for _ in texts]
     for (text, item), (share, answered) in sorted(best.items(), key=lambda x: (x[0][0], -x[1][0], str(model.item_ids[x[0][1]]))):
-        found[text].append((model.item_ids[item], share, answered))
+        found[text].append((model.item_ids[item], share, answered, model.repeats[item]))
     return found
 
 
 LEAK = "array<struct<item_id:long,share:double,answered:boolean>>"
+FOUND = "array<struct<item_id:long,share:double,answered:boolean,repeats:long>>"
 
 
 def _search(model: Model):
     def run(batches):
-        kind = pa.list_(pa.struct([("item_id", pa.int64()), ("share", pa.float64()), ("answered", pa.bool_())]))
+        kind = pa.list_(pa.struct([("item_id", pa.int64()), ("share", pa.float64()), ("answered", pa.bool_()), ("repeats", pa.int64())]))
         for batch in batches:
             found = []
             for at in range(0, batch.num_rows, ROWS_AT_ONCE):
                 found += leaks(model, [words_of(t) for t in batch.column("text").slice(at, ROWS_AT_ONCE).to_pylist()])
-            new = pa.array([[dict(zip(("item_id", "share", "answered"), x)) for x in row] for row in found], kind)
+            new = pa.array([[dict(zip(("item_id", "share", "answered", "repeats"), x)) for x in row] for row in found], kind)
             yield pa.RecordBatch.from_arrays([*batch.columns, new], names=[*batch.schema.names, "found"])
     return run
 
@@ -402,7 +406,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, columns: list[str] | None
     """Every row of ``docs`` (``columns``, by default doc_id) with ``leaks``: the benchmark items in it.
 
     ``benchmark`` has item_id and text; items with fewer than five words or null are not searched,
-    repeated item ids are items of their own. Words are runs of letters and digits, lower-cased.
+    repeated item ids are items of their own, repeated rows are found as often as they are there. Words are runs of letters and digits, lower-cased.
     A null or empty document has no leaks. Items are searched some hundreds at a time, each time
     over all documents. A column of ``docs`` named leaks cannot be asked for.
     """
@@ -412,16 +416,23 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, columns: list[str] | None
 
 def _searched(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` has row and text; adds leaks."""
-    turns = max(1, -(-benchmark.count() // ITEMS_AT_ONCE))
-    turn = F.pmod(F.xxhash64("item_id", "text"), F.lit(turns))
-    rows = docs.withColumn("leaks", F.array().cast(LEAK))
-    for n in range(turns):
-        # About ITEMS_AT_ONCE rows.
-        items = [(r.item_id, r.text) for r in benchmark.where(turn == n).select("item_id", "text").collect()]
+    rows, turns = docs.withColumn("leaks", F.array().cast(LEAK)), 0
+    # Equal rows are one item. The driver reads them a partition at a time and holds one turn's.
+    distinct = benchmark.groupBy("item_id", "text").agg(F.count(F.lit(1)).alias("repeats")).toLocalIterator()
+    while items := [(r.item_id, r.text, r.repeats) for r in islice(distinct, ITEMS_AT_ONCE)]:
         model = fit(docs, items)
-        schema = StructType([*rows.schema.fields, StructField("found", rows.schema["leaks"].dataType)])
-        rows = rows.mapInArrow(_search(model), schema).withColumn("leaks", F.concat("leaks", "found")).drop("found")
-    return rows
+        schema = StructType([*rows.schema.fields, StructField("found", DataType.fromDDL(FOUND))])
+        one = lambda x: F.struct(x["item_id"].alias("item_id"), x["share"].alias("share"), x["answered"].alias("answered"))
+        each = F.flatten(F.transform("found", lambda x: F.array_repeat(one(x), x["repeats"].cast("int"))))
+        rows = rows.mapInArrow(_search(model), schema).withColumn("leaks", F.concat("leaks", each)).drop("found")
+        turns += 1
+    return rows if turns < 2 else rows.withColumn("leaks", F.array_sort("leaks", _most_alike_first))
+
+
+def _most_alike_first(a, b):
+    name = lambda x: F.coalesce(x["item_id"].cast("string"), F.lit("None"))
+    return (F.when(a["share"] > b["share"], -1).when(a["share"] < b["share"], 1)
+            .when(name(a) < name(b), -1).when(name(a) > name(b), 1).otherwise(0))
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -215,6 +215,19 @@ def test_latent_space_is_smaller_than_the_items(spark):
     assert found == want and sum(map(len, want)) >= len(texts) / 2
 
 
+def test_repeated_rows_are_searched_once(spark, monkeypatch):
+    texts = [" ".join(f"w{n}x{i}" for i in range(12)) for n in range(8)]
+    rows = [(0, texts[0])] * 50 + [(n, t) for n, t in enumerate(texts)] + [(n, t) for n, t in enumerate(texts[:2])]
+    sizes, fit = [], dc.fit
+    monkeypatch.setattr(dc, "fit", lambda docs, items, **x: sizes.append(len(items)) or fit(docs, items, **x))
+    monkeypatch.setattr(dc, "ITEMS_AT_ONCE", 3)
+    short = " ".join(texts[1].split()[:10])
+    docs = spark.createDataFrame([(0, texts[0]), (1, short + " and " + texts[5] + " and " + texts[0]), (2, "none")], "doc_id long, text string")
+    got = dc.find_leaks(docs, spark.createDataFrame(rows, "item_id long, text string")).collect()
+    assert sizes == [3, 3, 2]
+    assert {r.doc_id: [x.item_id for x in r.leaks] for r in got} == {0: [0] * 52, 1: [0] * 52 + [5] + [1] * 2, 2: []}
+
+
 def _in_turns(documents, benchmark):
     before, dc.ITEMS_AT_ONCE = dc.ITEMS_AT_ONCE, 10
     try:
