@@ -36,6 +36,7 @@ RAREST = 5
 COSINE = 0.25
 # Shares of an item's words in common order that convict it, alone and together with its answer.
 ALIKE, ALIKE_WITH_ANSWER, ANSWER_ALIKE = 0.8, 0.6, 0.6
+# Shorter items must be there as they are, word after word.
 FEWEST_WORDS = 5
 # What a check of a candidate costs, in words that an item shares with a passage.
 CHECK_COST = 5000
@@ -43,10 +44,17 @@ TERMS_PER_SLICE = 256
 ROWS_AT_ONCE, PASSAGES_AT_ONCE = 500, 256
 
 _WORD = re.compile(r"\w+")
+# Scripts without spaces between words: Thai, Lao, Burmese, Khmer, kana, Han. Each of their signs is a word.
+_UNSPACED = ("\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff"
+             "\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff")
+_SIGN = re.compile(f"[{_UNSPACED}]")
+_SIGN_OR_WORD = re.compile(rf"(?=\w)[{_UNSPACED}]|[^\W{_UNSPACED}]+")
 
 
 def words_of(text: str | None) -> list[str]:
-    return _WORD.findall((text or "").lower())
+    text = (text or "").lower()
+    plain = text.isascii() or not _SIGN.search(text)
+    return (_WORD if plain else _SIGN_OR_WORD).findall(text)
 
 
 def answer_words(words: list[str]) -> list[str]:
@@ -224,14 +232,14 @@ def needed_words(items: list[list[str]], vocabulary: dict[str, int], shares: np.
     """A rule for every item that no convictable text breaks.
 
     Of ``n`` words at least ``k``, by ``ALIKE_WITH_ANSWER``, are in a text that convicts the item.
-    At most ``n - k`` are missing, so of any ``p`` words at least ``p - (n - k)`` are there. The rule
+    At most ``n - k`` are missing, so of any ``p`` words at least ``p - (n - k)`` are there; short items miss none. The rule
     takes the ``p`` rarest, with the ``p`` that makes the search cheapest; ``shares`` of the
     passages that hold a word only choose among rules that all lose nothing.
     """
     terms, owners, needed, reach = [], [], [], []
     for number, words in enumerate(items):
         n = len(words)
-        missing = n - next(k for k in range(n + 1) if k / n >= ALIKE_WITH_ANSWER)
+        missing = 0 if n < FEWEST_WORDS else n - next(k for k in range(n + 1) if k / n >= ALIKE_WITH_ANSWER)
         reach.append(2 + 2 * -(-margin_of(n) // STRIDE))
         coded = np.array([vocabulary[w] for w in words])
         coded = coded[np.lexsort((coded, shares[coded]))]
@@ -255,7 +263,7 @@ def fit(docs: DataFrame, items: list[tuple], seed: int = 11) -> Model:
     Frequencies and the SVD cover the passages of all documents, the SVD those of the items too.
     """
     listed = [(i, words_of(t), *n) for i, t, *n in items]
-    listed = [x for x in listed if len(x[1]) >= FEWEST_WORDS]
+    listed = [x for x in listed if x[1]]
     repeats = [x[2] if len(x) > 2 else 1 for x in listed]
     listed = [x[:2] for x in listed]
     vocabulary = {w: n for n, w in enumerate(sorted({w for _, words in listed for w in words}))}
@@ -373,6 +381,10 @@ def leaks(model: Model, texts: list[list[str]]) -> list[list[tuple]]:
     for text, place, item in _candidates(model, texts):
         words = model.items[item]
         region = _region(words, texts[text], place, place)
+        if len(words) < FEWEST_WORDS:
+            if any(region[at:at + len(words)] == words for at in range(len(region))):
+                best[text, item] = 1.0, True
+            continue
         share = common_subsequence(words, region) / len(words)
         if share < ALIKE_WITH_ANSWER:
             continue
@@ -405,8 +417,10 @@ def _search(model: Model):
 def find_leaks(docs: DataFrame, benchmark: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Every row of ``docs`` (``columns``, by default doc_id) with ``leaks``: the benchmark items in it.
 
-    ``benchmark`` has item_id and text; items with fewer than five words or null are not searched,
-    repeated item ids are items of their own, repeated rows are found as often as they are there. Words are runs of letters and digits, lower-cased.
+    ``benchmark`` has item_id and text; items without words or null are not searched, those with fewer
+    than five words only word for word;
+    repeated item ids are items of their own, repeated rows are found as often as they are there. Words are runs of letters and
+    digits, lower-cased, and single signs in scripts without spaces.
     A null or empty document has no leaks. Items are searched some hundreds at a time, each time
     over all documents. A column of ``docs`` named leaks cannot be asked for.
     """

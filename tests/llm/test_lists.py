@@ -228,6 +228,21 @@ def test_repeated_rows_are_searched_once(spark, monkeypatch):
     assert {r.doc_id: [x.item_id for x in r.leaks] for r in got} == {0: [0] * 52, 1: [0] * 52 + [5] + [1] * 2, 2: []}
 
 
+def test_short_items_and_scripts_without_spaces(spark):
+    han = "床前明月光疑是地上霜举头望明月低头思故乡"
+    changed = han.replace("疑", "似").replace("举", "抬")
+    other = "白日依山尽黄河入海流欲穷千里目更上一层楼"
+    thai = "กขคงจฉชซญดตถทธนบปผฝพ"
+    items = [(1, "Open sesame, now"), (2, han), (3, thai), (4, "..."), (5, "一二")]
+    docs = [(1, "He said open sesame now and went", {1}), (2, "open the sesame now", set()), (3, other + changed + other, {2}),
+            (4, other * 3, set()), (5, "x " * 70 + thai + " y", {3}), (6, "a... b", set()), (7, other + "一二" + other, {5}),
+            (8, "二一", set()), (9, "now open sesame", set())]
+    got = dc.find_leaks(spark.createDataFrame([x[:2] for x in docs], "doc_id long, text string"),
+                        spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {r.doc_id: {x.item_id for x in r.leaks} for r in got} == {i: want for i, _, want in docs}
+    assert dc.words_of("Ab月 c_1ñ。光") == ["ab", "月", "c_1ñ", "光"]
+
+
 def _in_turns(documents, benchmark):
     before, dc.ITEMS_AT_ONCE = dc.ITEMS_AT_ONCE, 10
     try:
