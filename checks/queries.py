@@ -543,6 +543,7 @@ def encode_all(spark, sf):
 
 # ---------------------------------------------------------------- models
 
+# What the queries fit that need some forest; train_forest fits the operator's own (MERGED_FOREST).
 SMALL_FOREST = {"numTrees": 10, "maxDepth": 6}
 TARGET = "dep_delay_s"
 
@@ -551,10 +552,11 @@ def _model_table(spark, sf, names=mf.COMPACT_FEATURES):
     return prepared(v.features(spark, sf), names, clip_weather=names is mf.COMPACT_FEATURES)
 
 
-def _fitted(spark, sf, target=TARGET):
+def _fitted(spark, sf, target=TARGET, params=SMALL_FOREST):
+    """A forest of ``params`` over the operator's own settings, the held-out rows and the features."""
     df, names = _model_table(spark, sf)
     train, test = mf.split_rows(df, ["row_key"])
-    return forest.train_forest(train, target, names, **SMALL_FOREST), test, names
+    return forest.train_forest(train, target, names, **params), test, names
 
 
 def _importances(spark, sf):
@@ -616,8 +618,8 @@ def expanding_folds(spark, sf):
 
 @query
 def train_forest(spark, sf):
-    """Whether all held-out rows were scored and the forest explains more than their mean does."""
-    model, test, _ = _fitted(spark, sf)
+    """Whether all held-out rows were scored and the operator's own forest explains more than their mean does."""
+    model, test, _ = _fitted(spark, sf, params={})
     return forest.evaluate(model, test, TARGET).select("n", (F.col("r2") > 0.2).alias("explains"))
 
 
