@@ -8,8 +8,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from railtide.session import build_session  # noqa: E402
 
-SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -19,10 +17,3 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def rows(df, *order):
-    """Rows as tuples, sorted by the given columns or by all."""
-    found = [tuple(r) for r in df.collect()]
-    keys = [df.columns.index(c) for c in order] or range(len(df.columns))
-    return sorted(found, key=lambda r: tuple((r[k] is not None, r[k]) for k in keys))

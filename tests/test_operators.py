@@ -5,7 +5,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from plain_rows import rows
 from railtide.models import features as mf
 from railtide.operators import clean, encode, geo, quality, stats, tracking
 from railtide.operators.journey import journey_features, weather_interactions

@@ -6,7 +6,7 @@ from checks import queries
 from checks.compare import connect, differences
 from checks.queries import QUERIES
 from checks.sql import ORACLE
-from conftest import SMALL
+from plain_rows import SMALL
 
 
 @pytest.fixture(scope="module")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import queries, views
-from conftest import SMALL, rows
+from plain_rows import SMALL, rows
 from railtide.constants import PROCESSED_HEADERS, PROCESSED_TYPES
 from railtide.models import forest
 from railtide.operators import clean, encode, geo, stats

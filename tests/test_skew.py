@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SMALL, rows
+from plain_rows import SMALL, rows
 from checks import views
 from railtide.operators import ordering, quantiles, skew
 from railtide.operators.asof import add_weather
