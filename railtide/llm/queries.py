@@ -9,12 +9,15 @@ from railtide.llm import language_id, toxicity
 from railtide.llm.common import id_remainder, read_table
 from railtide.llm.decontaminate import find_leaks
 from railtide.llm.exact_dedup import exact_dedup
+from railtide.llm.filter_audit import audit, failures
 from railtide.llm.hidden_markov import score_texts
 from railtide.llm.mixing import schedule, source_weights
+from railtide.llm.resampling import resample
 from railtide.llm.sharding import shard_rows
 from railtide.llm.simhash import near_duplicates
 from railtide.llm.token_files import token_table
 from railtide.llm.url_lists import evaluate, url_host
+from railtide.llm.vector_dedup import near_vectors
 
 QUERIES: dict = {}
 
@@ -114,3 +117,18 @@ def op10_decontamination(spark, sf):
         "doc_id", (F.size("leaks") > 0).alias("contaminated"), F.size("leaks").alias("n_items"),
         F.transform("leaks", lambda x: x["item_id"]).alias("item_ids"), best["item_id"].alias("item_id"),
         best["share"].alias("share"), best["answered"].alias("answered"))
+
+
+@query
+def op11_filter_audit(spark, sf):
+    return audit(failures(read_table(spark, sf, "documents"), read_table(spark, sf, "labels")))
+
+
+@query
+def op12_vector_dedup(spark, sf):
+    return near_vectors(read_table(spark, sf, "embeddings"))
+
+
+@query
+def op13_resampling(spark, sf):
+    return resample(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))

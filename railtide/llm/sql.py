@@ -111,3 +111,67 @@ select c.page_id, c.url, c.fetched, c.host, coalesce(h.active, 0) as active, h.l
   h.key as matched_key, h.valid_from, h.valid_to, coalesce(h.list = 'block', false) as blocked
 from captures c left join hits h on h.rid = c.rid and h.place = 1
 """
+
+ORACLE["op11_filter_audit"] = r"""
+with docs as (
+  select d.doc_id, coalesce(lang, '') as part, coalesce(text, '') as text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words,
+    exists (select 1 from labels l where l.doc_id = d.doc_id and quality = 1) as good,
+    exists (select 1 from labels l where l.doc_id = d.doc_id and toxic = 1) as toxic
+  from documents d),
+failed as (
+  select part, good, toxic,
+    (case when len(words) < 200 then 1 else 0 end)
+    + (case when 100 * len(list_distinct(words)) < 50 * len(words) then 2 else 0 end)
+    + (case when 100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 3 * length(text) then 4 else 0 end)
+    + (case when regexp_matches(text, '[#$%&*|]') then 8 else 0 end)
+    + (case when doc_id > min(doc_id) over (partition by text) then 16 else 0 end) as fails
+  from docs),
+cells as (
+  select part, fails, count(*) as n, count(*) filter (good) as good, count(*) filter (toxic) as toxic from failed group by all),
+letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as f, unnest([1, 2, 4, 8, 16]) as bit),
+orders as (
+  select a.f || b.f || c.f || d.f || e.f as filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] as bits
+  from letters a, letters b, letters c, letters d, letters e where a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+steps as (
+  select filter_order, step, bits[step] as own, coalesce(list_sum(bits[1:step - 1]), 0)::int as before
+  from orders, (select unnest(range(1, 6))::int as step)),
+counted as (
+  select part, filter_order, step, own,
+    sum(n) filter (fails & (before | own) = 0) as kept,
+    sum(n) filter (fails & own <> 0 and fails & before = 0) as removed,
+    sum(n) filter (fails & own <> 0 and fails & before <> 0) as redundant,
+    sum(n) filter (fails = own) as unique_fails,
+    sum(good) filter (fails & own <> 0 and fails & before = 0) as good_lost,
+    sum(toxic) filter (fails & own <> 0 and fails & before = 0) as toxic_lost
+  from steps, cells group by all)
+select part, filter_order, step, coalesce(kept, 0)::bigint as kept, coalesce(removed, 0)::bigint as removed,
+  coalesce(redundant, 0)::bigint as redundant, coalesce(unique_fails, 0)::bigint as unique_fails,
+  coalesce(good_lost, 0)::bigint as good_lost, coalesce(toxic_lost, 0)::bigint as toxic_lost,
+  coalesce(sum(removed) over (partition by part, own), 0)::bigint as shapley
+from counted
+"""
+
+# All pairs of a label. Vectors are shorter than the limit of squares, so cosines need no scaling.
+ORACLE["op12_vector_dedup"] = """
+with recursive vectors as (
+  select row_number() over () as place, vec_id, label, embedding::double[] as v,
+    label is not null and embedding is not null and len(embedding) > 0
+    and list_count(embedding) = len(embedding)
+    and coalesce(list_bool_and([isfinite(x) for x in embedding]), false)
+    and coalesce(list_bool_or([x <> 0 for x in embedding]), false) as usable
+  from embeddings),
+links as (
+  select a.place as a, b.place as b from vectors a join vectors b
+  on a.label = b.label and a.place <> b.place and a.usable and b.usable and len(a.v) = len(b.v)
+    and list_cosine_similarity(a.v, b.v) >= 0.98),
+reached as (
+  select place as a, place as b from vectors
+  union
+  select r.a, l.b from reached r join links l on r.b = l.a),
+least as (
+  select r.a as place, min(v.vec_id) as component_id from reached r join vectors v on v.place = r.b group by all)
+select v.vec_id, (select count(*) from links where a = v.place) as n_links, component_id,
+  coalesce(v.vec_id = component_id, false) as kept
+from vectors v join least using (place)
+"""
