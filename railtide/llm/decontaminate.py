@@ -2,9 +2,11 @@
 
 Passages of the documents become TF-IDF vectors over the benchmark's words. A randomised SVD, its
 Gram products summed over all partitions, gives a latent space in which every passage is compared
-by cosine with every item; only its heaviest directions are kept. A text whose words could convict an item is a candidate too, whatever
-its cosine, so that none is lost. Candidates are then checked word by word: longest common
-subsequence with the item, and whether the end of the item, its answer, is there as well.
+by cosine with every item; only its heaviest directions are kept. Candidates are then checked word by
+word: longest common subsequence with the item, and whether the end of the item, its answer, is there
+as well. A passage that is close to the item by its cosine is convicted by its answer and a smaller part of the
+item in order, so a paraphrase that moves words about is found. A text whose words alone could convict an
+item is a candidate too, whatever its cosine, so that none of these is lost.
 """
 
 from __future__ import annotations
@@ -23,8 +25,8 @@ from railtide.session import store
 
 # Words of a passage, and between the starts of two.
 PASSAGE, STRIDE = 48, 24
-# Items that are searched at once, which bounds vocabulary and rank; more are searched in turns.
-ITEMS_AT_ONCE = 400
+# Items that are searched in one pass over the documents, which bounds vocabulary and model; more are searched in turns.
+ITEMS_AT_ONCE = 50_000
 # Directions of the latent space: as many, or a third of the items if that is less; and what the draw has above that.
 RANK, RANK_PART = 128, 3
 SPARE_RANK = 56
@@ -36,12 +38,15 @@ RAREST = 5
 COSINE = 0.25
 # Shares of an item's words in common order that convict it, alone and together with its answer.
 ALIKE, ALIKE_WITH_ANSWER, ANSWER_ALIKE = 0.8, 0.6, 0.6
+# Cosine, inside the latent space, of a candidate that is close to the item, and the share that convicts it with its answer then.
+CLOSE, ALIKE_WHEN_CLOSE = 0.8, 0.4
 # Shorter items must be there as they are, word after word.
 FEWEST_WORDS = 5
 # What a check of a candidate costs, in words that an item shares with a passage.
 CHECK_COST = 5000
 TERMS_PER_SLICE = 256
-ROWS_AT_ONCE, PASSAGES_AT_ONCE = 500, 256
+# Words of the texts, passages and items that are worked on at once, which bounds a task's memory.
+WORDS_AT_ONCE, PASSAGES_AT_ONCE, ITEMS_AT_A_TIME = 100_000, 256, 256
 
 _WORD = re.compile(r"\w+")
 # Scripts without spaces between words: Thai, Lao, Burmese, Khmer, kana, Han. Each of their signs is a word.
@@ -98,12 +103,25 @@ def code_passages(texts: list[list[str]], vocabulary: dict[str, int]):
     return numbers, cells % size, counts, cells // size, outside
 
 
-def _passages(vocabulary: dict[str, int]):
+def _cut_texts(column):
+    """The words of the texts of a column, as many texts at a time as hold some number of words."""
+    texts, held = [], 0
+    for text in column:
+        words = words_of(text.as_py())
+        if texts and held + len(words) > WORDS_AT_ONCE:
+            yield texts
+            texts, held = [], 0
+        texts.append(words)
+        held += len(words)
+    if texts:
+        yield texts
+
+
+def _passages(vocabulary):
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
-                texts = [words_of(t) for t in batch.column("text").slice(at, ROWS_AT_ONCE).to_pylist()]
-                _, terms, counts, passage, outside = code_passages(texts, vocabulary)
+            for texts in _cut_texts(batch.column("text")):
+                _, terms, counts, passage, outside = code_passages(texts, vocabulary.value)
                 row = lambda x, t: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x.astype(t)))
                 yield pa.RecordBatch.from_arrays(
                     [row(terms, np.int32), row(counts, np.int32), row(np.bincount(passage, minlength=len(outside)), np.int32),
@@ -115,11 +133,11 @@ def _document_counts(batches):
     """Passages that hold each term; the number of passages under -1."""
     found, passages = np.zeros(0, np.int64), 0
     for batch in batches:
-        terms = batch.column("terms").flatten().to_numpy()
-        part = np.bincount(terms, minlength=len(found))
-        part[:len(found)] += found
-        found = part
-        passages += len(batch.column("sizes").flatten())
+        for terms, sizes in zip(batch.column("terms"), batch.column("sizes")):
+            part = np.bincount(terms.values.to_numpy(), minlength=len(found))
+            part[:len(found)] += found
+            found = part
+            passages += len(sizes.values)
     used = np.flatnonzero(found)
     yield pa.RecordBatch.from_arrays(
         [pa.array(np.append(used, -1).astype(np.int32)), pa.array(np.append(found[used], passages).astype(np.int64))],
@@ -140,7 +158,8 @@ class Model:
     vocabulary: dict[str, int]
     idf: np.ndarray
     outside: float  # squared weight of a word outside the vocabulary
-    cosines: np.ndarray  # terms x items: what a term adds to the cosine in the latent space
+    latent: np.ndarray  # terms x directions
+    placed: np.ndarray  # items x directions, of length one
     limits: np.ndarray  # cosine from which a passage is a candidate, per item
     item_ids: list
     items: list[list[str]]
@@ -172,17 +191,20 @@ def _dense_parts(terms, passage, values):
         yield own, used, dense
 
 
-def _gram(idf: np.ndarray, outside_weight: float, basis: np.ndarray):
+def _gram(shared):
     """Transposed passages times passages times the basis, by slices of terms."""
     def run(batches):
+        idf, outside_weight, basis = shared.value
         total = np.zeros(basis.shape, np.float32)
         for batch in batches:
-            terms, counts, sizes, outside = (batch.column(c).flatten().to_numpy() for c in ("terms", "counts", "sizes", "outside"))
-            passage = np.repeat(np.arange(len(sizes)), sizes)
-            values, _ = _weighted(idf, outside_weight, terms, counts, passage, outside)
-            heavy = values > 0
-            for _, used, dense in _dense_parts(terms[heavy], passage[heavy], values[heavy]):
-                total[used] += dense.T @ (dense @ basis[used])
+            # A row holds the passages of some texts of a bounded number of words.
+            for row in zip(*(batch.column(c) for c in ("terms", "counts", "sizes", "outside"))):
+                terms, counts, sizes, outside = (cell.values.to_numpy() for cell in row)
+                passage = np.repeat(np.arange(len(sizes)), sizes)
+                values, _ = _weighted(idf, outside_weight, terms, counts, passage, outside)
+                heavy = values > 0
+                for _, used, dense in _dense_parts(terms[heavy], passage[heavy], values[heavy]):
+                    total[used] += dense.T @ (dense @ basis[used])
         for number in range(0, -(-len(total) // TERMS_PER_SLICE)):
             part = total[number * TERMS_PER_SLICE:(number + 1) * TERMS_PER_SLICE]
             if part.any():
@@ -200,9 +222,12 @@ def _sum_slices(batches):
                                           "sums": [t.astype(np.float32).tobytes() for t in totals.values()]})
 
 
-def _gram_product(passages: DataFrame, items: np.ndarray, idf, outside_weight, basis: np.ndarray) -> np.ndarray:
-    rows = passages.mapInArrow(_gram(idf, outside_weight, basis.astype(np.float32)), "slice int, sums binary")
-    out = items.T @ (items @ basis)
+def _gram_product(passages: DataFrame, items: tuple, idf, outside_weight, basis: np.ndarray) -> np.ndarray:
+    shared = passages.sparkSession.sparkContext.broadcast((idf, outside_weight, basis.astype(np.float32)))
+    rows = passages.mapInArrow(_gram(shared), "slice int, sums binary")
+    out = np.zeros(basis.shape)
+    for _, used, dense in _dense_parts(*items):
+        out[used] += dense.T @ (dense @ basis[used])
     for r in rows.repartition("slice").mapInArrow(_sum_slices, "slice int, sums binary").collect():
         part = np.frombuffer(r.sums, np.float32).reshape(-1, basis.shape[1])
         out[r.slice * TERMS_PER_SLICE:r.slice * TERMS_PER_SLICE + len(part)] += part
@@ -268,7 +293,7 @@ def fit(docs: DataFrame, items: list[tuple], seed: int = 11) -> Model:
     listed = [x[:2] for x in listed]
     vocabulary = {w: n for n, w in enumerate(sorted({w for _, words in listed for w in words}))}
     passages = store(docs.select("text").mapInArrow(
-        _passages(vocabulary), "terms array<int>, counts array<int>, sizes array<int>, outside array<int>"), "passages")
+        _passages(docs.sparkSession.sparkContext.broadcast(vocabulary)), "terms array<int>, counts array<int>, sizes array<int>, outside array<int>"), "passages")
     counts, total = np.zeros(len(vocabulary)), 0
     for r in passages.select("terms", "sizes").mapInArrow(_document_counts, "term int, n long").groupBy("term").agg(
             F.sum("n").alias("n")).collect():
@@ -283,17 +308,17 @@ def fit(docs: DataFrame, items: list[tuple], seed: int = 11) -> Model:
     idf[common] = 0
     outside = float(np.mean(idf[idf > 0] ** 2)) if (idf > 0).any() else 1.0
 
-    matrix = np.zeros((len(listed), len(vocabulary)))
-    for n, (_, words) in enumerate(listed):
-        for w in words:
-            matrix[n, vocabulary[w]] += 1
-    matrix = np.where(matrix > 0, 1 + np.log(np.maximum(matrix, 1)), 0) * idf
-    norms = np.linalg.norm(matrix, axis=1, keepdims=True)
-    matrix /= np.maximum(norms, 1e-12)
-    limits = _limits(np.array([len(w) for _, w in listed]), norms.ravel(), outside)
+    # The items' vectors by entries: term, item, value.
+    cells = [np.unique([vocabulary[w] for w in words], return_counts=True) for _, words in listed]
+    of_item = np.repeat(np.arange(len(cells)), [len(c[0]) for c in cells])
+    of_term = np.concatenate([np.zeros(0, np.int64), *(c[0] for c in cells)])
+    values = (1 + np.log(np.concatenate([np.zeros(0), *(c[1] for c in cells)]))) * idf[of_term]
+    norms = np.sqrt(np.bincount(of_item, values * values, minlength=len(listed)))
+    values = values / np.maximum(norms, 1e-12)[of_item]
+    limits = _limits(np.array([len(w) for _, w in listed]), norms, outside)
 
     # Together the items count as much as all passages, so that the space holds what they are made of.
-    heavy = matrix * np.sqrt(max(1.0, total / max(1, len(listed))))
+    weight = np.sqrt(max(1.0, total / max(1, len(listed))))
     rank = min(len(vocabulary), RANK, -(-len(listed) // RANK_PART))
     latent = np.zeros((len(vocabulary), 0))
     if rank:
@@ -301,15 +326,17 @@ def fit(docs: DataFrame, items: list[tuple], seed: int = 11) -> Model:
         # the small matrix whose eigenvectors are the singular vectors inside it.
         width = min(len(vocabulary), rank + SPARE_RANK)
         draw, _ = np.linalg.qr(np.random.default_rng(seed).normal(size=(len(vocabulary), width)))
-        product = _gram_product(passages, heavy, idf, outside, draw)
+        product = _gram_product(passages, (of_term, of_item, values * weight), idf, outside, draw)
         basis, upper = np.linalg.qr(product)
         inner = upper @ np.linalg.pinv(draw.T @ product, rcond=1e-6) @ upper.T
         _, turn = np.linalg.eigh((inner + inner.T) / 2)
         latent = basis @ turn[:, ::-1][:, :rank]
     # Unit vectors again, so that what an item lost to the truncation does not lower its cosines.
-    placed = matrix @ latent
+    placed = np.zeros((len(listed), latent.shape[1]))
+    for own, used, dense in _dense_parts(of_term, of_item, values):
+        placed[own] = dense @ latent[used]
     placed /= np.maximum(np.linalg.norm(placed, axis=1, keepdims=True), 1e-12)
-    return Model(vocabulary, idf, outside, (latent @ placed.T).astype(np.float32),
+    return Model(vocabulary, idf, outside, latent.astype(np.float32), placed.astype(np.float32),
                  limits.astype(np.float32), [i for i, _ in listed], [w for _, w in listed], repeats,
                  needed_words([w for _, w in listed], vocabulary, counts / max(1, total)))
 
@@ -347,25 +374,31 @@ def _by_words(model: Model, numbers, terms, passage):
         yield text, range(max(0, hi - half), min(int(numbers[text]) - 1, lo + half) + 1), number
 
 
-def _candidates(model: Model, texts: list[list[str]]):
-    """(text, passage, item) of cosines from the item's limit on, and of regions that may convict by their words."""
+def _candidates(model: Model, texts: list[list[str]]) -> dict[tuple, float]:
+    """Passages and items whose cosine reaches the item's limit, each with its cosine inside the latent
+    space, where what the space does not hold is left out; zero in regions that may convict by their words alone."""
     numbers, terms, counts, passage, outside = code_passages(texts, model.vocabulary)
     values, known = _weighted(model.idf, model.outside, terms, counts, passage, outside)
     # A cosine cannot exceed the norm of the known part.
     possible = known >= model.limits.min(initial=COSINE)
     heavy = (values > 0) & possible[passage]
-    found = set()
+    found = {}
     first = np.cumsum(numbers) - numbers
     owner = np.repeat(np.arange(len(numbers)), numbers)
     for own, used, dense in _dense_parts(terms[heavy], passage[heavy], values[heavy]):
-        for p, item in zip(*(x.tolist() for x in np.nonzero(dense @ model.cosines[used] >= model.limits))):
-            text = int(owner[own[p]])
-            found.add((text, int(own[p] - first[text]), item))
+        turned = dense @ model.latent[used]
+        inside = np.maximum(np.linalg.norm(turned, axis=1), 1e-12)
+        for at in range(0, len(model.items), ITEMS_AT_A_TIME):
+            cosines = turned @ model.placed[at:at + ITEMS_AT_A_TIME].T
+            for p, item in zip(*(x.tolist() for x in np.nonzero(cosines >= model.limits[at:at + ITEMS_AT_A_TIME]))):
+                text = int(owner[own[p]])
+                found[text, int(own[p] - first[text]), at + item] = float(cosines[p, item] / inside[p])
     for text, places, item in _by_words(model, numbers, terms, passage):
         words = model.items[item]
         # What all regions together do not hold, none of them does.
         if common_subsequence(words, _region(words, texts[text], places[0], places[-1])) >= ALIKE_WITH_ANSWER * len(words) - 1e-9:
-            found.update((text, place, item) for place in places)
+            for place in places:
+                found.setdefault((text, place, item), 0.0)
     return found
 
 
@@ -378,7 +411,7 @@ def _region(item: list[str], text: list[str], first: int, last: int) -> list[str
 def leaks(model: Model, texts: list[list[str]]) -> list[list[tuple]]:
     """Of every text its leaked items: (item id, share of the item in order, answer found, repeats)."""
     best: dict[tuple, tuple] = {}
-    for text, place, item in _candidates(model, texts):
+    for (text, place, item), cosine in _candidates(model, texts).items():
         words = model.items[item]
         region = _region(words, texts[text], place, place)
         if len(words) < FEWEST_WORDS:
@@ -386,7 +419,7 @@ def leaks(model: Model, texts: list[list[str]]) -> list[list[tuple]]:
                 best[text, item] = 1.0, True
             continue
         share = common_subsequence(words, region) / len(words)
-        if share < ALIKE_WITH_ANSWER:
+        if share < (ALIKE_WHEN_CLOSE if cosine >= CLOSE else ALIKE_WITH_ANSWER):
             continue
         answer = answer_words(words)
         answered = common_subsequence(answer, region) >= ANSWER_ALIKE * len(answer)
@@ -402,13 +435,15 @@ LEAK = "array<struct<item_id:long,share:double,answered:boolean>>"
 FOUND = "array<struct<item_id:long,share:double,answered:boolean,repeats:long>>"
 
 
-def _search(model: Model):
+def _search(shared):
     def run(batches):
+        model = shared.value
         kind = pa.list_(pa.struct([("item_id", pa.int64()), ("share", pa.float64()), ("answered", pa.bool_()), ("repeats", pa.int64())]))
         for batch in batches:
             found = []
-            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
-                found += leaks(model, [words_of(t) for t in batch.column("text").slice(at, ROWS_AT_ONCE).to_pylist()])
+            column = batch.column("text") if "text" in batch.schema.names else batch.column("row").field("text")
+            for texts in _cut_texts(column):
+                found += leaks(model, texts)
             new = pa.array([[dict(zip(("item_id", "share", "answered", "repeats"), x)) for x in row] for row in found], kind)
             yield pa.RecordBatch.from_arrays([*batch.columns, new], names=[*batch.schema.names, "found"])
     return run
@@ -421,20 +456,20 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, columns: list[str] | None
     than five words only word for word;
     repeated item ids are items of their own, repeated rows are found as often as they are there. Words are runs of letters and
     digits, lower-cased, and single signs in scripts without spaces.
-    A null or empty document has no leaks. Items are searched some hundreds at a time, each time
-    over all documents. A column of ``docs`` named leaks cannot be asked for.
+    A null or empty document has no leaks. Up to ``ITEMS_AT_ONCE`` items are searched in one pass over all
+    documents. A column of ``docs`` named leaks cannot be asked for.
     """
     columns = columns or ["doc_id"]
-    return _searched(docs.select(F.struct(*columns).alias("row"), "text"), benchmark).select("row.*", "leaks")
+    return _searched(docs.select(F.struct(*columns).alias("row"), "text"), docs.select("text"), benchmark).select("row.*", "leaks")
 
 
-def _searched(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` has row and text; adds leaks."""
+def _searched(docs: DataFrame, texts: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``docs`` has row, and text next to or inside it; adds leaks. ``texts`` has its texts."""
     rows, turns = docs.withColumn("leaks", F.array().cast(LEAK)), 0
     # Equal rows are one item. The driver reads them a partition at a time and holds one turn's.
     distinct = benchmark.groupBy("item_id", "text").agg(F.count(F.lit(1)).alias("repeats")).toLocalIterator()
     while items := [(r.item_id, r.text, r.repeats) for r in islice(distinct, ITEMS_AT_ONCE)]:
-        model = fit(docs, items)
+        model = docs.sparkSession.sparkContext.broadcast(fit(texts, items))
         schema = StructType([*rows.schema.fields, StructField("found", DataType.fromDDL(FOUND))])
         one = lambda x: F.struct(x["item_id"].alias("item_id"), x["share"].alias("share"), x["answered"].alias("answered"))
         each = F.flatten(F.transform("found", lambda x: F.array_repeat(one(x), x["repeats"].cast("int"))))
@@ -451,5 +486,5 @@ def _most_alike_first(a, b):
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` in which no benchmark item was found."""
-    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
-    return _searched(rows, benchmark).where(F.size("leaks") == 0).select("row.*")
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    return _searched(rows, docs.select("text"), benchmark).where(F.size("leaks") == 0).select("row.*")

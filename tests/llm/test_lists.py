@@ -1,9 +1,11 @@
 """Queries with SQL, mixing, URL lists and decontamination."""
 
+import math
 from collections import Counter, defaultdict
 from datetime import date
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -206,7 +208,7 @@ def test_latent_space_is_smaller_than_the_items(spark):
     docs = read_table(spark, SMALL, "documents")
     items = [(r.item_id, r.text) for r in read_table(spark, SMALL, "benchmark").collect()]
     model = dc.fit(docs, items)
-    assert 0 < np.linalg.matrix_rank(model.cosines, tol=1e-3) <= len(model.items) / 2
+    assert 0 < model.latent.shape[1] == model.placed.shape[1] <= len(model.items) / 2
     # The rule by hand is met although the space is truncated.
     gone = lambda words: ["gone" if i % 4 == 1 else w for i, w in enumerate(words)]
     texts = [["before"] * 60 + gone(words) + ["after"] * 60 for words in model.items]
@@ -215,6 +217,78 @@ def test_latent_space_is_smaller_than_the_items(spark):
     assert found == want and sum(map(len, want)) >= len(texts) / 2
 
 
+def plain_leaks(model, text):
+    """By hand, with the model's space: (item, share, answered) of every item that some passage convicts."""
+    known = [w for w in text]
+    best = {}
+    for at in range(0, max(1, len(text) - (dc.PASSAGE - dc.STRIDE)), dc.STRIDE):
+        passage = known[at:at + dc.PASSAGE]
+        counts = Counter(model.vocabulary[w] for w in passage if w in model.vocabulary)
+        values = {t: (1 + math.log(n)) * model.idf[t] for t, n in counts.items()}
+        outside = sum(w not in model.vocabulary for w in passage) * model.outside
+        norm = math.sqrt(sum(x * x for x in values.values()) + outside)
+        turned = sum((x / norm * model.latent[t].astype(float) for t, x in values.items()), np.zeros(model.latent.shape[1]))
+        for n, item in enumerate(model.items):
+            margin = len(item) // 2 + dc.STRIDE
+            region = text[max(0, at - margin):at + dc.PASSAGE + margin]
+            share = dc.common_subsequence(item, region) / len(item)
+            answer = dc.answer_words(item)
+            answered = dc.common_subsequence(answer, region) >= 0.6 * len(answer)
+            cosine = float(turned @ model.placed[n])
+            close = cosine >= model.limits[n] and cosine / np.linalg.norm(turned) >= 0.8
+            if share >= 0.8 or answered and (share >= 0.6 or close and share >= 0.4):
+                best[n] = max(best.get(n, (0, False)), (share, answered))
+    return {(model.item_ids[n], *found) for n, found in best.items()}
+
+
+def moved_about(rng, item):
+    """A paraphrase: all words but the answer in another order."""
+    answer = dc.answer_words(item)
+    head = item[:len(item) - len(answer)]
+    return [head[i] for i in rng.permutation(len(head))] + answer
+
+
+def test_paraphrases_that_move_words_need_the_latent_space(spark):
+    rng = np.random.default_rng(12)
+    word = lambda: f"w{rng.integers(0, 3000)}"
+    items = [[word() for _ in range(n)] for n in rng.integers(24, 50, 30)]
+    texts = [[word() for _ in range(n)] for n in rng.integers(20, 400, 60)]
+    texts += [[word() for _ in range(4)] + moved_about(rng, item) + [word() for _ in range(3)] for item in items]
+    docs = spark.createDataFrame([(n, " ".join(t)) for n, t in enumerate(texts)], "doc_id long, text string")
+    model = dc.fit(docs, [(n, " ".join(i)) for n, i in enumerate(items)])
+    with_space = dc.leaks(model, texts)
+    assert [{x[:3] for x in row} for row in with_space] == [plain_leaks(model, t) for t in texts]
+    model.placed = np.zeros_like(model.placed)
+    without = dc.leaks(model, texts)
+    moved = range(60, len(texts))
+    assert sum(bool(with_space[n]) for n in moved) >= 20 > 5 >= sum(bool(without[n]) for n in moved)
+    assert not any(with_space[n] for n in range(60))
+
+
+def test_thousands_of_items_take_one_pass(spark, monkeypatch):
+    rng = np.random.default_rng(13)
+    items = [[f"w{x}" for x in rng.integers(0, 20_000, 20)] for _ in range(5000)]
+    texts = [[f"w{x}" for x in rng.integers(0, 20_000, 60)] + (items[n * 50] if n % 2 else []) + ["end"] * 40 for n in range(100)]
+    sizes, fit = [], dc.fit
+    monkeypatch.setattr(dc, "fit", lambda docs, items, **x: sizes.append(len(items)) or fit(docs, items, **x))
+    docs = spark.createDataFrame([(n, " ".join(t)) for n, t in enumerate(texts)], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(n, " ".join(i)) for n, i in enumerate(items)], "item_id long, text string")
+    got = {r.doc_id: [x.item_id for x in r.leaks] for r in dc.find_leaks(docs, benchmark).collect()}
+    assert sizes == [5000] and got == {n: [n * 50] if n % 2 else [] for n in range(100)}
+
+
+def test_texts_are_cut_by_words(spark, monkeypatch):
+    docs = [r.text for r in read_table(spark, SMALL, "documents").collect()] + [None, "", "word " * 500]
+    items = [(r.item_id, r.text) for r in read_table(spark, SMALL, "benchmark").collect()]
+    model = dc.fit(spark.createDataFrame([(t,) for t in docs], "text string"), items)
+    texts = [dc.words_of(t) for t in docs]
+    whole = dc.leaks(model, texts)
+    monkeypatch.setattr(dc, "WORDS_AT_ONCE", 120)
+    parts = list(dc._cut_texts(pa.array(docs)))
+    assert sum(parts, []) == texts and all(len(p) == 1 or sum(map(len, p)) <= 120 for p in parts)
+    assert sum((dc.leaks(model, p) for p in parts), []) == whole
+
+
 def test_repeated_rows_are_searched_once(spark, monkeypatch):
     texts = [" ".join(f"w{n}x{i}" for i in range(12)) for n in range(8)]
     rows = [(0, texts[0])] * 50 + [(n, t) for n, t in enumerate(texts)] + [(n, t) for n, t in enumerate(texts[:2])]
