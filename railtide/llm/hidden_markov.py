@@ -6,19 +6,21 @@ the rest, and all unknown words are one class. A state emits classes; inside its
 by its smoothed share. So the model has at most ``2**14 + 2 * SUFFIX_CLASSES + 1`` classes however
 many words there are, while the words and their counts stay in a distributed table.
 
-Texts are cut into blocks that are encoded against a dictionary of their own. A block's dictionary
-is sent to the owners of its words and comes back with their counts over the whole corpus, so the
-shuffle carries distinct words of blocks, not tokens.
+Texts are cut into blocks that are encoded against a dictionary of their own. A block sends each owner
+its words, packed into one row, and gets their corpus counts and classes back in the same order. The
+counts of an owner's words are summed in a first pass over these messages, before any is answered.
 """
 
 from __future__ import annotations
 
+import uuid
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from railtide.llm.common import text_bytes
@@ -37,9 +39,17 @@ PRIOR = 50.0
 # For training, long texts are cut into runs so that many are advanced at once.
 TRAINING_RUN = 256
 # Cells (runs times longest) of the runs advanced at once; training keeps what it met in every cell.
-SCORING_CELLS, TRAINING_CELLS = 1_000_000, 250_000
+SCORING_CELLS, TRAINING_CELLS = 500_000, 250_000
+# Bytes of text that share a dictionary, and tokens of the texts that are handed on in one row.
+BLOCK_BYTES, ROW_TOKENS = 16_000_000, 250_000
+# Into so many parts all words are divided; an owner's part of the vocabulary is held by one task.
+OWNERS = 1024
 
-CODED = ("block long, word binary, place int, seen long, doc_id long, held_out boolean, places array<int>")
+# A row is a message (owner, words, seen) or some texts (doc_ids, held, sizes, places).
+CODED = ("block string, owner int, words binary, seen binary, doc_ids array<long>, held array<boolean>, "
+         "sizes array<int>, places binary")
+_WIDE = {"words": pa.binary(), "seen": pa.binary(), "places": pa.binary(), "owner": pa.int32(), "block": pa.string(),
+         "doc_ids": pa.list_(pa.int64()), "held": pa.list_(pa.bool_()), "sizes": pa.list_(pa.int32())}
 
 
 class _Places(dict):
@@ -50,32 +60,98 @@ class _Places(dict):
         return place
 
 
-def _code_blocks(batches):
-    """Of every Arrow batch its documents as places in its dictionary, and the dictionary with the
-    count of every word in the training texts of the batch."""
-    partition = TaskContext.get().partitionId()
-    for number, batch in enumerate(batches):
-        places = _Places({END: 0})
-        texts, held = batch.column("data"), batch.column("held_out").to_numpy(zero_copy_only=False)
-        coded = [np.fromiter(map(places.__getitem__, t.as_py().lower().split()), np.int32) for t in texts]
-        coded = [np.append(c, np.int32(0)) for c in coded]
-        if not coded:
-            continue
-        sizes = [len(c) for c in coded]
-        flat = np.concatenate(coded)
-        seen = np.bincount(flat[~np.repeat(held, sizes)], minlength=len(places))
-        n, words = len(coded), len(places)
-        block = (partition << 32) + number
-        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-        yield pa.RecordBatch.from_arrays([
-            pa.array(np.full(n, block)), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()),
-            batch.column("doc_id"), batch.column("held_out"), pa.ListArray.from_arrays(offsets, pa.array(flat))],
-            names=["block", "word", "place", "seen", "doc_id", "held_out", "places"])
-        yield pa.RecordBatch.from_arrays([
-            pa.array(np.full(words, block)), pa.array(list(places), pa.binary()), pa.array(np.arange(words, dtype=np.int32)),
-            pa.array(seen), pa.nulls(words, pa.int64()), pa.nulls(words, pa.bool_()),
-            pa.nulls(words, pa.list_(pa.int32()))],
-            names=["block", "word", "place", "seen", "doc_id", "held_out", "places"])
+def _coded_row(**columns):
+    names = [c.split()[0] for c in CODED.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array([columns.get(n)], _WIDE[n]) for n in names], names=names)
+
+
+def _code_block(ids: list, held: list, texts: list[bytes], owners: int):
+    """The messages of a block and its texts, as places in the block's dictionary ordered by owner.
+
+    A word's end is never a line end, so words are packed with one after each; the end of a text is
+    packed as the empty word.
+    """
+    block, places = uuid.uuid4().hex, _Places({END: 0})
+    coded = []
+    for text in texts:
+        words = text.lower().split()
+        words.append(END)
+        coded.append(np.fromiter(map(places.__getitem__, words), np.int32, len(words)))
+    sizes = np.array([len(c) for c in coded])
+    flat = np.concatenate(coded)
+    seen = np.bincount(flat[~np.repeat(np.array(held, bool), sizes)], minlength=len(places))
+    words = np.array([b"" if w == END else w for w in places], object)
+    owner = np.fromiter((zlib.crc32(w) % owners for w in words), np.int64, len(words))
+    order = np.argsort(owner, kind="stable")
+    renumbered = np.empty(len(order), np.int32)
+    renumbered[order] = np.arange(len(order), dtype=np.int32)
+    edges = np.flatnonzero(np.diff(owner[order], prepend=-1, append=owners))
+    for lo, hi in zip(edges, edges[1:]):
+        yield _coded_row(block=block, owner=int(owner[order[lo]]), words=b"\n".join(words[order[lo:hi]]),
+                         seen=seen[order[lo:hi]].astype("<i8").tobytes())
+    at = 0
+    for lo, hi in cut_by_size(sizes, ROW_TOKENS):
+        tokens = int(sizes[lo:hi].sum())
+        yield _coded_row(block=block, doc_ids=ids[lo:hi], held=held[lo:hi], sizes=sizes[lo:hi].tolist(),
+                         places=renumbered[flat[at:at + tokens]].astype("<i4").tobytes())
+        at += tokens
+
+
+def cut_by_size(sizes: np.ndarray, most: int):
+    """(first, after the last) of consecutive parts with at most ``most`` together, or one member."""
+    ends, at = np.cumsum(sizes), 0
+    while at < len(sizes):
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] - sizes[at] + most, side="right")))
+        yield at, to
+        at = to
+
+
+def _code_blocks(owners: int):
+    def run(batches):
+        ids, held, texts, size = [], [], [], 0
+        for batch in batches:
+            lengths = pc.binary_length(batch.column("data")).to_numpy()
+            for lo, hi in cut_by_size(lengths, BLOCK_BYTES):
+                ids += batch.column("doc_id").slice(lo, hi - lo).to_pylist()
+                held += batch.column("held_out").slice(lo, hi - lo).to_pylist()
+                texts += batch.column("data").slice(lo, hi - lo).to_pylist()
+                size += int(lengths[lo:hi].sum())
+                if size >= BLOCK_BYTES / 2:
+                    yield from _code_block(ids, held, texts, owners)
+                    ids, held, texts, size = [], [], [], 0
+        if texts:
+            yield from _code_block(ids, held, texts, owners)
+    return run
+
+
+def _runs(values) -> list[tuple[int, int]]:
+    """(first, after the last) of the runs of equal values."""
+    values = np.asarray(values)
+    edges = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
+    return list(zip(edges, edges[1:])) if len(values) else []
+
+
+def _sum_words(batches):
+    """One row per owner: its words and their counts in the training texts."""
+    current, places, totals = None, _Places(), np.zeros(0, np.int64)
+
+    def done():
+        return pa.RecordBatch.from_pydict({
+            "owner": pa.array([current], pa.int32()), "words": [b"\n".join(places)], "counts": [totals.astype("<i8").tobytes()],
+            "tokens": [int(totals.sum())], "known": [int((totals > 0).sum())]})
+    for batch in batches:
+        for owner, words, seen in zip(*(batch.column(c) for c in ("owner", "words", "seen"))):
+            if owner.as_py() != current:
+                if current is not None:
+                    yield done()
+                current, places, totals = owner.as_py(), _Places(), np.zeros(0, np.int64)
+            words = words.as_py().split(b"\n")
+            at = np.fromiter(map(places.__getitem__, words), np.int64, len(words))
+            totals = np.append(totals, np.zeros(len(places) - len(totals), np.int64))
+            # A block names a word once.
+            totals[at] += np.frombuffer(seen.as_py(), "<i8")
+    if current is not None:
+        yield done()
 
 
 @dataclass
@@ -96,87 +172,126 @@ class Classes:
         """Classes of words seen once: what an unknown word was before it was seen."""
         return slice(len(self.own) + SUFFIX_CLASSES, len(self.own) + 2 * SUFFIX_CLASSES)
 
+    @property
+    def shares(self):
+        """Smoothed share of a word by its count."""
+        return lambda counts: (counts + SMOOTHING) / (self.tokens + SMOOTHING * (self.words + 1))
+
+    def of(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
+        """Classes of words with their training counts; the end of a text is the empty word."""
+        first = len(self.own)
+        own = np.fromiter((self.own.get(w, -1) for w in words), np.int64, len(words))
+        suffix = np.fromiter((zlib.crc32(w[-SUFFIX_BYTES:]) % SUFFIX_CLASSES for w in words), np.int64, len(words))
+        shared = first + suffix + np.where(counts == 1, SUFFIX_CLASSES, 0)
+        return np.where(counts == 0, first + 2 * SUFFIX_CLASSES, np.where(own >= 0, own, shared))
+
+
+def _unpacked(batch):
+    for words, counts in zip(batch.column("words"), batch.column("counts")):
+        yield words.as_py().split(b"\n"), np.frombuffer(counts.as_py(), "<i8")
+
+
+def _frequent(least: float):
+    def run(batches):
+        for batch in batches:
+            for words, counts in _unpacked(batch):
+                yield pa.RecordBatch.from_pydict({"word": pa.array([words[i] for i in np.flatnonzero(counts >= least)], pa.binary())})
+    return run
 
-def _with_classes(dictionary: DataFrame):
-    """The dictionaries with word counts ``c`` of the corpus and classes, and the class table."""
-    spark = dictionary.sparkSession
-    # A word is met once per block, so its window has at most one row per block.
-    same = Window.partitionBy("word")
-    counted = dictionary.select(
-        "block", "place", "word", F.sum("seen").over(same).alias("c"),
-        (F.struct("block", "place") == F.min(F.struct("block", "place")).over(same)).alias("first"))
-    counted = store(counted, "words")
-    known = counted.where("first and c > 0")
-    tokens, words = known.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    # At most 2**14 words have such a share.
-    own = known.where(F.col("c") >= max(2.0, tokens * OWN_CLASS_SHARE)).select("word").collect()
-    own = {bytes(r.word): i for i, r in enumerate(sorted(own, key=lambda r: bytes(r.word)))}
-    listed = spark.createDataFrame([(bytearray(w), i) for w, i in own.items()], "word binary, own int")
-    suffix = F.pmod(F.xxhash64(F.substring("word", -SUFFIX_BYTES, SUFFIX_BYTES)), F.lit(SUFFIX_CLASSES))
-    kind = (F.when(F.col("c") == 0, len(own) + 2 * SUFFIX_CLASSES)
-            .when(F.col("own").isNotNull(), F.col("own"))
-            .otherwise(len(own) + suffix + F.when(F.col("c") == 1, SUFFIX_CLASSES).otherwise(0))).cast("int")
-    floor = SMOOTHING / (tokens + SMOOTHING * (words + 1))
-    share = (F.col("c") + SMOOTHING) / (tokens + SMOOTHING * (words + 1))
-    classed = counted.join(F.broadcast(listed), "word", "left").select(
-        "block", "place", "first", "c", kind.alias("kind"), share.alias("share"))
-    mass = np.zeros(len(own) + 2 * SUFFIX_CLASSES + 1)
-    for r in classed.where("first and c > 0").groupBy("kind").agg(F.sum("share").alias("m")).collect():
-        mass[r.kind] = r.m
-    mass[-1] = floor
-    return classed, Classes(own, mass, int(tokens), int(words))
-
-
-def _class_texts(classes: Classes):
-    """Replace places by classes. A block's dictionary comes before its texts."""
-    mass = classes.mass
 
+def _masses(shared):
     def run(batches):
-        current = None
-        kinds, logs, known = np.zeros(0, np.int32), np.zeros(0), np.zeros(0, bool)
+        classes = shared.value
+        mass = np.zeros(len(classes.mass))
         for batch in batches:
-            block = batch.column("block").to_numpy()
-            for at, to in zip(*_runs(block)):
-                part = batch.slice(at, to - at)
-                if block[at] != current:
-                    current = block[at]
-                    kinds, logs, known = np.zeros(0, np.int32), np.zeros(0), np.zeros(0, bool)
-                place = part.column("place")
-                words = part.filter(place.is_valid())
-                if words.num_rows:
-                    where = words.column("place").to_numpy()
-                    size = max(len(kinds), int(where.max()) + 1)
-                    kinds, logs, known = (np.concatenate([x, np.zeros(size - len(x), x.dtype)]) for x in (kinds, logs, known))
-                    kinds[where] = words.column("kind").to_numpy()
-                    logs[where] = np.log10(words.column("share").to_numpy())
-                    known[where] = words.column("c").to_numpy() > 0
-                texts = part.filter(place.is_null())
-                if texts.num_rows:
-                    yield _scored(texts, kinds, logs, known, mass)
+            for words, counts in _unpacked(batch):
+                mass += np.bincount(classes.of(words, counts), np.where(counts > 0, classes.shares(counts), 0), len(mass))
+        used = np.flatnonzero(mass)
+        yield pa.RecordBatch.from_pydict({"kind": pa.array(used.astype(np.int32)), "mass": pa.array(mass[used])})
     return run
 
 
-def _runs(values: np.ndarray):
-    """Starts and ends of the runs of equal values."""
-    edges = np.flatnonzero(np.diff(values)) + 1
-    return np.concatenate([[0], edges]), np.concatenate([edges, [len(values)]])
+def word_classes(counted: DataFrame) -> Classes:
+    """Classes and their shares, from the counts of all words. Only what is bounded by the model comes to the driver."""
+    tokens, words = counted.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("known"), F.lit(0))).first()
+    # At most 2**14 words have such a share.
+    own = counted.select("words", "counts").mapInArrow(
+        _frequent(max(2.0, tokens * OWN_CLASS_SHARE)), "word binary").collect()
+    own = {w: i for i, w in enumerate(sorted(bytes(r.word) for r in own))}
+    classes = Classes(own, np.zeros(len(own) + 2 * SUFFIX_CLASSES + 1), int(tokens), int(words))
+    shared = counted.sparkSession.sparkContext.broadcast(classes)
+    for r in counted.select("words", "counts").mapInArrow(_masses(shared), "kind int, mass double").groupBy("kind").agg(
+            F.sum("mass").alias("mass")).collect():
+        classes.mass[r.kind] = r.mass
+    classes.mass[-1] = classes.shares(0)
+    return classes
+
+
+def _answer(shared):
+    """Counts and classes of the words of every message; an owner's counts come before its messages."""
+    def run(batches):
+        classes = shared.value
+        places, counts, kinds = {}, np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for batch in batches:
+            for words, known, block, owner in zip(*(batch.column(c) for c in ("words", "counts", "block", "owner"))):
+                words = words.as_py().split(b"\n")
+                if known.is_valid:
+                    places = {w: i for i, w in enumerate(words)}
+                    counts = np.frombuffer(known.as_py(), "<i8")
+                    kinds = classes.of(words, counts)
+                    continue
+                at = np.fromiter(map(places.__getitem__, words), np.int64, len(words))
+                yield pa.RecordBatch.from_pydict({
+                    "block": pa.array([block.as_py()]), "owner": pa.array([owner.as_py()], pa.int32()),
+                    "counts": [counts[at].astype("<i8").tobytes()], "kinds": [kinds[at].astype("<i4").tobytes()]})
+    return run
+
+
+CLASSED = ("doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, inside double, classes binary")
+
+
+def _class_texts(shared):
+    """Replace places by classes. The answers to a block come before its texts, in the order of owners."""
+    def run(batches):
+        classes = shared.value
+        log_mass = np.log10(np.where(classes.mass > 0, classes.mass, 1))
+        current, parts, tables = None, [], None
+        for batch in batches:
+            for block, counts, kinds, ids, held, sizes, places in zip(*(batch.column(c) for c in (
+                    "block", "counts", "kinds", "doc_ids", "held", "sizes", "places"))):
+                if block.as_py() != current:
+                    current, parts, tables = block.as_py(), [], None
+                if counts.is_valid:
+                    parts.append((counts.as_py(), kinds.as_py()))
+                    continue
+                if tables is None:
+                    counts = np.frombuffer(b"".join(c for c, _ in parts), "<i8")
+                    kinds = np.frombuffer(b"".join(k for _, k in parts), "<i4")
+                    logs = np.log10(classes.shares(counts))
+                    parts, tables = [], (kinds.astype("<u2"), logs, logs - log_mass[kinds], counts > 0)
+                yield _scored(ids.values, held.values, sizes.values.to_numpy(), np.frombuffer(places.as_py(), "<i4"), *tables)
+    return run
 
 
-def _scored(texts, kinds, logs, known, mass):
-    lists = texts.column("places").combine_chunks() if isinstance(texts, pa.Table) else texts.column("places")
-    flat, sizes = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
+def _scored(ids, held, sizes, flat, kinds, logs, inside, known):
     starts = np.cumsum(sizes) - sizes
-    of_class = kinds[flat]
-    inside = logs[flat] - np.log10(np.where(mass > 0, mass, 1))[of_class]
+    offsets = pa.py_buffer(np.concatenate([[0], np.cumsum(sizes) * 2]).astype(np.int32))
     columns = {
-        "doc_id": texts.column("doc_id"), "held_out": texts.column("held_out"), "n_tokens": pa.array(sizes.astype(np.int64)),
+        "doc_id": ids, "held_out": held, "n_tokens": pa.array(sizes.astype(np.int64)),
         "n_known": pa.array(np.add.reduceat(known[flat].astype(np.int64), starts)),
-        "base_score": pa.array(np.add.reduceat(logs[flat], starts)), "inside": pa.array(np.add.reduceat(inside, starts)),
-        "classes": pa.ListArray.from_arrays(
-            pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(of_class.astype(np.int32)))}
+        "base_score": pa.array(np.add.reduceat(logs[flat], starts)), "inside": pa.array(np.add.reduceat(inside[flat], starts)),
+        "classes": pa.Array.from_buffers(pa.binary(), len(sizes), [None, offsets, pa.py_buffer(kinds[flat].tobytes())])}
     return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
+def class_sequences(column: pa.Array):
+    """(classes of all texts one after the other, tokens of each) of a column of packed classes, some texts at a time."""
+    lengths = pc.binary_length(column).to_numpy().astype(np.int64) // 2
+    for lo, hi in cut_by_size(lengths, ROW_TOKENS):
+        packed = b"".join(column.slice(lo, hi - lo).to_pylist())
+        yield lo, hi, np.frombuffer(packed, "<u2").astype(np.int32), lengths[lo:hi]
+
+
 @dataclass
 class Model:
     start: np.ndarray  # states
@@ -272,24 +387,21 @@ def expected_counts(model: Model, flat: np.ndarray, sizes: np.ndarray, firsts: n
     return starts, moves * model.move, emits
 
 
-def _count(model: Model):
+def _count(shared):
     """Rows (kind, k0..): counts of a class, of moves from state ``-1 - kind``, or of starts (-1 - states)."""
-    states = len(model.start)
-
     def run(batches):
+        model = shared.value
+        states = len(model.start)
         starts, moves = np.zeros(states), np.zeros((states, states))
         emits, any_text = np.zeros(model.emit.shape), False
         for batch in batches:
-            lists = batch.column("classes")
-            flat, sizes = lists.flatten().to_numpy(), lists.value_lengths().to_numpy().astype(np.int64)
-            if not len(sizes):
-                continue
-            any_text = True
-            runs = -(-sizes // TRAINING_RUN)
-            nth = np.arange(runs.sum()) - np.repeat(np.cumsum(runs) - runs, runs)
-            cut = np.minimum(np.repeat(sizes, runs) - nth * TRAINING_RUN, TRAINING_RUN)
-            a, b, c = expected_counts(model, flat, cut, nth == 0)
-            starts, moves, emits = starts + a, moves + b, emits + c
+            for _, _, flat, sizes in class_sequences(batch.column("classes")):
+                any_text = True
+                runs = -(-sizes // TRAINING_RUN)
+                nth = np.arange(runs.sum()) - np.repeat(np.cumsum(runs) - runs, runs)
+                cut = np.minimum(np.repeat(sizes, runs) - nth * TRAINING_RUN, TRAINING_RUN)
+                a, b, c = expected_counts(model, flat, cut, nth == 0)
+                starts, moves, emits = starts + a, moves + b, emits + c
         if any_text:
             used = np.flatnonzero(emits.sum(axis=1))
             kinds = np.concatenate([used, -1 - np.arange(states), [-1 - states]])
@@ -301,12 +413,12 @@ def _count(model: Model):
 
 
 def train(texts: DataFrame, classes: Classes, states: int = STATES, iterations: int = ITERATIONS) -> Model:
-    """Baum-Welch over a table with ``classes`` arrays; each round sums the counts of all partitions."""
+    """Baum-Welch over a table with packed ``classes``; each round sums the counts of all partitions."""
     model = first_model(classes, states)
     columns = [f"k{s}" for s in range(states)]
     schema = "kind int, " + ", ".join(f"{c} double" for c in columns)
     for _ in range(iterations):
-        counted = texts.select("classes").mapInArrow(_count(model), schema)
+        counted = texts.select("classes").mapInArrow(_count(texts.sparkSession.sparkContext.broadcast(model)), schema)
         # One row per class and state: bounded by the model.
         rows = counted.groupBy("kind").agg(*[F.sum(c).alias(c) for c in columns]).toArrow()
         if not rows.num_rows:
@@ -334,19 +446,42 @@ def _maximise(rows: pa.Table, classes: Classes, states: int) -> Model:
     return Model(starts / starts.sum(), moves / moves.sum(axis=1, keepdims=True), emit)
 
 
-def _score(model: Model, tokens: int):
+def _score(shared, tokens: int):
     def run(batches):
+        model = shared.value
         for batch in batches:
-            lists = batch.column("classes")
-            sizes = lists.value_lengths().to_numpy().astype(np.int64)
-            found = forward_scores(model, lists.flatten().to_numpy(), sizes) + batch.column("inside").to_numpy()
-            kept = ["doc_id", "held_out", "n_tokens", "n_known"]
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in kept], pa.array(np.full(len(sizes), tokens)), batch.column("base_score"),
-                 pa.array(found)], names=[*kept, "train_tokens", "base_score", "score"])
+            for lo, hi, flat, sizes in class_sequences(batch.column("classes")):
+                part = batch.slice(lo, hi - lo)
+                found = forward_scores(model, flat, sizes) + part.column("inside").to_numpy()
+                kept = ["doc_id", "held_out", "n_tokens", "n_known"]
+                yield pa.RecordBatch.from_arrays(
+                    [*[part.column(c) for c in kept], pa.array(np.full(len(sizes), tokens)), part.column("base_score"),
+                     pa.array(found)], names=[*kept, "train_tokens", "base_score", "score"])
     return run
 
 
+def classed_texts(docs: DataFrame, owners: int = OWNERS) -> tuple[DataFrame, Classes]:
+    """Every row of ``docs`` (doc_id, text, held_out) as the packed classes of its tokens, with its word scores."""
+    rows = docs.select("doc_id", "held_out", text_bytes().alias("data"))
+    coded = store(rows.mapInArrow(_code_blocks(owners), CODED), "coded")
+    messages = coded.where(F.col("owner").isNotNull())
+    counted = store(messages.select("owner", "words", "seen").repartition("owner").sortWithinPartitions("owner").mapInArrow(
+        _sum_words, "owner int, words binary, counts binary, tokens long, known long"), "words")
+    classes = word_classes(counted)
+    shared = docs.sparkSession.sparkContext.broadcast(classes)
+    nothing = lambda **columns: [F.lit(None).cast(kind).alias(name) for name, kind in columns.items()]
+    asked = messages.select("owner", "words", *nothing(counts="binary"), "block")
+    known = counted.select("owner", "words", "counts", *nothing(block="string"))
+    answers = asked.unionByName(known).repartition("owner").sortWithinPartitions("owner", F.col("counts").isNull()).mapInArrow(
+        _answer(shared), "block string, owner int, counts binary, kinds binary")
+    texts = coded.where(F.col("owner").isNull()).select(
+        "block", *nothing(owner="int", counts="binary", kinds="binary"), "doc_ids", "held", "sizes", "places")
+    answers = answers.select("*", *nothing(doc_ids="array<long>", held="array<boolean>", sizes="array<int>", places="binary"))
+    # A block and its answers have a bounded size, so a task meets a few bounded blocks one after the other.
+    together = answers.unionByName(texts).repartition("block").sortWithinPartitions("block", F.col("owner").isNull(), "owner")
+    return store(together.mapInArrow(_class_texts(shared), CLASSED), "classed"), classes
+
+
 def score_texts(docs: DataFrame, states: int = STATES, iterations: int = ITERATIONS) -> DataFrame:
     """Train on the rows of ``docs`` whose ``held_out`` is false and score all of them.
 
@@ -357,20 +492,7 @@ def score_texts(docs: DataFrame, states: int = STATES, iterations: int = ITERATI
     under the hidden Markov model, both over the training words and one unknown word. Without
     training rows every token is unknown and has probability one under both.
     """
-    rows = docs.select("doc_id", "held_out", text_bytes().alias("data"))
-    coded = store(rows.mapInArrow(_code_blocks, CODED), "coded")
-    dictionary, classes = _with_classes(coded.where(F.col("word").isNotNull()).select("block", "place", "word", "seen"))
-    texts = coded.where(F.col("word").isNull()).select(
-        "block", F.lit(None).cast("int").alias("place"), F.lit(None).cast("int").alias("kind"),
-        F.lit(None).cast("long").alias("c"), F.lit(None).cast("double").alias("share"), "doc_id", "held_out", "places")
-    words = dictionary.select(
-        "block", "place", "kind", "c", "share", F.lit(None).cast("long").alias("doc_id"),
-        F.lit(None).cast("boolean").alias("held_out"), F.lit(None).cast("array<int>").alias("places"))
-    together = words.unionByName(texts).repartition("block").sortWithinPartitions(
-        "block", F.col("place").isNull())
-    classed = store(together.mapInArrow(_class_texts(classes), (
-        "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, inside double, "
-        "classes array<int>")), "classed")
+    classed, classes = classed_texts(docs)
     model = train(classed.where(~F.col("held_out")), classes, states, iterations)
-    return classed.mapInArrow(_score(model, classes.tokens), (
+    return classed.mapInArrow(_score(docs.sparkSession.sparkContext.broadcast(model), classes.tokens), (
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"))
