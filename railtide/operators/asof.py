@@ -2,80 +2,94 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from railtide.constants import MAX_GROUP_ROWS, WEATHER_MEASURES
 from railtide.functions.times import micros_between
-from railtide.operators.skew import join_spread
+from railtide.operators.skew import frequent_hashes, is_small, join_spread, key_hash
 from railtide.session import store
 
+# A series may have up to so many slots per observation; wider slots are taken where days would be more.
+SLOTS_PER_OBSERVATION = 4
 
-def nearest_in_time(points: DataFrame, series: DataFrame, key: str, at: str, time: str) -> DataFrame:
-    """``(key, at, time)``: for every distinct point the time of ``series`` closest to it.
 
-    Both sides are stacked and read once forwards and once backwards within each key and day. The
-    last time before a day and the first one after it are put into that day, so no key has to fit
-    one task and days without times are bridged. On equal distance the earlier time wins.
+def slot_of(at: Column, days: int) -> Column:
+    """Number of the span of ``days`` days that a time lies in."""
+    return F.floor(F.unix_date(at.cast("date")) / days).cast("int")
+
+
+def time_index(series: DataFrame, key: str, time: str, values: list[str], days: int) -> DataFrame:
+    """``(key, _slot, _observed)``: for every slot of a key, from its first to its last, the observations of
+    the slot in order of time, after the last one before the slot and before the first one after it."""
+    found = series.groupBy(key, slot_of(F.col(time), days).alias("_slot")).agg(
+        F.sort_array(F.collect_list(F.struct(time, *values))).alias("own"))
+    # One row per key and slot with observations.
+    order = Window.partitionBy(key).orderBy("_slot")
+    around = found.select(
+        "*", F.lag(F.element_at("own", -1)).over(order).alias("before"),
+        F.lead(F.element_at("own", 1)).over(order).alias("after"), F.lead("_slot").over(order).alias("next"))
+    last = F.coalesce(F.col("next") - 1, F.col("_slot"))
+    slots = around.select("*", F.explode(F.sequence("_slot", last)).alias("at"))
+    bridge = F.array(F.element_at("own", -1), F.col("after"))
+    whole = F.concat(F.array_compact(F.array("before")), "own", F.array_compact(F.array("after")))
+    return slots.select(key, F.col("at").alias("_slot"), F.when(F.col("at") == F.col("_slot"), whole).otherwise(bridge).alias("_observed"))
+
+
+def nearest_of(observed: Column, time: str, at: Column) -> Column:
+    """The element of an ordered array whose time is nearest; of two equally near ones the earlier.
+
+    Binary search for the number of elements up to ``at``, a halved step at a time.
     """
-    stacked = points.select(key, at, F.lit(None).cast(series.schema[time].dataType).alias(time)).unionByName(
-        series.select(key, F.col(time).alias(at), time))
-    stacked = stacked.withColumn("_day", F.to_date(at))
-
-    edges = stacked.groupBy(key, "_day").agg(F.min(time).alias("_first"), F.max(time).alias("_last"))
-    # One row per key and day.
-    earlier_days = Window.partitionBy(key).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    later_days = Window.partitionBy(key).orderBy(F.desc("_day")).rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        edges.select(key, "_day", F.last("_last", ignorenulls=True).over(earlier_days).alias("_before"),
-                     F.last("_first", ignorenulls=True).over(later_days).alias("_after"))
-        .select(key, "_day", F.explode(F.array("_before", "_after")).alias(time))
-        .where(F.col(time).isNotNull()).select(key, F.col(time).alias(at), time, "_day")
-    )
-    is_point = F.col(time).isNull()
-    forwards = Window.partitionBy(key, "_day").orderBy(F.col(at), is_point)
-    backwards = Window.partitionBy(key, "_day").orderBy(F.col(at).desc(), is_point)
-    earlier, later = F.col("_earlier"), F.col("_later")
-
-    def gap(found):
-        return F.abs(micros_between(found, F.col(at)))
-
-    nearer = F.when(earlier.isNull() | (gap(later) < gap(earlier)), later).otherwise(earlier)
-    return (
-        stacked.unionByName(carried)
-        .withColumn("_earlier", F.last(time, ignorenulls=True).over(forwards))
-        .withColumn("_later", F.last(time, ignorenulls=True).over(backwards))
-        .where(is_point)
-        .select(key, at, nearer.alias(time))
-    )
+    size = F.size(observed)
+    halvings = F.sequence(F.length(F.bin(size)) - 1, F.lit(0), F.lit(-1))
+
+    def advance(found: Column, k: Column) -> Column:
+        following = found + F.call_function("shiftleft", F.lit(1), k)
+        return F.when((following <= size) & (F.get(observed, following - 1)[time] <= at), following).otherwise(found)
+
+    found = F.aggregate(halvings, F.lit(0), advance)
+    earlier, later = F.get(observed, found - 1), F.get(observed, found)
+    gap = lambda x: F.abs(micros_between(x[time], at))
+    return F.when(earlier.isNull() | (gap(later) < gap(earlier)), later).otherwise(earlier)
 
 
 def add_weather(events: DataFrame, weather: DataFrame, station: str = "station_id",
                 at: str = "datetime", measures: list[str] = WEATHER_MEASURES,
-                max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                max_rows: int | None = None) -> DataFrame:
     """Every event with a datetime, the nearest weather of its station, its distance in minutes and
     whether there was any.
 
-    The answer depends on station and time alone, so the search runs over the distinct pairs,
-    counted together before the shuffle, and carries nothing but times; the measures are joined to
-    what it found. A station with a large share of the events then weighs no more than its distinct
-    times. Pairs and weather are stored, so that each source is read once. Of several weather rows
+    The weather becomes an index with one row per station and day, which holds the day's observations in
+    order and those next to the day. An event before the first or after the last day of its station goes to that
+    day. So events are shuffled once, for the join with the index, and read once. A hot
+    station and day is left to adaptive execution, which splits skewed partitions; with ``max_rows`` a sketch
+    over the events finds the keys with more rows first and deals them out. Of several weather rows
     at one time the one with the smallest ``line_no`` is taken, as in the order of a file; without
     that column the smallest row of measures.
     """
     events = events.where(F.col(at).isNotNull())
-    points = store(events.groupBy(station, at).agg(F.count(F.lit(1)).alias("n")).where(
-        F.col(station).isNotNull()), "points")
     row = F.struct(*measures)
     first = F.min_by(row, "line_no") if "line_no" in weather.columns else F.min(row)
     observed = store(
-        weather.withColumnRenamed("station_id", station).where(F.col("valid_time").isNotNull())
+        weather.withColumnRenamed("station_id", station).where(F.col("valid_time").isNotNull() & F.col(station).isNotNull())
         .groupBy(station, "valid_time").agg(first.alias("_m")).select(station, "valid_time", "_m.*"), "observed")
-    nearest = nearest_in_time(points, observed.select(station, "valid_time"), station, at, "valid_time")
-    nearest = nearest.join(observed, [station, "valid_time"], "left")
-    gap = F.abs(micros_between(F.col("valid_time"), F.col(at))) / F.lit(60e6)
-    hot = points.where(F.col("n") > max_rows)
-    return join_spread(events, nearest, [station, at], hot, max_rows).withColumns({
-        "time_diff_minutes": gap.cast("float"),
-        "weather_station_found": F.col("valid_time").isNotNull(),
-    }).drop("valid_time")
+    reach = store(observed.groupBy(station).agg(
+        F.min("valid_time").alias("_from"), F.max("valid_time").alias("_to"), F.count(F.lit(1)).alias("n")), "reach")
+    spans = reach.agg(F.sum(F.datediff("_to", "_from") + 1).alias("days"), F.sum("n").alias("n")).first()
+    days = max(1, -(-(spans["days"] or 0) // (SLOTS_PER_OBSERVATION * (spans["n"] or 1))))
+    index = time_index(observed, station, "valid_time", measures, days)
+    ends = reach.select(station, slot_of(F.col("_from"), days).alias("_from"), slot_of(F.col("_to"), days).alias("_to"))
+    # One row per station with weather.
+    ends = F.broadcast(ends) if is_small(ends) else ends
+    placed = events.join(ends, station, "left").withColumn(
+        "_slot", F.greatest("_from", F.least("_to", slot_of(F.col(at), days)))).drop("_from", "_to")
+    keys = [station, "_slot"]
+    hot = frequent_hashes(placed, key_hash(keys, placed.schema), max_rows) if max_rows else {}
+    found = join_spread(placed, index, keys, hot, max_rows or MAX_GROUP_ROWS).withColumn(
+        "_near", nearest_of(F.col("_observed"), "valid_time", F.col(at))).drop("_observed", "_slot")
+    gap = F.abs(micros_between(F.col("_near")["valid_time"], F.col(at))) / F.lit(60e6)
+    return found.withColumns({
+        **{m: F.col("_near")[m] for m in measures}, "time_diff_minutes": gap.cast("float"),
+        "weather_station_found": F.col("_near").isNotNull(),
+    }).drop("_near")

@@ -10,7 +10,7 @@ from railtide.constants import (
 )
 from railtide.functions.values import category_text, encode_flag
 from railtide.operators.ordering import ordered_index
-from railtide.operators.skew import join_lookup, join_spread
+from railtide.operators.skew import frequent_hashes, join_lookup, join_spread
 from railtide.session import store
 
 
@@ -34,7 +34,7 @@ def encode_categories(df: DataFrame, codes: DataFrame, columns: list[str] = CATE
     """Add ``<column>_encoded`` from a code table.
 
     The smallest lookups are broadcast as long as all of them together stay within the limit. For
-    the others frequent values are counted once, over all columns and on the table as it came in,
+    the others frequent values are found in one pass, over all columns and on the table as it came in,
     so that each further lookup adds one join and no further look at the table.
     """
     columns = [c for c in columns if c in df.columns]
@@ -50,9 +50,7 @@ def encode_categories(df: DataFrame, codes: DataFrame, columns: list[str] = CATE
     if large:
         pairs = F.array(*[F.struct(F.lit(c).alias("column"), category_text(F.col(c), null_token).alias("_value"))
                           for c in large])
-        # At most rows / max_rows values per column.
-        hot = store(df.select(F.inline(pairs)).groupBy("column", "_value").agg(
-            F.count(F.lit(1)).alias("n")).where(F.col("n") > max_rows), "frequent")
+        hot = frequent_hashes(df.select(F.inline(pairs)), F.xxhash64("column", "_value"), max_rows)
     for c in columns:
         own = codes.where(F.col("column") == c).select(
             F.col("value").alias("_value"), F.col("code").alias(f"{c}_encoded"))
@@ -60,8 +58,7 @@ def encode_categories(df: DataFrame, codes: DataFrame, columns: list[str] = CATE
         if c in small:
             df = keyed.join(F.broadcast(own), ["_value"], "left").drop("_value")
         else:
-            frequent = hot.where(F.col("column") == c).drop("column")
-            df = join_spread(keyed, own, ["_value"], frequent, max_rows).drop("_value")
+            df = join_spread(keyed, own, ["_value"], hot, max_rows, named=c).drop("_value")
     return df
 
 

@@ -1,6 +1,7 @@
 """Hot groups, large lookups and exact quantiles give the same rows as the plain way."""
 
 import random
+import re
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -57,6 +58,49 @@ def test_join_lookup_by_shuffle_equals_broadcast(spark):
     assert large.count() == 3000
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_only_rows_of_hot_keys_are_dealt_out(spark):
+    facts = spark.range(0, 3000, 1, 6).select(
+        "id", F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 10 == 1, None).otherwise(F.col("id") % 50).alias("k"))
+    lookup = spark.createDataFrame([(i, i * 2) for i in range(60)], "k long, v long")
+    hashed = skew.key_hash(["k"], facts.schema)
+    hot = skew.frequent_hashes(facts, hashed, 300)
+    want = {r["h"]: r["n"] for r in facts.groupBy(hashed.alias("h")).agg(F.count("*").alias("n")).where("n > 300").collect()}
+    assert hot == want and len(hot) == 1
+    cold = plan_of(skew.join_spread(facts, lookup, ["k"], {}))
+    assert "xxhash64" not in cold and "_salt" not in cold
+    spread = skew.join_spread(facts, lookup, ["k"], hot, 300)
+    salts = re.findall(r"CASE WHEN (.*?) END AS _salt", plan_of(spread))
+    assert len(salts) == 1 and re.match(r"\(_copies#\d+ > 1\) THEN .*ELSE 0", salts[0])
+    # Every other hash is one of the key alone.
+    hashed_by = re.findall(r"xxhash64\(([^)]*?), 42\) AS _hash", plan_of(spread))
+    assert len(hashed_by) == 2 and not any("," in x or "id#" in x for x in hashed_by)
+    plain = facts.join(lookup, "k", "left")
+    assert rows(spread.select("id", "k", "v")) == rows(plain.select("id", "k", "v"))
+
+
+def test_sketch_counts_many_keys_at_once(spark):
+    df = spark.range(0, 400_000, 1, 8).select(F.when(F.col("id") % 4 == 0, "a").when(F.col("id") % 5 == 1, "b").otherwise(
+        F.col("id").cast("string")).alias("k"), F.lit(1.5).alias("x"))
+    name = lambda k: df.select(skew.key_hash(["k"], df.schema).alias("h")).where(F.col("h") == F.xxhash64(F.lit(k))).first()["h"]
+    hot = skew.frequent_hashes(df, skew.key_hash(["k"], df.schema), 50_000)
+    assert set(hot) == {name("a"), name("b")}
+    assert 100_000 <= hot[name("a")] <= 100_100 and 60_000 <= hot[name("b")] <= 80_100
+
+
+def test_hot_key_of_another_type_and_minus_zero(spark):
+    facts = spark.range(0, 900, 1, 3).select("id", F.when(F.col("id") % 2 == 0, 0.0).otherwise(-0.0).alias("k"))
+    lookup = spark.createDataFrame([(0.0, "zero")], "k float, v string")
+    got = skew.join_lookup(facts, lookup, ["k"], max_broadcast_rows=0, max_rows=50)
+    assert got.where("v = 'zero'").count() == 900
+    whole = spark.range(0, 900, 1, 3).select("id", F.lit(5).cast("int").alias("k"))
+    large = spark.createDataFrame([(5, "five")], "k long, v string")
+    assert skew.join_lookup(whole, large, ["k"], max_broadcast_rows=0, max_rows=50).where("v = 'five'").count() == 900
+
+
 def test_hot_key_without_lookup_row_stays(spark):
     facts = spark.range(0, 500, 1, 4).select("id", F.lit("absent").alias("k"))
     lookup = spark.createDataFrame([("x", 1)], "k string, v int")
@@ -107,6 +151,23 @@ def nearest_by_hand(events, weather):
     return sorted(out, key=lambda r: r[0])
 
 
+def test_series_of_a_few_far_apart_observations(spark):
+    """Days without weather take wider slots instead of a row each."""
+    times = [datetime(1900, 1, 1), datetime(2024, 1, 1, 6), datetime(2024, 1, 1, 7), datetime(2300, 1, 1)]
+    events = [(i, 1, datetime(1800, 1, 1) + timedelta(days=i * 997, minutes=i * 7)) for i in range(250)]
+    left = spark.createDataFrame(events, "id int, station_id int, datetime timestamp_ntz")
+    right = spark.createDataFrame([(1, t, n) for n, t in enumerate(times)], "station_id int, valid_time timestamp_ntz, n int")
+    got = {r["id"]: times[r["n"]] for r in add_weather(left, right, measures=["n"]).collect()}
+    assert got == dict(nearest_by_hand(events, [(1, t) for t in times]))
+
+
+def test_events_are_shuffled_once_and_not_windowed(spark):
+    plan = add_weather(views.timed(spark, SMALL), views.weather(spark, SMALL)).drop("x")._jdf.queryExecution().sparkPlan().toString()
+    above = plan[:plan.index("Window")] if "Window" in plan else plan
+    assert plan.count("l_partkey") > 0 and "l_partkey" not in plan[plan.index("Window"):]
+    assert "Join" in above
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_nearest_weather_equals_brute_force(spark, seed):
     rng = random.Random(seed)
@@ -117,7 +178,7 @@ def test_nearest_weather_equals_brute_force(spark, seed):
     left = spark.createDataFrame(events, "id int, station_id int, datetime timestamp_ntz")
     right = spark.createDataFrame([(s, t, float(t.timestamp()) if t else 0.0) for s, t in weather],
                                   "station_id int, valid_time timestamp_ntz, stamp double")
-    got = add_weather(left, right, measures=["stamp"], max_rows=rng.choice([2, 1000]))
+    got = add_weather(left, right, measures=["stamp"], max_rows=[None, 2, 1000, None][seed])
     found = [(r["id"], datetime.fromtimestamp(r["stamp"]) if r["weather_station_found"] else None,
               r["time_diff_minutes"]) for r in got.orderBy("id").collect()]
     assert [f[:2] for f in found] == nearest_by_hand(events, weather)
