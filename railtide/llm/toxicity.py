@@ -3,6 +3,10 @@
 A sentence's score is logistic in the features of its distinct words; a document is toxic if any of
 its sentences is, so ``1 - P(document) = product of 1 - p(sentence)`` (noisy-or). Training needs
 document labels only and afterwards the sentence scores tell which sentences offend.
+
+A word's features are itself, its beginnings and its parts, so that the forms of a word share what is
+known of it. Only features are trained that clearly more toxic than clean documents have: without the
+others no document can be explained by its rare words, and a single offending word is enough.
 """
 
 from __future__ import annotations
@@ -18,15 +22,18 @@ from pyspark.sql import functions as F
 
 from railtide.session import store
 
-FEATURE_BITS = 17
-PREFIXES = (4, 5)
-SENTENCE_WORDS = 40
+FEATURE_BITS = 20
+PREFIXES, PARTS = (4, 5), (4, 5)
+# A sentence of fewer words is joined with the next one, one of more is cut.
+FEWEST_WORDS, SENTENCE_WORDS = 3, 40
 # Expected number of labelled rows that are trained on, and the files they are kept in.
 TRAINING_ROWS = 20_000
 TRAINING_FILES = 8
-# Quasi-Newton steps, the steps remembered for their curvature, and the pull of weights to zero. Few
-# steps also keep the model from explaining single documents by their rare words.
-ITERATIONS, MEMORY, RIDGE = 22, 8, 0.1
+# A feature is trained that so many toxic documents have, one more of every so many, and whose share of
+# the toxic documents is so many times that of the clean ones.
+FEWEST_TOXIC, ONE_MORE_PER, LIFT = 2, 500, 2.0
+# Quasi-Newton steps, the steps remembered for their curvature, and the pull of weights to zero.
+ITERATIONS, MEMORY, RIDGE = 30, 8, 0.05
 # Toxic documents are the fewer; one counts as so many clean ones.
 TOXIC_WEIGHT = 4.0
 FIRST_BIAS = -4.0
@@ -38,44 +45,93 @@ _WORD = re.compile(r"\w+")
 
 
 def word_features(word: str) -> list[int]:
-    """Hashed features of a lower-case word: itself and its beginnings."""
-    names = [word, *(f"^{word[:n]}" for n in PREFIXES if len(word) >= n)]
+    """Hashed features of a lower-case word: itself, its beginnings and its parts."""
+    names = [word, *[f"^{word[:n]}" for n in PREFIXES if len(word) >= n],
+             *[f"#{word[at:at + n]}" for n in PARTS for at in range(len(word) - n + 1)]]
     return [zlib.crc32(n.encode()) & ((1 << FEATURE_BITS) - 1) for n in names]
 
 
 def sentences(text: str):
-    """(start, end, distinct words) of every sentence that has words; long ones are cut."""
+    """(start, end, distinct words) of every sentence that has words; very short ones are joined, long ones are cut."""
     lower = text.lower()
     # Lower-casing can lengthen a text in rare scripts; places then refer to the lower-cased text.
+    begin, before = 0, []
     for found in _SENTENCE.finditer(lower):
-        begin, end = found.span()
-        words = _WORD.findall(lower, begin, end)
-        if len(words) <= SENTENCE_WORDS:
-            if words:
-                yield begin, end, set(words)
+        start, end = found.span()
+        words = _WORD.findall(lower, start, end)
+        if not before:
+            begin = start
+        if len(before) + len(words) < FEWEST_WORDS:
+            before += words
+            last = end
             continue
-        places = list(_WORD.finditer(lower, begin, end))
-        for at in range(0, len(places), SENTENCE_WORDS):
-            part = places[at:at + SENTENCE_WORDS]
-            yield part[0].start(), part[-1].end(), {w.group() for w in part}
-
-
-def _featured(batches):
-    """Of every labelled text its label, and its sentences' features one after the other."""
+        if len(before) + len(words) <= SENTENCE_WORDS:
+            yield begin, end, {*before, *words}
+        else:
+            places = list(_WORD.finditer(lower, begin, end))
+            for at in range(0, len(places), SENTENCE_WORDS):
+                part = places[at:at + SENTENCE_WORDS]
+                yield part[0].start(), part[-1].end(), {w.group() for w in part}
+        before = []
+    if before:
+        yield begin, last, set(before)
+
+
+class _Features(dict):
+    """Features of the words met so far."""
+
+    def __missing__(self, word):
+        if len(self) > REMEMBERED:
+            self.clear()
+        self[word] = found = np.array(word_features(word), np.int32)
+        return found
+
+
+def _document_counts(batches):
+    """Clean and toxic documents that have each feature, and how many there are of both."""
+    known, counts, rows = _Features(), np.zeros((2, 1 << FEATURE_BITS), np.int32), [0, 0]
     for batch in batches:
-        labels, all_features, all_sizes = batch.column("toxic"), [], []
-        for text in batch.column("text").to_pylist():
-            features, sizes = [], []
-            for _, _, words in sentences(text or ""):
-                before = len(features)
-                for word in words:
-                    features += word_features(word)
-                sizes.append(len(features) - before)
-            all_features.append(features)
-            all_sizes.append(sizes)
-        yield pa.RecordBatch.from_arrays(
-            [labels, pa.array(all_features, pa.list_(pa.int32())), pa.array(all_sizes, pa.list_(pa.int32()))],
-            names=["toxic", "features", "sizes"])
+        for toxic, text in zip(batch.column("toxic").to_pylist(), batch.column("text").to_pylist()):
+            words = {w for _, _, own in sentences(text or "") for w in own}
+            if words:
+                counts[int(toxic > 0), np.unique(np.concatenate([known[w] for w in words]))] += 1
+            rows[int(toxic > 0)] += 1
+    yield pa.RecordBatch.from_pydict({"clean": [counts[0].tobytes()], "toxic": [counts[1].tobytes()],
+                                      "n_clean": [rows[0]], "n_toxic": [rows[1]]})
+
+
+def telling_features(chosen: DataFrame) -> np.ndarray:
+    """The features to train, in ascending order. Every training file sends its counts, vectors of the model's size."""
+    clean, toxic = np.zeros(1 << FEATURE_BITS, np.int64), np.zeros(1 << FEATURE_BITS, np.int64)
+    n_clean = n_toxic = 0
+    for r in chosen.mapInArrow(_document_counts, "clean binary, toxic binary, n_clean long, n_toxic long").collect():
+        clean += np.frombuffer(r.clean, np.int32)
+        toxic += np.frombuffer(r.toxic, np.int32)
+        n_clean, n_toxic = n_clean + r.n_clean, n_toxic + r.n_toxic
+    often = toxic >= FEWEST_TOXIC + n_toxic // ONE_MORE_PER
+    return np.flatnonzero(often & (toxic * max(1, n_clean) >= LIFT * (clean + 1) * max(1, n_toxic)))
+
+
+def _featured(trained: np.ndarray):
+    """Of every labelled text its label, and its sentences' trained features, as places among them, one after the other."""
+    def run(batches):
+        place = np.full(1 << FEATURE_BITS, -1, np.int32)
+        place[trained] = np.arange(len(trained), dtype=np.int32)
+        known = _Features()
+        for batch in batches:
+            labels, all_features, all_sizes = batch.column("toxic"), [], []
+            for text in batch.column("text").to_pylist():
+                features, sizes = [np.zeros(0, np.int32)], []
+                for _, _, words in sentences(text or ""):
+                    own = place[np.concatenate([known[w] for w in words])]
+                    features.append(own[own >= 0])
+                    sizes.append(len(features[-1]))
+                all_features.append(np.concatenate(features))
+                all_sizes.append(sizes)
+            yield pa.RecordBatch.from_arrays(
+                [labels, pa.array(all_features, pa.list_(pa.int32())), pa.array(all_sizes, pa.list_(pa.int32()))],
+                names=["toxic", "features", "sizes"])
+    return run
 
 
 @dataclass
@@ -123,16 +179,20 @@ def train(labelled: DataFrame, training_rows: int = TRAINING_ROWS, iterations: i
 
     Of more than ``training_rows`` labelled documents about so many are taken, by a hash of their
     ids. Every evaluation sums the gradients of all partitions; the steps are limited-memory BFGS
-    with backtracking. Without documents the first model stays and scores are low.
+    with backtracking. Without documents the first model stays and scores are low. A row whose label is
+    null is not trained on; a null text is empty and teaches nothing; rows that repeat count as often
+    as they are there; rows of a null id are taken or left together. Other columns are not read.
     """
     known = labelled.where(F.col("toxic").isNotNull())
     there = known.count()
     if there > training_rows:
         part = int(training_rows / there * (1 << 31))
         known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31)) < part)
-    chosen = store(known.select("toxic", "text").repartition(TRAINING_FILES).mapInArrow(
-        _featured, "toxic int, features array<int>, sizes array<int>"), "labelled").coalesce(TRAINING_FILES)
-    pull = np.append(np.full(1 << FEATURE_BITS, RIDGE), 0.0)
+    rows = store(known.select("toxic", "text").repartition(TRAINING_FILES), "labelled").coalesce(TRAINING_FILES)
+    trained = telling_features(rows)
+    chosen = store(rows.mapInArrow(
+        _featured(trained), "toxic int, features array<int>, sizes array<int>"), "featured").coalesce(TRAINING_FILES)
+    pull = np.append(np.full(len(trained), RIDGE), 0.0)
 
     def evaluate(at: np.ndarray):
         # One vector per file: a bounded number of them, each of the model's size.
@@ -140,8 +200,10 @@ def train(labelled: DataFrame, training_rows: int = TRAINING_ROWS, iterations: i
         slope = sum((np.frombuffer(r.sums, "<f8") for r in parts), np.zeros(len(at)))
         return sum(r.loss for r in parts) + 0.5 * float(pull @ (at * at)), slope + pull * at
 
-    at = minimise(evaluate, np.append(np.zeros(1 << FEATURE_BITS), FIRST_BIAS), iterations)
-    return Model(at[:-1].astype(np.float32), float(at[-1]))
+    at = minimise(evaluate, np.append(np.zeros(len(trained)), FIRST_BIAS), iterations)
+    weights = np.zeros(1 << FEATURE_BITS, np.float32)
+    weights[trained] = at[:-1]
+    return Model(weights, float(at[-1]))
 
 
 def minimise(evaluate, at: np.ndarray, iterations: int) -> np.ndarray:
@@ -230,5 +292,9 @@ def score_texts(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs``, all columns, whose score is below the threshold."""
+    """The rows of ``docs``, all columns, whose score is below the threshold.
+
+    A null or empty text scores 0 and stays; rows that repeat stay or go together; columns may have any
+    names besides ``text``. An empty table stays empty.
+    """
     return docs.mapInArrow(_score(model, docs.columns), docs.schema)

@@ -156,6 +156,95 @@ def test_toxicity_of_odd_rows(spark, name, request):
     assert tox.keep_clean(docs, model).columns == docs.columns
 
 
+INSULTS = ["wretch", "buffoon", "dolt", "knave"]
+
+
+def insulting(rng, n, per_doc, signs=False):
+    """(doc_id, text, toxic): every second document has insults, in any form, among invented words."""
+    rows = []
+    for i in range(n):
+        words = ["".join(rng.choice(list("abcdefgh"), rng.integers(2, 7))) for _ in range(rng.integers(30, 200))]
+        if i % 2:
+            for _ in range(per_doc):
+                words.insert(int(rng.integers(0, len(words))), str(rng.choice(INSULTS)) + str(rng.choice(["", "s", "ish", "ly"])))
+        text = " ".join(w + ("!!" if signs else "." if rng.random() < 0.1 else "") for w in words)
+        rows.append((i, text.upper() if signs else text, i % 2))
+    return rows
+
+
+def test_one_insult_is_enough(spark):
+    rng = np.random.default_rng(14)
+    schema = "doc_id long, text string, toxic int"
+    model = tox.train(spark.createDataFrame(insulting(rng, 400, 3), schema))
+    for signs in (False, True):
+        docs = insulting(rng, 200, 1, signs)
+        got = {r.doc_id: r for r in tox.score_texts(spark.createDataFrame(docs, schema), model).collect()}
+        caught = [got[i].score >= 0.5 for i, _, toxic in docs if toxic]
+        assert sum(caught) >= 0.9 * len(caught)
+        assert sum(got[i].score >= 0.5 for i, _, toxic in docs if not toxic) == 0
+        if signs:
+            hits = [(got[i], text) for i, text, toxic in docs if toxic and got[i].score >= 0.5]
+            assert all(any(w in text[r.worst_start:r.worst_stop].lower() for w in INSULTS) for r, text in hits)
+
+
+def plain_toxicity(rows, seen):
+    """Scores of the whole query by plain loops, except for the minimiser's steps."""
+    def words_by_sentence(text):
+        return [words for _, _, words in tox.sentences(text or "")]
+    train = [(words_by_sentence(t), y) for _, t, y in seen]
+    holders = {0: Counter(), 1: Counter()}
+    for parts, y in train:
+        holders[y].update({f for words in parts for w in words for f in tox.word_features(w)})
+    n = Counter(y for _, y in train)
+    trained = sorted(f for f, k in holders[1].items() if k >= 2 + n[1] // 500 and k * max(1, n[0]) >= 2.0 * (holders[0][f] + 1) * max(1, n[1]))
+    place = {f: i for i, f in enumerate(trained)}
+    coded = [([[place[f] for w in words for f in tox.word_features(w) if f in place] for words in parts], y) for parts, y in train]
+
+    def evaluate(at):
+        loss, slope = 0.05 / 2 * float(at[:-1] @ at[:-1]), np.append(0.05 * at[:-1], 0.0)
+        for parts, y in coded:
+            if not parts:
+                continue
+            zs = [at[-1] + sum(at[f] for f in part) for part in parts]
+            against = max(sum(np.logaddexp(0, z) for z in zs), 1e-9)
+            loss += against if not y else -4.0 * math.log(-math.expm1(-against))
+            pull = 1.0 if not y else -4.0 / math.expm1(min(against, 500))
+            for z, part in zip(zs, parts):
+                p = 1 / (1 + math.exp(-z))
+                slope[-1] += pull * p
+                for f in part:
+                    slope[f] += pull * p
+        return loss, slope
+
+    at = tox.minimise(evaluate, np.append(np.zeros(len(trained)), -4.0), tox.ITERATIONS)
+    found = {}
+    for doc_id, text, _ in rows:
+        zs = [at[-1] + sum(at[place[f]] for w in words for f in tox.word_features(w) if f in place) for words in words_by_sentence(text)]
+        found[doc_id] = 1 - math.exp(-sum(np.logaddexp(0, z) for z in zs)) if zs else 0.0
+    return found
+
+
+def test_whole_query_against_plain_loops(spark, tmp_path):
+    rng = np.random.default_rng(15)
+    rows = insulting(rng, 160, 2) + [(1000, None, 0), (1001, "", 1), (1002, "...", 0)]
+    spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(i, y) for i, _, y in rows if i % 3] + [(5000, 1), (7, None)]
+    spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    known = {i: y for i, y in labels if y is not None}
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 0
+    want = plain_toxicity(rows, [(i, t, known[i]) for i, t, _ in rows if i in known and not held(i)])
+    got = queries.QUERIES["op2_toxicity"](spark, str(tmp_path)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert abs(r.score - want[r.doc_id]) < 1e-3 and r.held_out == held(r.doc_id) and r.predicted == (r.score >= 0.5)
+
+
+def test_short_sentences_are_joined():
+    found = list(tox.sentences("YOU!! ARE!! A!! FOOL!! indeed. A sentence of its own. End."))
+    assert [w for _, _, w in found] == [{"you", "are", "a"}, {"fool", "indeed", "a", "sentence", "of", "its", "own"}, {"end"}]
+    assert list(tox.sentences("?! .")) == [] and [f[2] for f in tox.sentences("one. . two")] == [{"one", "two"}]
+
+
 # ---------------------------------------------------------------- language identification
 
 def test_languages_of_held_out_documents(spark):
