@@ -543,8 +543,6 @@ def encode_all(spark, sf):
 
 # ---------------------------------------------------------------- models
 
-# What the queries fit that need some forest; train_forest fits the operator's own (MERGED_FOREST).
-SMALL_FOREST = {"numTrees": 10, "maxDepth": 6}
 TARGET = "dep_delay_s"
 
 
@@ -552,11 +550,11 @@ def _model_table(spark, sf, names=mf.COMPACT_FEATURES):
     return prepared(v.features(spark, sf), names, clip_weather=names is mf.COMPACT_FEATURES)
 
 
-def _fitted(spark, sf, target=TARGET, params=SMALL_FOREST):
-    """A forest of ``params`` over the operator's own settings, the held-out rows and the features."""
+def _fitted(spark, sf, target=TARGET):
+    """A forest of the operator's own settings, the held-out rows and the features."""
     df, names = _model_table(spark, sf)
     train, test = mf.split_rows(df, ["row_key"])
-    return forest.train_forest(train, target, names, **params), test, names
+    return forest.train_forest(train, target, names), test, names
 
 
 def _importances(spark, sf):
@@ -619,7 +617,7 @@ def expanding_folds(spark, sf):
 @query
 def train_forest(spark, sf):
     """Whether all held-out rows were scored and the operator's own forest explains more than their mean does."""
-    model, test, _ = _fitted(spark, sf, params={})
+    model, test, _ = _fitted(spark, sf)
     return forest.evaluate(model, test, TARGET).select("n", (F.col("r2") > 0.2).alias("explains"))
 
 
@@ -627,7 +625,7 @@ def train_forest(spark, sf):
 def grid_search(spark, sf):
     df, names = _model_table(spark, sf)
     found = forest.grid_search(df, TARGET, names, ["datetime", "row_key"],
-                               {"minInstancesPerNode": [5, 10], "minInfoGain": [0.0, 0.1]}, **SMALL_FOREST)
+                               {"minInstancesPerNode": [5, 10], "minInfoGain": [0.0, 0.1]})
     # One row per grid point.
     before = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     placed = found.withColumn("place", F.monotonically_increasing_id())
@@ -689,7 +687,7 @@ def model_roundtrip(spark, sf):
 def predictions(spark, sf):
     df, names = _model_table(spark, sf)
     train, _ = mf.split_rows(df, ["row_key"])
-    model = forest.train_forest(train, TARGET, names, **SMALL_FOREST)
+    model = forest.train_forest(train, TARGET, names)
     reach = df.agg(F.struct(F.min(TARGET).alias("lo"), F.max(TARGET).alias("hi"))).scalar()
     return forest.predict(model, df).select(
         "row_key", TARGET, F.col("prediction").between(reach["lo"], reach["hi"]).alias("predicted"))
@@ -700,10 +698,8 @@ def train_classifier(spark, sf):
     """Whether the forest is right more often than the most frequent class would be."""
     df, names = _model_table(spark, sf)
     train, test = mf.split_rows(df, ["row_key"])
-    model = forest.train_classifier(train, TARGET, names, **SMALL_FOREST_CLASSIFIER)
+    model = forest.train_classifier(train, TARGET, names)
     labelled = test.withColumn("label", forest.class_index(TARGET)).where("label is not null")
     guess = labelled.groupBy("label").count().agg((F.max("count") / F.sum("count"))).scalar()
     return forest.accuracy(model.transform(labelled)).select((F.col("accuracy") > guess).alias("better_than_guessing"))
 
-
-SMALL_FOREST_CLASSIFIER = {"num_trees": 10, "maxDepth": 6}
