@@ -31,14 +31,16 @@ UNDETERMINED = "und"
 _SIZE = 1 << FEATURE_BITS
 _LETTER = np.array([chr(c).isalpha() for c in range(0x10000)])
 _FACTOR = np.uint32(2654435761)
+# N-grams whose gradients are summed together on the executors.
+GRAMS_PER_SLICE = 1024
 
 
 def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Hashed n-grams of the lower-cased text and their counts; anything but letters separates words."""
     codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    letter = np.ones(len(codes), bool)
-    basic = codes < 0x10000
-    letter[basic] = _LETTER[codes[basic]]
+    letter = _LETTER[np.minimum(codes, 0xFFFF)]
+    beyond = np.flatnonzero(codes > 0xFFFF)
+    letter[beyond] = [chr(c).isalpha() for c in codes[beyond].tolist()]
     if not letter.any():
         return np.zeros(0, np.int64), np.zeros(0)
     keep = letter.copy()
@@ -117,8 +119,23 @@ def _unpacked(batch):
             grams.value_lengths().to_numpy(), batch.column("label").to_numpy())
 
 
-def _gradients(weights: np.ndarray):
+def _sparse(weights: np.ndarray):
+    """Weights by their rows that are not zero; most are."""
+    used = np.flatnonzero(weights.any(axis=1))
+    return weights.shape, used, weights[used]
+
+
+def _dense(sparse) -> np.ndarray:
+    shape, used, values = sparse
+    weights = np.zeros(shape)
+    weights[used] = values
+    return weights
+
+
+def _gradients(shared):
+    """Gradient over the rows of a task, by slices of n-grams that are not all zero."""
     def run(batches):
+        weights = _dense(shared.value)
         total, rows = np.zeros(weights.shape), 0
         for batch in batches:
             if not batch.num_rows:
@@ -131,14 +148,39 @@ def _gradients(weights: np.ndarray):
                 total[:-1, k] += np.bincount(grams, spread[:, k], minlength=_SIZE)
             total[-1] += error.sum(axis=0)
             rows += len(label)
-        if rows:
-            yield pa.RecordBatch.from_pydict({"sums": [total.astype("<f4").tobytes()]})
+        for number in range(-(-len(total) // GRAMS_PER_SLICE) if rows else 0):
+            part = total[number * GRAMS_PER_SLICE:(number + 1) * GRAMS_PER_SLICE]
+            if part.any():
+                yield pa.RecordBatch.from_pydict({"slice": pa.array([number], pa.int32()), "sums": [part.astype("<f4").tobytes()]})
     return run
 
 
-def _losses(weights: np.ndarray, temperatures: np.ndarray):
+def _sum_slices(batches):
+    totals: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for number, data in zip(batch.column("slice").to_pylist(), batch.column("sums").to_pylist()):
+            totals[number] = totals.get(number, 0) + np.frombuffer(data, "<f4").astype(float)
+    if totals:
+        yield pa.RecordBatch.from_pydict({"slice": pa.array(list(totals), pa.int32()),
+                                          "sums": [t.astype("<f4").tobytes() for t in totals.values()]})
+
+
+def gradient(fit: DataFrame, weights: np.ndarray) -> np.ndarray:
+    """Summed over all rows. Slices are added up on the executors, so one vector of the model's size at most reaches the driver."""
+    shared = fit.sparkSession.sparkContext.broadcast(_sparse(weights))
+    slices = fit.mapInArrow(_gradients(shared), "slice int, sums binary").repartition("slice").mapInArrow(
+        _sum_slices, "slice int, sums binary")
+    total = np.zeros(weights.shape)
+    for r in slices.collect():
+        part = np.frombuffer(r.sums, "<f4").reshape(-1, weights.shape[1])
+        total[r.slice * GRAMS_PER_SLICE:r.slice * GRAMS_PER_SLICE + len(part)] = part
+    return total
+
+
+def _losses(shared, temperatures: np.ndarray):
     """Negative log likelihood at every temperature."""
     def run(batches):
+        weights = _dense(shared.value)
         total = np.zeros(len(temperatures))
         for batch in batches:
             if batch.num_rows:
@@ -156,7 +198,9 @@ def train(labelled: DataFrame, training_rows: int = TRAINING_ROWS, rounds: int =
 
     Document frequencies come from all of them. Of more than ``training_rows`` rows about so many,
     by a hash of their ids, fit the weights and the temperature. Every round sums the gradients of
-    all partitions and updates each coordinate by follow-the-regularised-leader.
+    all partitions and updates each coordinate by follow-the-regularised-leader. Null and empty texts
+    teach the bias alone; rows that repeat count as often as they are there; rows of a null id are
+    taken or left together. Other columns are not read.
     """
     known = labelled.where(F.col("lang").isNotNull()).select("doc_id", "text", "lang")
     counts = known.groupBy("lang").count().collect()
@@ -176,18 +220,16 @@ def train(labelled: DataFrame, training_rows: int = TRAINING_ROWS, rounds: int =
     l1 = np.append(np.full(_SIZE, L1), 0.0)[:, None]
     fit = rows.where("not calibrate").coalesce(TRAINING_FILES)
     for _ in range(rounds):
-        # One vector per file: a bounded number of them, each of the model's size.
-        parts = fit.mapInArrow(_gradients(weights), "sums binary").collect()
-        if not parts:
+        g = gradient(fit, weights)
+        if not g.any():
             break
-        g = sum(np.frombuffer(r.sums, "<f4").astype(float).reshape(shape) for r in parts)
         sigma = (np.sqrt(n + g * g) - np.sqrt(n)) / LEARNING_RATE
         z += g - sigma * weights
         n += g * g
         shrunk = np.sign(z) * np.maximum(np.abs(z) - l1, 0)
         weights = -shrunk / ((BETA + np.sqrt(n)) / LEARNING_RATE + L2)
     held = rows.where("calibrate").coalesce(TRAINING_FILES)
-    losses = held.mapInArrow(_losses(weights, TEMPERATURES), "place int, loss double").groupBy("place").agg(
+    losses = held.mapInArrow(_losses(known.sparkSession.sparkContext.broadcast(_sparse(weights)), TEMPERATURES), "place int, loss double").groupBy("place").agg(
         F.sum("loss").alias("loss")).collect()
     best = min(losses, key=lambda r: (round(r.loss, 6), abs(np.log(TEMPERATURES[r.place])))) if losses else None
     return Model(labels, idf, weights.astype(np.float32), float(TEMPERATURES[best.place]) if best else 1.0)

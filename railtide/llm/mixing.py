@@ -139,12 +139,13 @@ def readings(docs: DataFrame, weights: DataFrame, seed: int = 17, rows_per_block
     """
     named = docs.select(
         F.struct(*docs.columns).alias("row"), "doc_id", source_name(F.col("source")).alias("mix_source"),
-        token_count(F.col("text")).alias("n_tokens"))
+        token_count(F.col("text")).alias("n_tokens"), F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("_text"))
     plan = weights.select(
         "mix_source", "exponent", "weight", "budget", F.col("tokens").alias("_tokens"),
         F.ceil(F.col("rows") / rows_per_block).cast("long").alias("_blocks"),
         F.floor(F.col("budget") / F.col("tokens")).cast("int").alias("_full"))
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    # Rows of one id, or of none, are told apart by their texts.
+    key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "_text")
     cell = F.conv(F.substring(_drawn(F.lit(str(seed)), key), 1, 8), 16, 10).cast("long")
     read = spread_join(named, plan, ["mix_source"], "inner").withColumn("block", F.pmod(cell, F.col("_blocks")))
     read = read.withColumn("pass", F.explode(F.sequence(F.lit(0), F.col("_full"))))
@@ -155,7 +156,7 @@ def readings(docs: DataFrame, weights: DataFrame, seed: int = 17, rows_per_block
         "_before", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
 
     # One row per block: a source has one for every few thousand rows.
-    light = spread_join(named.select("mix_source", "doc_id", "n_tokens"), plan, ["mix_source"], "inner")
+    light = spread_join(named.select("mix_source", "doc_id", "n_tokens", "_text"), plan, ["mix_source"], "inner")
     sums = light.withColumn("block", F.pmod(cell, F.col("_blocks"))).groupBy("mix_source", "block").agg(
         F.sum("n_tokens").alias("_size"), F.first("_full").alias("_passes"))
     sums = store(sums, "blocks").withColumn("pass", F.explode(F.sequence(F.lit(0), F.col("_passes"))))

@@ -173,10 +173,15 @@ def fingerprint_links(unique: DataFrame, radius: int = RADIUS, tile: int = TILE,
     cut = cut.join(sizes, ["way", "key", "ones"]).withColumn(
         "tile", F.col("ones") * 1_000_000 + F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
     tiles = store(cut.groupBy("way", "key", "tile", "ones").agg(F.collect_list("fp").alias("fps")), "tiles")
-    other = tiles.select("way", "key", *[F.col(c).alias(f"_{c}") for c in ("tile", "ones", "fps")])
-    pairs = tiles.join(other, ["way", "key"]).where(
-        (F.col("tile") <= F.col("_tile")) & (F.col("_ones") - F.col("ones") <= radius)).select(
-        F.col("fps").alias("lefts"), F.when(F.col("tile") != F.col("_tile"), F.col("_fps")).alias("rights"))
+    # Which tiles meet is decided by their names; both joins with their contents are on a bucket and
+    # tile, so the pairs of a bucket are dealt over as many keys as it has tiles.
+    names = tiles.select("way", "key", "tile", "ones")
+    met = names.join(names.select("way", "key", F.col("tile").alias("_tile"), F.col("ones").alias("_ones")), ["way", "key"]).where(
+        (F.col("tile") <= F.col("_tile")) & (F.col("_ones") - F.col("ones") <= radius)).select("way", "key", "tile", "_tile")
+    contents = tiles.select("way", "key", "tile", F.col("fps").alias("lefts"))
+    others = tiles.select("way", "key", F.col("tile").alias("_tile"), F.col("fps").alias("rights"))
+    pairs = met.join(contents, ["way", "key", "tile"]).join(others, ["way", "key", "_tile"]).select(
+        "lefts", F.when(F.col("tile") != F.col("_tile"), F.col("rights")).alias("rights"))
     return small.unionByName(pairs).mapInArrow(_compare(radius), "a long, b long").distinct()
 
 

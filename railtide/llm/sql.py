@@ -13,7 +13,7 @@ from documents window same as (partition by coalesce(text, ''))
 # Exponents are bisected in 30 halvings; each of the two targets has its own recursion.
 ORACLE["op4_temperature_mixing"] = r"""
 with recursive docs as (
-  select doc_id, source, coalesce(source, '') as mix_source,
+  select doc_id, source, coalesce(source, '') as mix_source, coalesce(doc_id::varchar, '') || ':' || md5(coalesce(text, '')) as key,
     len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) + 1 as n_tokens from documents),
 sources as (
   select mix_source, sum(n_tokens)::bigint as tokens, count(*) as n_rows from docs group by all),
@@ -46,12 +46,12 @@ plan as (
     floor(floor(weight * (select t from total)) / tokens)::int as passes from weighted),
 cells as (
   select d.*, p.tokens, p.exponent, p.weight, p.budget, p.passes,
-    ('0x' || substr(md5('17:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint % p.blocks as block
+    ('0x' || substr(md5('17:' || key), 1, 8))::bigint % p.blocks as block
   from docs d join plan p using (mix_source)),
 readings as (select *, unnest(range(passes + 1))::int as pass from cells),
 drawn as (
   select *, coalesce(sum(n_tokens) over (partition by mix_source, pass, block
-      order by md5('17:' || pass || ':' || coalesce(doc_id::varchar, '')), doc_id, n_tokens
+      order by md5('17:' || pass || ':' || key), doc_id, n_tokens
       rows between unbounded preceding and 1 preceding), 0) as before from readings),
 blocks as (
   select mix_source, pass, block, row_number() over w - 1 as block_rank,

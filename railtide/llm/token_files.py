@@ -34,6 +34,8 @@ MAGIC = b"RTPFOR01"
 BLOCK = 128
 PERCENTILE = 90
 BYTES_PER_FILE = 32_000_000
+# Characters that the texts of one doc_id are told apart by when they are dealt to files.
+RANGE_CHARACTERS = 128
 # Ids packed at once, and words whose ids a Python worker remembers, twice: those of late and those before.
 IDS_PER_PACK = 1 << 17
 REMEMBERED = 400_000
@@ -300,7 +302,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     rows = docs.select("doc_id", "text")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     files = max(1, -(-total // bytes_per_file))
-    ordered = rows.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id", "text")
+    # Texts of one id are cut by how they begin, which keeps their order.
+    ordered = rows.repartitionByRange(files, "doc_id", F.substring("text", 1, RANGE_CHARACTERS)).sortWithinPartitions("doc_id", "text")
     listed = store(ordered.mapInArrow(
         _write_files(folder, tokenizer, end_id), "part int, file string, docs long, ids long"), "token-files")
     # One row per file.

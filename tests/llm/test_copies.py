@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import re
 import zlib
 from collections import defaultdict
 
@@ -220,3 +221,31 @@ def test_file_of_many_documents(tmp_path):
     back = list(token_files.read_token_file(f"{tmp_path}/x.rtk"))
     assert [b[0] for b in back] == [d[0] for d in docs]
     assert all(np.array_equal(b[1], d[1]) for b, d in zip(back, docs))
+
+
+def test_texts_of_one_id_are_dealt_to_several_files(spark):
+    texts = [f"text number {i} " + "word " * 20 for i in range(300)]
+    docs = spark.createDataFrame([(None if i % 2 else 7, t) for i, t in enumerate(texts)] + [(3, "x")], "doc_id long, text string").repartition(4)
+    files = token_files.write_token_files(docs, token_files.scratch_path(spark, "tokens"), TOKENIZER, bytes_per_file=4000)
+    sizes = [r.docs for r in files.collect()]
+    assert len(sizes) >= 5 and max(sizes) <= 301 / 3
+    got = [tuple(r) for r in token_files.read_token_files(files).collect()]
+    plain, want, start = Tokenizer.from_file(TOKENIZER), [], 0
+    for doc_id, text in sorted([(r.doc_id, r.text) for r in docs.collect()], key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
+        ids = plain.encode(text, add_special_tokens=False).ids + [2]
+        want.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert sorted(got, key=lambda r: r[1]) == want
+
+
+def test_pairs_of_tiles_of_one_bucket_are_dealt_out(spark):
+    """A bucket of many tiles: its pairs meet on as many join keys as it has tiles."""
+    rng = np.random.default_rng(9)
+    low = rng.choice(2**13, 3000, replace=False)
+    unique = spark.createDataFrame([(int(v) << 50 >> 0,) for v in low], "fp long")
+    links = simhash.fingerprint_links(unique, radius=1, tile=16, blocks=2)
+    joins = re.findall(r"Join Inner, (.*)", links._jdf.queryExecution().optimizedPlan().toString())
+    assert sum("tile" in j for j in joins) >= 2
+    labels = dict(components(links).collect())
+    want = {i: r for i, _, r in plain_components([(int(v) << 50, (int(v) << 50) & (2**64 - 1)) for v in low], radius=1)}
+    assert all(labels.get(v, v) == want[v] for v in want)

@@ -105,6 +105,22 @@ def test_intervals_and_as_of(spark):
     assert not any(r.blocked for r in url_lists.evaluate(captures, entries.limit(0)).collect())
 
 
+def test_rows_without_or_of_one_id_are_spread_over_blocks(spark):
+    docs = spark.createDataFrame([(None if i % 3 else 5, f"text number {i}", "a") for i in range(3000)], "doc_id long, text string, source string")
+    weights = mixing.source_weights(docs, repeats=2.0, cover=True)
+    read = mixing.schedule(docs, weights, rows_per_block=100)
+    sizes = [r["count"] for r in read.groupBy("pass", "block").count().collect()]
+    assert len(sizes) >= 25 and max(sizes) <= 200
+    assert read.select("text").distinct().count() == 3000
+    odd = spark.createDataFrame([(1, None, None), (1, None, None), (None, "", "a"), (None, "x y", "a")], "doc_id long, text string, source string")
+    clash = odd.withColumns({c: F.lit("x") for c in ("block", "pass", "start", "_text", "row")})
+    for table in (odd, clash):
+        read = mixing.schedule(table, mixing.source_weights(table, repeats=1.0, cover=True))
+        assert read.count() >= 4 and read.where("pass = 0").count() == 4
+    none = odd.limit(0)
+    assert mixing.schedule(none, mixing.source_weights(none, repeats=1.0)).count() == 0
+
+
 # ---------------------------------------------------------------- decontamination
 
 def plain_lcs(a, b):

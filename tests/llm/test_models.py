@@ -270,6 +270,73 @@ def test_rare_grams_get_no_weight(spark):
     assert {r.doc_id: r.lang_pred for r in found.collect()} == {1: "de", 2: "en"}
 
 
+def test_signs_beyond_the_first_plane_are_no_letters(spark):
+    docs = [(i, "das ist ein haus" if i % 2 else "this is a house", "de" if i % 2 else "en") for i in range(40)]
+    model = li.train(spark.createDataFrame(docs, "doc_id long, text string, lang string"))
+    asked = [(1, "\U0001F600\U0001F680", None), (2, "\U0001F600 ein haus", None), (3, "\U00020000\U00020001", None)]
+    found = {r.doc_id: r for r in li.predict(spark.createDataFrame(asked, "doc_id long, text string, lang string"), model).collect()}
+    assert (found[1].lang_pred, found[1].score) == ("und", 0.0) and found[2].lang_pred == "de" and found[3].lang_pred != "und"
+
+
+def plain_languages(rows, kept_back, rounds):
+    """Weights and temperature by plain loops; ``kept_back`` are the ids that only the temperature sees."""
+    idf = np.log((1 + len(rows)) / (1 + sum((np.bincount(li.gram_counts(t)[0], minlength=li._SIZE) > 0).astype(float) for _, t, _ in rows))) + 1
+    labels = sorted({lang for *_, lang in rows})
+    z, n, w = (np.zeros((li._SIZE + 1, len(labels))) for _ in range(3))
+    vectors = {i: li.weighted(t, idf) for i, t, _ in rows}
+
+    def logits(i):
+        grams, values = vectors[i]
+        return w[-1] + sum((v * w[g] for g, v in zip(grams, values)), np.zeros(len(labels)))
+
+    for _ in range(rounds):
+        slope = np.zeros_like(w)
+        for i, _, lang in rows:
+            if i in kept_back:
+                continue
+            p = np.exp(logits(i) - logits(i).max())
+            p /= p.sum()
+            p[labels.index(lang)] -= 1
+            for g, v in zip(*vectors[i]):
+                slope[g] += v * p
+            slope[-1] += p
+        for cell in zip(*np.nonzero(slope)):
+            sigma = (math.sqrt(n[cell] + slope[cell] ** 2) - math.sqrt(n[cell])) / li.LEARNING_RATE
+            z[cell] += slope[cell] - sigma * w[cell]
+            n[cell] += slope[cell] ** 2
+            l1 = 0.0 if cell[0] == li._SIZE else li.L1
+            w[cell] = 0.0 if abs(z[cell]) <= l1 else -(z[cell] - math.copysign(l1, z[cell])) / (
+                (li.BETA + math.sqrt(n[cell])) / li.LEARNING_RATE + li.L2)
+
+    def loss(t):
+        total = 0.0
+        for i, _, lang in rows:
+            if i in kept_back:
+                x = logits(i) / t
+                total -= x[labels.index(lang)] - x.max() - math.log(np.exp(x - x.max()).sum())
+        return round(total, 6)
+    return labels, w, float(min(li.TEMPERATURES, key=lambda t: (loss(t), abs(math.log(t)))))
+
+
+def test_training_against_plain_loops(spark):
+    rng = np.random.default_rng(16)
+    rows = [(i, " ".join("".join(rng.choice(list("abcd" if i % 2 else "cdef"), 4)) for _ in range(6)), "x" if i % 2 else "y") for i in range(60)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept_back = {r.doc_id for r in table.where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(li.CALIBRATION)) == 0).collect()}
+    labels, weights, temperature = plain_languages(rows, kept_back, 3)
+    model = li.train(table, rounds=3)
+    assert model.labels == labels and np.allclose(model.weights, weights, atol=1e-4) and np.isclose(model.temperature, temperature)
+
+
+def test_two_hundred_labels(spark):
+    signs = [chr(0x4E00 + n) for n in range(200)]
+    docs = [(i, signs[i % 200] * 3 + " " + signs[i % 200], f"l{i % 200:03d}") for i in range(1000)]
+    model = li.train(spark.createDataFrame(docs, "doc_id long, text string, lang string"), rounds=4)
+    asked = spark.createDataFrame([(i, t, None) for i, t, _ in docs[:200]], "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in li.predict(asked, model).collect()}
+    assert len(model.labels) == 200 and sum(got[i] == f"l{i:03d}" for i in range(200)) >= 190
+
+
 @pytest.mark.parametrize("name", ["edge", "clashing", "none"])
 def test_languages_of_odd_rows(spark, name, request):
     docs = request.getfixturevalue(name)
