@@ -357,7 +357,9 @@ def dataset_profile(spark, sf):
     df = encode.encode_flags(v.timed(spark, sf)).select(
         "row_key", "extra_flag_encoded", "cancelled_flag_encoded", "pass_through_flag_encoded",
         F.col("line_id").alias("line_id_encoded"), F.col("station_id").alias("station_name_encoded"))
-    return quality.dataset_profile(df)
+    path = scratch_path(spark, "profiled")
+    sinks.write_table(df, path)
+    return quality.written_profile(spark, path)
 
 
 @query
@@ -558,12 +560,13 @@ def _fitted(spark, sf, target=TARGET):
 
 
 def _importances(spark, sf):
-    """Importances of two models by formula, one row per country and model."""
+    """Importances of the features of two models in many runs by formula, one row per part and model."""
     k = F.create_map(F.lit("arrival"), F.lit(7), F.lit("departure"), F.lit(11))
-    named = F.when(F.col("n_nationkey") == 3, "lat").when(F.col("n_nationkey") == 7, "lon").otherwise(F.col("n_name"))
-    return v.table(spark, sf, "nation").withColumn("model", F.explode(F.array(F.lit("arrival"), F.lit("departure")))).select(
+    named = F.when(F.col("p_partkey") % 25 == 3, "lat").when(F.col("p_partkey") % 25 == 7, "lon").otherwise(
+        F.concat("p_brand", F.lit(" "), F.col("p_size")))
+    return v.table(spark, sf, "part").withColumn("model", F.explode(F.array(F.lit("arrival"), F.lit("departure")))).select(
         "model", named.alias("feature"),
-        ((F.col("n_nationkey") * k[F.col("model")]) % 31 / 100).cast("double").alias("importance"))
+        ((F.col("p_partkey") * k[F.col("model")]) % 31 / 100).cast("double").alias("importance"))
 
 
 def _prepared(spark, sf, clip):
@@ -659,6 +662,24 @@ def geo_importance(spark, sf):
     return r6(forest.geo_importance(_importances(spark, sf)), "geo_pct")
 
 
+@query
+def model_importances(spark, sf):
+    """Mean, top and coordinates' importances of the forests of both targets, as facts that hold whatever they look like."""
+    df, names = _model_table(spark, sf, mf.FULL_FEATURES)
+    train, _ = mf.split_rows(df, ["row_key"])
+    found = [forest.feature_importance(forest.train_forest(train, target, names), names, spark, target)
+             for target in ("arr_delay_s", "dep_delay_s")]
+    both = store(found[0].unionByName(found[1]), "importances")
+    mean, top = forest.importance_mean(both), forest.importance_topk(both, 10)
+    geo = forest.geo_importance(both).agg(
+        F.count(F.lit(1)).alias("models"), F.bool_and(F.col("geo_pct").between(0, 100)).alias("geo_in_range"))
+    sums = mean.agg((F.count(F.lit(1)) == len(names)).alias("complete"), (F.abs(F.sum("importance") - 1) < 1e-9).alias("sums_to_one"))
+    tops = top.agg(F.count(F.lit(1)).cast("int").alias("top_rows"),
+                   (F.sum("importance") * len(names) >= 10 * mean.agg(F.sum("importance")).scalar()).alias("top_above_mean"))
+    # One row each.
+    return geo.crossJoin(sums).crossJoin(tops)
+
+
 @query
 def permutation_importance(spark, sf):
     model, test, names = _fitted(spark, sf)

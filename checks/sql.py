@@ -242,9 +242,9 @@ FOLD_CASES = "case when n - p <= t then 3 when n - p <= 2 * t then 2 when n - p
 
 # Importances of two models by formula, one row per country and model.
 IMPORTANCES = """
-select m.model, case n_nationkey when 3 then 'lat' when 7 then 'lon' else n_name end as feature,
-  cast((n_nationkey * m.k) % 31 as double) / 100 as importance
-from nation, (values ('arrival', 7), ('departure', 11)) m(model, k)"""
+select m.model, case p_partkey % 25 when 3 then 'lat' when 7 then 'lon' else concat(p_brand, ' ', p_size) end as feature,
+  cast((p_partkey * m.k) % 31 as double) / 100 as importance
+from part, (values ('arrival', 7), ('departure', 11)) m(model, k)"""
 
 ORACLE = {
     # sources and sinks
@@ -468,6 +468,8 @@ from ({IMPORTANCES}) group by model""",
 select row_key, true as in_order, {len(COMPACT_FEATURES)} as width, false as has_null from timed"""),
     # Facts about fitted models that hold whatever the forests look like.
     "feature_importance": "select 1 as complete, 1 as sums_to_one, 0 as negative",
+    "model_importances": """select 2 as models, true as geo_in_range, true as complete, true as sums_to_one, 20 as top_rows,
+  true as top_above_mean""",
     "permutation_importance": "select 1 as complete, 1 as finite, 1 as ordered",
     "model_roundtrip": over("timed", sql=f"""
 select count(*) as n, true as same_scores from timed where {HASH} % 100 < 20"""),

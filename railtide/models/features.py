@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from railtide.constants import MODEL_WEATHER, TEST_PERCENT
 from railtide.operators.clean import clip_iqr, impute
 from railtide.operators.ordering import rows_at
+from railtide.session import store
 
 # --- Fixed values: feature groups of the merged table -------------------------------------------
 BINARY = ["severe_weather", "rush_hour"]
@@ -94,22 +95,26 @@ def split_rows(df: DataFrame, keys: list[str], test_percent: int = TEST_PERCENT)
 def sample_rows(df: DataFrame, keys: list[str], k: int) -> DataFrame:
     """Exactly ``k`` rows (or all, if fewer) with the smallest key hashes, where they are.
 
-    Rows are first counted by the head of their hash. Only the rows of the head that completes ``k``
-    are ordered, to find the last key that is taken; the sample is then a filter. Rows that repeat
-    that key are taken with it.
+    Keys and hashes are stored once. Their rows are counted by the head of the hash, and only those of
+    the head that completes ``k`` are ordered, to find the last key that is taken; the sample is then a
+    filter, on what was stored if there are no other columns. Rows that repeat that key are taken with it.
     """
-    digest = row_hash(keys)
+    names, named = df.columns, [c for c in df.columns if c in keys]
+    hashed = store(df.select(row_hash(keys).alias("_digest"), *named), "hashed")
+    digest = F.col("_digest")
     head = F.substring(digest, 1, 4)
     # At most 65,536 rows.
     running = Window.orderBy("head").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    heads = df.groupBy(head.alias("head")).agg(F.count(F.lit(1)).alias("n"))
+    heads = hashed.groupBy(head.alias("head")).agg(F.count(F.lit(1)).alias("n"))
     last = heads.withColumn("_before", F.sum("n").over(running) - F.col("n")).where(
         F.col("_before") < k).orderBy(F.desc("head")).first()
     if last is None:
         return df.limit(0)
     place = F.struct(digest.alias("digest"), *keys)
-    edge = df.where(head == last["head"]).select(place.alias("place")).orderBy("place").limit(k - last["_before"])
-    return df.where((head < last["head"]) | ((head == last["head"]) & (place <= edge.agg(F.max("place")).scalar())))
+    edge = hashed.where(head == last["head"]).select(place.alias("place")).orderBy("place").limit(k - last["_before"])
+    end = edge.agg(F.max("place").alias("place")).scalar()
+    known = hashed if set(names) == set(named) else df.withColumn("_digest", row_hash(keys))
+    return known.where((head < last["head"]) | ((head == last["head"]) & (place <= end))).select(*names)
 
 
 def fold_bounds(df: DataFrame, order: list[str], folds: int = 3) -> DataFrame:

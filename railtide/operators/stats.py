@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -163,30 +165,40 @@ def delay_histogram(df: DataFrame | None, bins: int = 49, counts: DataFrame | No
     )
 
 
+# Bandwidths from which a kernel is less than 2 ** -53 of its height, so that it adds nothing to a double.
+KERNEL_REACH = math.sqrt(2 * 53 * math.log(2))
+
+
+def visited_points(counts: DataFrame, shape: DataFrame, points: int) -> DataFrame:
+    """Every distinct value with the grid points in reach of its kernel, and ``_x``, the place of the point."""
+    step = (F.col("_hi") - F.col("_lo") + 6 * F.col("_h")) / (points - 1)
+    start, reach = F.col("_lo") - 3 * F.col("_h"), KERNEL_REACH * F.col("_h")
+    first = F.greatest(F.ceil((F.col("value") - reach - start) / step), F.lit(0)).cast("int")
+    last = F.least(F.floor((F.col("value") + reach - start) / step), F.lit(points - 1)).cast("int")
+    # One row of bandwidth and range per column.
+    return counts.join(F.broadcast(shape), "measure").withColumn("point", F.explode(F.sequence(first, last))).withColumn(
+        "_x", start + F.col("point") * step)
+
+
 def density(df: DataFrame | None, columns: list[str], points: int = GRID_POINTS, unit: float = 60,
             counts: DataFrame | None = None) -> DataFrame:
     """Gaussian kernel density over an even grid reaching three bandwidths past the data.
 
     Bandwidth is the deviation times ``n ** -0.2``. Each distinct value enters once, weighted by
-    how often it occurs.
+    how often it occurs, and visits only the grid points where its kernel is not nothing.
     """
     counts = known_counts(df, columns, counts).withColumn("value", F.col("value") / unit)
-    value, n = F.col("value"), F.col("n")
     shape = moments_of_counts(counts).select(
         "measure", F.col("n").alias("_total"), (F.col("std") * F.pow("n", F.lit(-0.2))).alias("_h"),
         F.col("min").alias("_lo"), F.col("max").alias("_hi"))
+    z = (F.col("_x") - F.col("value")) / F.col("_h")
+    sums = visited_points(counts, shape, points).groupBy("measure", "point").agg(F.sum(F.col("n") * F.exp(-0.5 * z * z)).alias("_s"))
+    # A row per measure and grid point, also where no value reaches.
+    grid = shape.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
     step = (F.col("_hi") - F.col("_lo") + 6 * F.col("_h")) / (points - 1)
-    x = F.col("_lo") - 3 * F.col("_h") + F.col("point") * step
-    # One row of bandwidth and range per column; every value meets the same fixed number of points.
-    spread_out = counts.join(F.broadcast(shape), "measure").withColumn(
-        "point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-    z = (x - value) / F.col("_h")
-    return (
-        spread_out.groupBy("measure", "point", x.alias("x"), "_total", "_h")
-        .agg(F.sum(n * F.exp(-0.5 * z * z)).alias("_s"))
-        .select("measure", "point", "x",
-                (F.col("_s") / (F.col("_total") * F.col("_h") * F.sqrt(F.lit(2) * F.pi()))).alias("density"))
-    )
+    return grid.join(sums, ["measure", "point"], "left").select(
+        "measure", "point", (F.col("_lo") - 3 * F.col("_h") + F.col("point") * step).alias("x"),
+        (F.coalesce("_s", F.lit(0.0)) / (F.col("_total") * F.col("_h") * F.sqrt(F.lit(2) * F.pi()))).alias("density"))
 
 
 def on_time_rate(df: DataFrame | None, tolerance: int = 60, counts: DataFrame | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railtide.constants import PROCESSED_HEADERS
-from railtide.operators.quality import dataset_files, describe_columns
+from railtide.operators.quality import describe_columns, footer_facts, table_files
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] = (), files: int | None = None,
@@ -63,29 +63,47 @@ def with_source_headers(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({k: v for k, v in PROCESSED_HEADERS.items() if k in df.columns})
 
 
+# Holds an empty file per finished version; hidden from readers of the table.
+COMMITTED = "_committed"
+
+
+def _path(spark: SparkSession, name: str):
+    """A path and its file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def write_version(df: DataFrame, root: str, version: str) -> None:
-    """A new version next to the old ones, which stay as they are and serve as backup."""
-    df.drop("version").write.mode("errorifexists").option("compression", "snappy") \
-        .parquet(f"{root}/version={version}")
+    """A new version next to the old ones, which stay as they are and serve as backup.
+
+    The version is committed by a marker after all of its data is there, and readers see committed versions only. What
+    an interrupted run left of a version is written again; a committed version is never touched.
+    """
+    spark = df.sparkSession
+    if version in versions(spark, root):
+        raise FileExistsError(f"version {version} of {root} is committed already")
+    df.drop("version").write.mode("overwrite").option("compression", "snappy").parquet(f"{root}/version={version}")
+    marker, files = _path(spark, f"{root}/{COMMITTED}/{version}")
+    # Fails if another run has committed the same version meanwhile.
+    files.create(marker, False).close()
 
 
 def read_version(spark: SparkSession, root: str, version: str | None = None) -> DataFrame:
-    """A version of a table, the latest one by default. Only its folder is read; the latest one is
-    found by the names of the folders."""
-    if version is None:
-        version = max(versions(spark, root))
-    return spark.read.parquet(f"{root}/version={version}")
+    """A committed version of a table, by default the latest one by name. Only its folder is read."""
+    known = versions(spark, root)
+    if not known or version is not None and version not in known:
+        raise FileNotFoundError(f"{root} has no committed version{'' if version is None else ' ' + version}")
+    return spark.read.parquet(f"{root}/version={version or max(known)}")
 
 
 def versions(spark: SparkSession, root: str) -> list[str]:
-    """Versions of a table by its folders."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    listed = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
-    names = [entry.getPath().getName() for entry in listed if entry.isDirectory()]
-    return [n.removeprefix("version=") for n in names if n.startswith("version=")]
+    """Committed versions of a table, by name."""
+    path, files = _path(spark, f"{root}/{COMMITTED}")
+    return sorted(entry.getPath().getName() for entry in files.listStatus(path)) if files.exists(path) else []
 
 
 def read_back(spark: SparkSession, path: str, columns: list[str]):
-    """Files behind a written table, and the description of some of its columns."""
+    """Files behind a written table and rows, as its footers tell, and the description of some of its columns."""
     df = spark.read.parquet(path)
-    return dataset_files(df), describe_columns(df, [c for c in columns if c in df.columns])
+    files = table_files(spark, path).withColumn("rows", F.lit(footer_facts(spark, path, [])["rows"]))
+    return files, describe_columns(df, [c for c in columns if c in df.columns])

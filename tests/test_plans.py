@@ -1,8 +1,10 @@
 """Shape of physical plans, and the whole chain from dumps to models."""
 
 import os
+import re
 import tempfile
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from checks import queries, views
 from plain_rows import SMALL, rows
 from railtide.constants import PROCESSED_HEADERS, PROCESSED_TYPES
 from railtide.models import forest
-from railtide.operators import clean, encode, geo, stats
+from railtide.operators import clean, encode, geo, quality, stats
 from railtide.operators.journey import journey_features
 from railtide.plans import analyse, ingest, maintain, train, weather
 from railtide.session import leaves_nothing, scratch_path, store
@@ -246,3 +248,65 @@ def test_sample_is_spread_out_and_scores_are_of_all_rows(spark):
     part, test = mf.split_rows(df, ["key"])
     model = forest.train_forest(mf.sample_rows(part, ["key"], 1_000), "y", ["a"], scale=False, numTrees=2, maxDepth=4)
     assert forest.summary(model, test, "m", "y", ["a"], {}).first()["n"] == test.count() > 29_000
+
+
+def test_unfinished_versions_are_not_read(spark):
+    root = tempfile.mkdtemp(prefix="run-", dir="/tmp") + "/table"
+    with pytest.raises(FileNotFoundError, match="no committed version"):
+        sinks.read_version(spark, root)
+    sinks.write_version(spark.range(3), root, "20240101")
+    # A run that died: data without a marker, newer than the rest.
+    spark.range(1).write.parquet(f"{root}/version=20240301")
+    assert sinks.versions(spark, root) == ["20240101"] and sinks.read_version(spark, root).count() == 3
+    with pytest.raises(FileNotFoundError, match="20240301"):
+        sinks.read_version(spark, root, "20240301")
+    sinks.write_version(spark.range(7), root, "20240301")
+    assert sinks.versions(spark, root) == ["20240101", "20240301"] and sinks.read_version(spark, root).count() == 7
+    with pytest.raises(FileExistsError):
+        sinks.write_version(spark.range(1), root, "20240101")
+    assert sinks.read_version(spark, root, "20240101").count() == 3
+
+
+def test_profile_from_footers(spark):
+    path = tempfile.mkdtemp(prefix="run-", dir="/tmp") + "/table"
+    df = spark.range(0, 5000, 1, 4).select(
+        F.when(F.col("id") % 7 != 0, F.col("id") % 50 - 3).cast("int").alias("a_encoded"), (F.col("id") % 2).alias("b_encoded"), F.col("id").cast("string").alias("name"))
+    df.write.parquet(path)
+    key = lambda table: rows(table.select("column", "total_rows", "unique_values", "min_code", "max_code", "columns"))
+    assert key(quality.written_profile(spark, path)) == key(quality.dataset_profile(df))
+    footers = quality.footer_table(spark, path, ["a_encoded"])
+    text = footers._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PushedAggregation: \[[^\]]*COUNT\(\*\)", text)
+    assert tuple(footers.first()) == (5000, df.where("a_encoded is not null").count(), -3, 46)
+    files = quality.table_files(spark, path).first()
+    import glob
+    parts = glob.glob(f"{path}/*.parquet")
+    assert tuple(files) == (len(parts), sum(map(os.path.getsize, parts)))
+
+
+def test_kernels_visit_only_points_in_reach(spark):
+    df = spark.createDataFrame([(float(x),) for x in [*range(2000), *[10.0] * 50, 90_000.0]], "x double")
+    counts = stats.known_counts(df, ["x"], None)
+    shape = spark.createDataFrame([("x", 1.5, 0.0, 90_000.0)], "measure string, _h double, _lo double, _hi double")
+    visits = stats.visited_points(counts, shape, 20_000)
+    step = (90_000 + 9) / 19_999
+    assert visits.count() <= 2001 * (2 * stats.KERNEL_REACH * 1.5 / step + 1)
+    far = visits.where(F.abs(F.col("_x") - F.col("value")) > stats.KERNEL_REACH * 1.5 + 1e-6)
+    assert far.isEmpty()
+    whole = stats.density(df, ["x"], unit=1).orderBy("point").collect()
+    values = np.array([r["x"] for r in df.collect()])
+    h = values.std(ddof=1) * len(values) ** -0.2
+    for r in whole[::17]:
+        want = np.exp(-0.5 * ((r["x"] - values) / h) ** 2).sum() / (len(values) * h * np.sqrt(2 * np.pi))
+        assert abs(r["density"] - want) <= 1e-12 * max(1e-3, want) + 1e-18
+    assert len(whole) == stats.GRID_POINTS
+
+
+def test_sample_reads_its_table_at_most_twice(spark):
+    from railtide.models import features as mf
+    path = tempfile.mkdtemp(prefix="run-", dir="/tmp") + "/table"
+    spark.range(0, 9000, 1, 3).select(F.col("id").cast("string").alias("key"), "id").write.parquet(path)
+    table = spark.read.parquet(path)
+    whole, keys = mf.sample_rows(table, ["key"], 1234), mf.sample_rows(table.select("key"), ["key"], 1234)
+    assert whole.count() == keys.count() == 1234 and rows(whole.select("key")) == rows(keys)
+    assert plan(keys).count(path) == 0 and plan(whole).count(path) == 1
