@@ -334,6 +334,10 @@ def read_token_files(files: DataFrame) -> DataFrame:
 
 
 def token_table(docs: DataFrame, tokenizer: str, folder: str | None = None, end_id: int = 2) -> DataFrame:
-    """Write the token files and give back what they hold, one row per document."""
+    """Write the token files and give back what they hold, one row per document.
+
+    Ids ascend, nulls first, equal ones by text; a null text is empty and has the end alone; rows that repeat are
+    rows of their own; an empty table writes no file; columns besides doc_id and text are not read.
+    """
     return read_token_files(write_token_files(
         docs, folder or scratch_path(docs.sparkSession, "tokens"), tokenizer, end_id))
