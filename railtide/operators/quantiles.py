@@ -1,7 +1,8 @@
 """Exact quantiles by counting, for any number of distinct values.
 
 Equal values are counted together before any shuffle. Approximate cut points then divide the
-distinct values of a measure into buckets; only the buckets that hold a wanted rank are ordered.
+distinct values of a measure into buckets; only the buckets that hold a wanted rank are kept, cut again
+as often as asked for, and at last ordered.
 """
 
 from __future__ import annotations
@@ -11,6 +12,15 @@ from pyspark.sql import functions as F
 
 BUCKETS = 64
 SKETCH_ACCURACY = 1000
+# How often the values are cut into buckets. One task orders about a ``BUCKETS ** LEVELS``-th of the distinct
+# values of a group: 64 million are a million in a task, and two levels take four billion.
+LEVELS = 1
+
+
+def _joined(rows: DataFrame, facts: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
+    """Equi-join with facts about keys: a row per measure is broadcast; of groups there can be many, so how they meet is left to
+    adaptive execution, by their real size."""
+    return rows.join(facts if by else F.broadcast(facts), keys)
 
 
 def value_counts(df: DataFrame, measures: list[str], by: list[str] = (), keep_null: bool = False) -> DataFrame:
@@ -40,8 +50,7 @@ def moments_of_counts(counts: DataFrame, by: list[str] = ()) -> DataFrame:
     centre = counts.groupBy(*group).agg((F.sum(F.col("n") * F.col("value")) / F.sum("n")).alias("_mean"))
     off = F.col("value") - F.col("_mean")
     powers = {f"_m{k}": F.sum(F.col("n") * F.pow(off, k)) for k in (2, 3, 4)}
-    # One row per group and measure is broadcast.
-    sums = counts.join(F.broadcast(centre), group).groupBy(*group, "_mean").agg(
+    sums = _joined(counts, centre, group, by).groupBy(*group, "_mean").agg(
         F.sum("n").alias("n"), F.min("value").alias("min"), F.max("value").alias("max"),
         *[c.alias(name) for name, c in powers.items()])
     n, m2 = F.col("n"), F.col("_m2")
@@ -57,38 +66,45 @@ def quantile_name(p: float) -> str:
     return f"q{p * 100:g}".replace(".", "_")
 
 
-def quantiles_of_counts(counts: DataFrame, probabilities: list[float], by: list[str] = ()) -> DataFrame:
+def narrowed(rows: DataFrame, group: list[str], wanted: Column, by: list[str], first: bool) -> DataFrame:
+    """``rows`` (group, _bucket, value, n, _start, _total) of the parts of their buckets that hold a wanted rank.
+
+    ``_start`` counts the rows of the group before the bucket; the first time it and ``_total`` are not known yet.
+    """
+    keys = [*group, "_bucket"]
+    grid = [i / BUCKETS for i in range(1, BUCKETS)]
+    total = F.sum("n") if first else F.first("_total")
+    shape = rows.groupBy(*keys).agg(F.percentile_approx("value", grid, SKETCH_ACCURACY).alias("_cuts"), total.alias("_total"))
+    cut = _joined(rows.drop("_total"), shape, keys, by).withColumn(
+        "_part", F.size(F.filter("_cuts", lambda c: c < F.col("value")))).drop("_cuts")
+    sizes = cut.groupBy(*keys, "_part").agg(
+        F.sum("n").alias("_size"), F.first("_total").alias("_total"), F.first("_start").alias("_start"))
+    # At most BUCKETS rows per bucket.
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    holding = (
+        sizes.withColumn("_from", F.col("_start") + F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
+        .where(F.exists(wanted, lambda r: (r >= F.col("_from")) & (r < F.col("_from") + F.col("_size"))))
+        .select(*keys, "_part", "_from")
+    )
+    return _joined(cut.drop("_start"), holding, [*keys, "_part"], by).select(
+        *group, (F.col("_bucket") * BUCKETS + F.col("_part")).alias("_bucket"), "value", "n", F.col("_from").alias("_start"), "_total")
+
+
+def quantiles_of_counts(counts: DataFrame, probabilities: list[float], by: list[str] = (), levels: int = LEVELS) -> DataFrame:
     """One row per group and measure: row count ``n`` and linearly interpolated ``q<percent>``.
 
-    ``by`` is for a few groups such as a flag: what is broadcast is one row of cut points per group
-    and measure, and then one row per wanted bucket.
+    ``by`` may have any number of groups. With more ``levels`` the wanted rank intervals are narrowed
+    again before they are ordered, for measures of many distinct values.
     """
     group = list(by) + ["measure"]
-    grid = [i / BUCKETS for i in range(1, BUCKETS)]
-    shape = counts.groupBy(*group).agg(
-        F.percentile_approx("value", grid, SKETCH_ACCURACY).alias("_cuts"),
-        F.sum("n").alias("_total"))
     ranks = [F.lit(p) * (F.col("_total") - 1) for p in probabilities]
     wanted = F.array(*[f(r) for r in ranks for f in (F.floor, F.ceil)])
-
-    bucketed = counts.join(F.broadcast(shape), group).withColumn(
-        "_bucket", F.size(F.filter("_cuts", lambda cut: cut < F.col("value"))))
-    sizes = bucketed.groupBy(*group, "_bucket").agg(
-        F.sum("n").alias("_size"), F.first("_total").alias("_total"))
-    # At most BUCKETS rows per group and measure.
-    earlier = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    holding = (
-        sizes.withColumn("_start", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
-        .where(F.exists(wanted, lambda r: (r >= F.col("_start"))
-                        & (r < F.col("_start") + F.col("_size"))))
-        .select(*group, "_bucket", "_start")
-    )
+    rows = counts.select(*group, F.lit(0).cast("long").alias("_bucket"), "value", "n", F.lit(0).cast("long").alias("_start"))
+    for level in range(levels):
+        rows = narrowed(rows, group, wanted, by, level == 0)
     inside = Window.partitionBy(*group, "_bucket").orderBy("value")
-    ranked = (
-        bucketed.join(F.broadcast(holding), group + ["_bucket"])
-        .withColumn("_end", F.col("_start") + F.sum("n").over(
-            inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    )
+    ranked = rows.withColumn("_end", F.col("_start") + F.sum("n").over(
+        inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
 
     def at(rank: Column) -> Column:
         return F.max(F.when((rank >= F.col("_end") - F.col("n")) & (rank < F.col("_end")), F.col("value")))
@@ -106,8 +122,8 @@ def quantiles_of_counts(counts: DataFrame, probabilities: list[float], by: list[
 
 
 def exact_quantiles(df: DataFrame, measures: list[str], probabilities: list[float],
-                    by: list[str] = ()) -> DataFrame:
-    return quantiles_of_counts(value_counts(df, measures, by), probabilities, by)
+                    by: list[str] = (), levels: int = LEVELS) -> DataFrame:
+    return quantiles_of_counts(value_counts(df, measures, by), probabilities, by, levels)
 
 
 def approximate_quantiles(df: DataFrame, measures: list[str], probabilities: list[float],

@@ -221,7 +221,7 @@ def box_numbers(df: DataFrame, by: str, delay: str = "dep_delay_s", whis: float
     inside = F.col("value").between(F.col("q25") - reach, F.col("q75") + reach)
     value = F.when(inside, F.col("value"))
     return (
-        counts.drop("n").join(F.broadcast(box), by)
+        counts.drop("n").join(box, by)
         .groupBy(by, "n", "q25", "q50", "q75")
         .agg(F.min(value).alias("whisker_low"), F.max(value).alias("whisker_high"))
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from plain_rows import SMALL, rows
 from checks import views
-from railtide.operators import ordering, quantiles, skew
+from railtide.operators import ordering, quantiles, skew, stats
 from railtide.operators.asof import add_weather
 from railtide.operators.journey import FEATURES, historical_pattern, journey_features
 
@@ -128,6 +128,31 @@ def test_quantiles_equal_numpy(spark, seed):
         np.testing.assert_allclose([r[quantiles.quantile_name(p)] for p in probabilities], want, rtol=1e-9, atol=1e-9)
 
 
+def test_quantiles_of_a_million_distinct_values_are_narrowed_twice(spark):
+    df = spark.range(0, 1_000_000, 1, 8).select((F.col("id") * 7919 % 1_000_003 / 3.0).alias("x"))
+    values = np.sort(np.arange(1_000_000, dtype=np.int64) * 7919 % 1_000_003 / 3.0)
+    probabilities = [0.0, 0.25, 0.5, 0.999, 1.0]
+    for levels in (1, 2):
+        r = quantiles.exact_quantiles(df, ["x"], probabilities, levels=levels).first()
+        np.testing.assert_allclose([r[quantiles.quantile_name(p)] for p in probabilities], np.quantile(values, probabilities), rtol=1e-12)
+    counts = quantiles.value_counts(df, ["x"]).withColumns({"_bucket": F.lit(0).cast("long"), "_start": F.lit(0).cast("long")})
+    wanted = F.array(*[F.lit(k) for k in (0, 249_999, 250_000, 499_999, 500_000, 999_999)])
+    once = quantiles.narrowed(counts, ["measure"], wanted, [], True)
+    sizes = [r["count"] for r in quantiles.narrowed(once, ["measure"], wanted, [], False).groupBy("_bucket").count().collect()]
+    # A 64th of a 64th, with room for what a sketch of this accuracy may be off.
+    assert max(sizes) <= 3 * 1_000_000 / 64 ** 2 and max(r["count"] for r in once.groupBy("_bucket").count().collect()) <= 1.3 * 1_000_000 / 64
+
+
+def test_quantiles_of_a_hundred_thousand_groups(spark):
+    df = spark.range(0, 500_000, 1, 8).select((F.col("id") % 100_000).alias("g"), (F.col("id") * 31 % 4999).cast("double").alias("x"))
+    found = quantiles.exact_quantiles(df, ["x"], [0.5], ["g"])
+    assert "broadcast" not in plan_of(found)
+    got = {r["g"]: r["q50"] for r in found.where("g % 997 = 0").collect()}
+    assert got == {g: float(np.median([i * 31 % 4999 for i in range(g, 500_000, 100_000)])) for g in range(0, 100_000, 997)}
+    box = stats.box_numbers(df.withColumnRenamed("x", "dep_delay_s"), "g")
+    assert box.count() == 100_000
+
+
 def test_approximate_quantiles_are_close(spark):
     df = spark.range(1001).select(F.col("id").cast("double").alias("x"))
     got = quantiles.approximate_quantiles(df, ["x"], [0.1, 0.5]).first()
