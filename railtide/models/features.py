@@ -122,11 +122,13 @@ def fold_bounds(df: DataFrame, order: list[str], folds: int = 3) -> DataFrame:
 
     With ``t = rows div (folds + 1)``, the last ``folds * t`` rows in time order form blocks of ``t``.
     """
-    total = df.count()
+    # Stored, so that counting and cutting the order do not compute the table again.
+    keys = store(df.select(*order), "order")
+    total = keys.count()
     size = total // (folds + 1)
     start_of = {total - size * (folds + 1 - f): f for f in range(1, folds + 1)}
     fold = F.element_at(F.create_map(*[F.lit(v) for kv in start_of.items() for v in kv]), F.col("pos"))
-    return rows_at(df.select(*order), order, list(start_of)).select(
+    return rows_at(keys, order, list(start_of)).select(
         fold.cast("int").alias("fold"), F.struct(*order).alias("start"))
 
 
