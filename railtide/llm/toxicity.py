@@ -96,17 +96,18 @@ def _document_counts(batches):
             if words:
                 counts[int(toxic > 0), np.unique(np.concatenate([known[w] for w in words]))] += 1
             rows[int(toxic > 0)] += 1
-    yield pa.RecordBatch.from_pydict({"clean": [counts[0].tobytes()], "toxic": [counts[1].tobytes()],
+    # Nearly all counts are zero or small.
+    yield pa.RecordBatch.from_pydict({"clean": [zlib.compress(counts[0].tobytes(), 1)], "toxic": [zlib.compress(counts[1].tobytes(), 1)],
                                       "n_clean": [rows[0]], "n_toxic": [rows[1]]})
 
 
 def telling_features(chosen: DataFrame) -> np.ndarray:
-    """The features to train, in ascending order. Every training file sends its counts, vectors of the model's size."""
+    """The features to train, in ascending order. Every training file sends its counts, packed vectors of the model's size."""
     clean, toxic = np.zeros(1 << FEATURE_BITS, np.int64), np.zeros(1 << FEATURE_BITS, np.int64)
     n_clean = n_toxic = 0
     for r in chosen.mapInArrow(_document_counts, "clean binary, toxic binary, n_clean long, n_toxic long").collect():
-        clean += np.frombuffer(r.clean, np.int32)
-        toxic += np.frombuffer(r.toxic, np.int32)
+        clean += np.frombuffer(zlib.decompress(r.clean), np.int32)
+        toxic += np.frombuffer(zlib.decompress(r.toxic), np.int32)
         n_clean, n_toxic = n_clean + r.n_clean, n_toxic + r.n_toxic
     often = toxic >= FEWEST_TOXIC + n_toxic // ONE_MORE_PER
     return np.flatnonzero(often & (toxic * max(1, n_clean) >= LIFT * (clean + 1) * max(1, n_toxic)))
