@@ -67,17 +67,22 @@ def answer_words(words: list[str]) -> list[str]:
     return words[-max(3, len(words) // 4):]
 
 
-def common_subsequence(item: list, text: list) -> int:
-    """Length of the longest common subsequence, one big-integer step per word of the text."""
+def common_subsequence(item: list, text: list, least: float = 0) -> int:
+    """Length of the longest common subsequence, one big-integer step per word of the text that the item has.
+
+    Zero if so few of the item's words are in the text at all that it cannot reach ``least``.
+    """
     places: dict = {}
     for i, word in enumerate(item):
         places[word] = places.get(word, 0) | 1 << i
     full = rest = (1 << len(item)) - 1
-    for word in text:
-        hit = places.get(word)
-        if hit:
-            met = rest & hit
-            rest = ((rest + met) | (rest - met)) & full
+    # Words that the item lacks change nothing.
+    hits = list(filter(None, map(places.get, text)))
+    if sum(set(hits)).bit_count() < least:
+        return 0
+    for hit in hits:
+        met = rest & hit
+        rest = ((rest + met) | (rest - met)) & full
     return len(item) - rest.bit_count()
 
 
@@ -396,7 +401,8 @@ def _candidates(model: Model, texts: list[list[str]]) -> dict[tuple, float]:
     for text, places, item in _by_words(model, numbers, terms, passage):
         words = model.items[item]
         # What all regions together do not hold, none of them does.
-        if common_subsequence(words, _region(words, texts[text], places[0], places[-1])) >= ALIKE_WITH_ANSWER * len(words) - 1e-9:
+        least = ALIKE_WITH_ANSWER * len(words) - 1e-9
+        if common_subsequence(words, _region(words, texts[text], places[0], places[-1]), least) >= least:
             for place in places:
                 found.setdefault((text, place, item), 0.0)
     return found
@@ -418,8 +424,9 @@ def leaks(model: Model, texts: list[list[str]]) -> list[list[tuple]]:
             if any(region[at:at + len(words)] == words for at in range(len(region))):
                 best[text, item] = 1.0, True
             continue
-        share = common_subsequence(words, region) / len(words)
-        if share < (ALIKE_WHEN_CLOSE if cosine >= CLOSE else ALIKE_WITH_ANSWER):
+        wanted = ALIKE_WHEN_CLOSE if cosine >= CLOSE else ALIKE_WITH_ANSWER
+        share = common_subsequence(words, region, wanted * len(words) - 1e-9) / len(words)
+        if share < wanted:
             continue
         answer = answer_words(words)
         answered = common_subsequence(answer, region) >= ANSWER_ALIKE * len(answer)
