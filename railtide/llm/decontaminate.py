@@ -54,10 +54,16 @@ _UNSPACED = ("\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\
              "\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff")
 _SIGN = re.compile(f"[{_UNSPACED}]")
 _SIGN_OR_WORD = re.compile(rf"(?=\w)[{_UNSPACED}]|[^\W{_UNSPACED}]+")
+# Lower case of the first 256 characters, all of which stay below 256, and a space for those that are in no word.
+_LATIN = bytes(ord(c.lower()) if _WORD.match(c) else 32 for c in map(chr, range(256)))
 
 
 def words_of(text: str | None) -> list[str]:
-    text = (text or "").lower()
+    text = text or ""
+    try:
+        return text.encode("latin-1").translate(_LATIN).decode("latin-1").split()
+    except UnicodeEncodeError:
+        text = text.lower()
     plain = text.isascii() or not _SIGN.search(text)
     return (_WORD if plain else _SIGN_OR_WORD).findall(text)
 
@@ -86,25 +92,31 @@ def common_subsequence(item: list, text: list, least: float = 0) -> int:
     return len(item) - rest.bit_count()
 
 
-def code_passages(texts: list[list[str]], vocabulary: dict[str, int]):
+def code_texts(texts: list[list[str]], vocabulary: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Terms of all words of the texts, -1 outside the vocabulary; words of each text."""
+    lengths = np.array([len(t) for t in texts], np.int64)
+    return np.fromiter(map(vocabulary.get, chain.from_iterable(texts), repeat(-1)), np.int64, lengths.sum()), lengths
+
+
+def code_passages(codes: np.ndarray, lengths: np.ndarray, size: int, wanted: np.ndarray | None = None):
     """Passages of several texts: (number per text, terms of all passages by passage, counts,
-    passage of each entry, words outside the vocabulary per passage)."""
-    lengths = np.array([len(t) for t in texts])
-    codes = np.fromiter(map(vocabulary.get, chain.from_iterable(texts), repeat(-1)), np.int64, lengths.sum())
+    passage of each entry, words outside the vocabulary per passage). Only terms that are ``wanted``, if given,
+    have entries; the others of the ``size`` terms are left out, but are not outside."""
     numbers = np.maximum(1, -(-(lengths - (PASSAGE - STRIDE)) // STRIDE))
-    first = np.cumsum(numbers) - numbers
-    place = np.arange(len(codes)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    own, last = np.repeat(first, lengths), np.repeat(numbers, lengths)
-    entries, outside = [], np.zeros(int(numbers.sum()))
+    first, begins = np.cumsum(numbers) - numbers, np.cumsum(lengths) - lengths
+    owner = np.repeat(np.arange(len(lengths)), numbers)
+    starts = begins[owner] + (np.arange(len(owner)) - first[owner]) * STRIDE
+    before = np.concatenate([[0], np.cumsum(codes < 0)])
+    outside = before[np.minimum(starts + PASSAGE, begins[owner] + lengths[owner])] - before[starts]
+    # The last answers for words outside.
+    at = np.flatnonzero(codes >= 0 if wanted is None else np.append(wanted, False)[codes])
+    text = np.repeat(np.arange(len(lengths)), lengths)[at]
+    step, codes, entries = (at - begins[text]) // STRIDE, codes[at], []
     for back in range(PASSAGE // STRIDE):
-        step = place // STRIDE - back
-        inside = (step >= 0) & (step < last)
-        where = own + step
-        known = inside & (codes >= 0)
-        entries.append(where[known] * len(vocabulary) + codes[known])
-        outside += np.bincount(where[inside & (codes < 0)], minlength=len(outside))
+        inside = (step >= back) & (step - back < numbers[text])
+        entries.append((first[text[inside]] + step[inside] - back) * size + codes[inside])
     cells, counts = np.unique(np.concatenate(entries), return_counts=True)
-    size = max(1, len(vocabulary))
+    size = max(1, size)
     return numbers, cells % size, counts, cells // size, outside
 
 
@@ -122,15 +134,23 @@ def _cut_texts(column):
         yield texts
 
 
+# Columns of the stored passages, each a packed array. What is counted within a passage fits a byte.
+PACKED = {"terms": "<i4", "counts": "u1", "sizes": "u1", "outside": "u1"}
+
+
+def _unpacked(batch, names):
+    """The arrays of every row of stored passages."""
+    for row in zip(*(batch.column(name) for name in names)):
+        yield [np.frombuffer(cell.as_buffer(), PACKED[name]) for name, cell in zip(names, row)]
+
+
 def _passages(vocabulary):
     def run(batches):
         for batch in batches:
             for texts in _cut_texts(batch.column("text")):
-                _, terms, counts, passage, outside = code_passages(texts, vocabulary.value)
-                row = lambda x, t: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x.astype(t)))
-                yield pa.RecordBatch.from_arrays(
-                    [row(terms, np.int32), row(counts, np.int32), row(np.bincount(passage, minlength=len(outside)), np.int32),
-                     row(outside, np.int32)], names=["terms", "counts", "sizes", "outside"])
+                _, terms, counts, passage, outside = code_passages(*code_texts(texts, vocabulary.value), len(vocabulary.value))
+                columns = terms, counts, np.bincount(passage, minlength=len(outside)), outside
+                yield pa.RecordBatch.from_pydict({name: [x.astype(kind).tobytes()] for (name, kind), x in zip(PACKED.items(), columns)})
     return run
 
 
@@ -138,11 +158,11 @@ def _document_counts(batches):
     """Passages that hold each term; the number of passages under -1."""
     found, passages = np.zeros(0, np.int64), 0
     for batch in batches:
-        for terms, sizes in zip(batch.column("terms"), batch.column("sizes")):
-            part = np.bincount(terms.values.to_numpy(), minlength=len(found))
+        for terms, sizes in _unpacked(batch, ["terms", "sizes"]):
+            part = np.bincount(terms, minlength=len(found))
             part[:len(found)] += found
             found = part
-            passages += len(sizes.values)
+            passages += len(sizes)
     used = np.flatnonzero(found)
     yield pa.RecordBatch.from_arrays(
         [pa.array(np.append(used, -1).astype(np.int32)), pa.array(np.append(found[used], passages).astype(np.int64))],
@@ -168,13 +188,18 @@ class Model:
     limits: np.ndarray  # cosine from which a passage is a candidate, per item
     item_ids: list
     items: list[list[str]]
+    coded: list[np.ndarray]  # the items' words as terms
     repeats: list[int]  # how often the benchmark has the item
     words: Words
 
 
+# Weight of a word by how often the passage has it.
+_DAMPED = np.concatenate([[0], 1 + np.log(np.arange(1, PASSAGE + 1))])
+
+
 def _weighted(model_idf, outside_weight, terms, counts, passage, outside):
     """Values of unit passage vectors, and the norm of their known part."""
-    values = (1 + np.log(counts)) * model_idf[terms]
+    values = _DAMPED[counts] * model_idf[terms]
     known = np.bincount(passage, values * values, minlength=len(outside))
     norms = np.sqrt(known + outside * outside_weight)
     norms[norms == 0] = 1
@@ -203,12 +228,12 @@ def _gram(shared):
         total = np.zeros(basis.shape, np.float32)
         for batch in batches:
             # A row holds the passages of some texts of a bounded number of words.
-            for row in zip(*(batch.column(c) for c in ("terms", "counts", "sizes", "outside"))):
-                terms, counts, sizes, outside = (cell.values.to_numpy() for cell in row)
+            for terms, counts, sizes, outside in _unpacked(batch, PACKED):
                 passage = np.repeat(np.arange(len(sizes)), sizes)
+                heavy = idf[terms] > 0
+                terms, counts, passage = terms[heavy], counts[heavy], passage[heavy]
                 values, _ = _weighted(idf, outside_weight, terms, counts, passage, outside)
-                heavy = values > 0
-                for _, used, dense in _dense_parts(terms[heavy], passage[heavy], values[heavy]):
+                for _, used, dense in _dense_parts(terms, passage, values):
                     total[used] += dense.T @ (dense @ basis[used])
         for number in range(0, -(-len(total) // TERMS_PER_SLICE)):
             part = total[number * TERMS_PER_SLICE:(number + 1) * TERMS_PER_SLICE]
@@ -298,7 +323,7 @@ def fit(docs: DataFrame, items: list[tuple], seed: int = 11) -> Model:
     listed = [x[:2] for x in listed]
     vocabulary = {w: n for n, w in enumerate(sorted({w for _, words in listed for w in words}))}
     passages = store(docs.select("text").mapInArrow(
-        _passages(docs.sparkSession.sparkContext.broadcast(vocabulary)), "terms array<int>, counts array<int>, sizes array<int>, outside array<int>"), "passages")
+        _passages(docs.sparkSession.sparkContext.broadcast(vocabulary)), ", ".join(f"{name} binary" for name in PACKED)), "passages")
     counts, total = np.zeros(len(vocabulary)), 0
     for r in passages.select("terms", "sizes").mapInArrow(_document_counts, "term int, n long").groupBy("term").agg(
             F.sum("n").alias("n")).collect():
@@ -342,7 +367,8 @@ def fit(docs: DataFrame, items: list[tuple], seed: int = 11) -> Model:
         placed[own] = dense @ latent[used]
     placed /= np.maximum(np.linalg.norm(placed, axis=1, keepdims=True), 1e-12)
     return Model(vocabulary, idf, outside, latent.astype(np.float32), placed.astype(np.float32),
-                 limits.astype(np.float32), [i for i, _ in listed], [w for _, w in listed], repeats,
+                 limits.astype(np.float32), [i for i, _ in listed], [w for _, w in listed],
+                 [np.array([vocabulary[w] for w in words]) for _, words in listed], repeats,
                  needed_words([w for _, w in listed], vocabulary, counts / max(1, total)))
 
 
@@ -372,17 +398,21 @@ def _by_words(model: Model, numbers, terms, passage):
     inside = last < len(keys)
     last, item, low = last[inside], item[inside], keys[inside]
     near = keys[last] - low <= words.reach[item]
-    for number, lo, hi in np.unique(np.stack([item[near], low[near] % size, keys[last][near] % size], 1), axis=0).tolist():
-        text = int(np.searchsorted(begins, lo, side="right")) - 1
-        half = int(words.reach[number]) // 2
-        lo, hi = lo - int(begins[text]), hi - int(begins[text])
-        yield text, range(max(0, hi - half), min(int(numbers[text]) - 1, lo + half) + 1), number
+    found = np.unique(np.stack([item[near], low[near] % size, keys[last][near] % size], 1), axis=0)
+    of = np.searchsorted(begins, found[:, 1], side="right") - 1
+    half = words.reach[found[:, 0]] // 2
+    low = np.maximum(0, found[:, 2] - begins[of] - half)
+    high = np.minimum(numbers[of] - 1, found[:, 1] - begins[of] + half)
+    for text, lo, hi, number in zip(of.tolist(), low.tolist(), high.tolist(), found[:, 0].tolist()):
+        yield text, range(lo, hi + 1), number
 
 
-def _candidates(model: Model, texts: list[list[str]]) -> dict[tuple, float]:
+def _candidates(model: Model, codes: np.ndarray, lengths: np.ndarray) -> dict[tuple, float]:
     """Passages and items whose cosine reaches the item's limit, each with its cosine inside the latent
     space, where what the space does not hold is left out; zero in regions that may convict by their words alone."""
-    numbers, terms, counts, passage, outside = code_passages(texts, model.vocabulary)
+    # Words without weight that no item is looked up by change nothing here.
+    wanted = (model.idf > 0) | (np.diff(model.words.first) > 0)
+    numbers, terms, counts, passage, outside = code_passages(codes, lengths, len(model.vocabulary), wanted)
     values, known = _weighted(model.idf, model.outside, terms, counts, passage, outside)
     # A cosine cannot exceed the norm of the known part.
     possible = known >= model.limits.min(initial=COSINE)
@@ -398,17 +428,24 @@ def _candidates(model: Model, texts: list[list[str]]) -> dict[tuple, float]:
             for p, item in zip(*(x.tolist() for x in np.nonzero(cosines >= model.limits[at:at + ITEMS_AT_A_TIME]))):
                 text = int(owner[own[p]])
                 found[text, int(own[p] - first[text]), at + item] = float(cosines[p, item] / inside[p])
+    begins = np.cumsum(lengths) - lengths
+    # The last stands for words outside.
+    there = np.zeros(len(model.vocabulary) + 1, bool)
     for text, places, item in _by_words(model, numbers, terms, passage):
-        words = model.items[item]
+        words = model.coded[item]
         # What all regions together do not hold, none of them does.
         least = ALIKE_WITH_ANSWER * len(words) - 1e-9
-        if common_subsequence(words, _region(words, texts[text], places[0], places[-1]), least) >= least:
+        region = _region(words, codes[begins[text]:begins[text] + lengths[text]], places[0], places[-1])
+        there[region] = True
+        held = np.count_nonzero(there[words])
+        there[region] = False
+        if held >= least and common_subsequence(words.tolist(), region.tolist(), least) >= least:
             for place in places:
                 found.setdefault((text, place, item), 0.0)
     return found
 
 
-def _region(item: list[str], text: list[str], first: int, last: int) -> list[str]:
+def _region(item: np.ndarray, text: np.ndarray, first: int, last: int) -> np.ndarray:
     """The words of passages ``first`` to ``last`` with the item's margin on both sides."""
     margin = margin_of(len(item))
     return text[max(0, first * STRIDE - margin):last * STRIDE + PASSAGE + margin]
@@ -417,9 +454,11 @@ def _region(item: list[str], text: list[str], first: int, last: int) -> list[str
 def leaks(model: Model, texts: list[list[str]]) -> list[list[tuple]]:
     """Of every text its leaked items: (item id, share of the item in order, answer found, repeats)."""
     best: dict[tuple, tuple] = {}
-    for (text, place, item), cosine in _candidates(model, texts).items():
-        words = model.items[item]
-        region = _region(words, texts[text], place, place)
+    codes, lengths = code_texts(texts, model.vocabulary)
+    begins = np.cumsum(lengths) - lengths
+    for (text, place, item), cosine in _candidates(model, codes, lengths).items():
+        words = model.coded[item].tolist()
+        region = _region(words, codes[begins[text]:begins[text] + lengths[text]], place, place).tolist()
         if len(words) < FEWEST_WORDS:
             if any(region[at:at + len(words)] == words for at in range(len(region))):
                 best[text, item] = 1.0, True

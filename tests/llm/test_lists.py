@@ -305,6 +305,44 @@ def test_texts_are_cut_by_words(spark, monkeypatch):
     assert sum((dc.leaks(model, p) for p in parts), []) == whole
 
 
+def test_passages_by_plain_loops():
+    rng = np.random.default_rng(14)
+    vocabulary = {f"w{n}": n for n in range(9)}
+    texts = [[f"w{x}" for x in rng.integers(0, 14, n)] for n in (0, 1, 24, 25, 48, 49, 72, 73, 300, 0)]
+    wanted = np.arange(9) % 2 == 1
+    for only in (None, wanted):
+        numbers, terms, counts, passage, outside = dc.code_passages(*dc.code_texts(texts, vocabulary), 9, only)
+        want, lacking = [], []
+        for text in texts:
+            for at in range(0, max(1, len(text) - (dc.PASSAGE - dc.STRIDE)), dc.STRIDE):
+                found = Counter(vocabulary.get(w, -1) for w in text[at:at + dc.PASSAGE])
+                lacking.append(found.pop(-1, 0))
+                want += [(len(lacking) - 1, t, n) for t, n in sorted(found.items()) if only is None or only[t]]
+        assert list(zip(passage.tolist(), terms.tolist(), counts.tolist())) == want
+        assert outside.tolist() == lacking and numbers.sum() == len(lacking)
+
+
+def test_latin_texts_are_split_without_a_pattern(monkeypatch):
+    odd = ["".join(map(chr, range(256))), " ".join(map(chr, range(256))), "a".join(map(chr, range(256))), None, "", "ÀÉ_1ß²µ\x85x\xa0y-Z"]
+    want = [dc._WORD.findall((t or "").lower()) for t in odd]
+    monkeypatch.setattr(dc, "_WORD", None)
+    assert [dc.words_of(t) for t in odd] == want
+
+
+def test_regions_without_the_words_cost_no_subsequence(spark, monkeypatch):
+    items = [[f"a{n}x{i}" for i in range(20)] for n in range(3)]
+    near = [f"a0x{i}" for i in range(11)] + ["else"] * 30
+    model = dc.fit(spark.createDataFrame([(" ".join(near),), (" ".join(items[1]),)], "text string"), [(n, " ".join(i)) for n, i in enumerate(items)])
+    model.placed = np.zeros_like(model.placed)
+    asked, plain = [], dc.common_subsequence
+    # All passages of every text are looked at for every item.
+    monkeypatch.setattr(dc, "_by_words", lambda model, numbers, *x: (
+        (text, range(n), item) for text, n in enumerate(numbers.tolist()) for item in range(3)))
+    monkeypatch.setattr(dc, "common_subsequence", lambda *x: asked.append(x) or plain(*x))
+    assert dc.leaks(model, [near] * 20) == [[]] * 20 and not asked
+    assert [x[:3] for x in dc.leaks(model, [near, items[1]])[1]] == [(1, 1.0, True)] and asked
+
+
 def test_repeated_rows_are_searched_once(spark, monkeypatch):
     texts = [" ".join(f"w{n}x{i}" for i in range(12)) for n in range(8)]
     rows = [(0, texts[0])] * 50 + [(n, t) for n, t in enumerate(texts)] + [(n, t) for n, t in enumerate(texts[:2])]
