@@ -17,9 +17,11 @@ from __future__ import annotations
 import functools
 import os
 import re
+import string
 import uuid
 import zlib
 from array import array
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +43,38 @@ IDS_PER_PACK = 1 << 17
 REMEMBERED = 400_000
 
 
+def _bytes_of_eighth(width: int):
+    """Eight values of a width fill as many bytes: (value, its first bit in its first byte, the bytes it lies in)."""
+    for nth in range(8):
+        bit = nth * width
+        yield nth, bit % 8, range(bit // 8, (bit + width + 7) // 8)
+
+
+def _pack_bits(values: np.ndarray, width: int) -> np.ndarray:
+    """The low ``width`` bits of every value (u32), one after the other; a row per row of ``values``."""
+    eights = (values & np.uint32((1 << width) - 1)).reshape(-1, 8)
+    kind = np.uint32 if width <= 25 else np.uint64
+    out = np.zeros((len(eights), width), np.uint8)
+    for nth, first, places in _bytes_of_eighth(width):
+        shifted = eights[:, nth].astype(kind) << kind(first)
+        for n, place in enumerate(places):
+            out[:, place] |= (shifted >> kind(8 * n)).astype(np.uint8)
+    return out.reshape(len(values), -1)
+
+
+def _unpack_bits(packed: np.ndarray, width: int) -> np.ndarray:
+    """The values (u32) that ``_pack_bits`` made ``packed`` of."""
+    eights = packed.reshape(-1, width)
+    kind = np.uint32 if width <= 25 else np.uint64
+    out = np.empty((len(eights), 8), np.uint32)
+    for nth, first, places in _bytes_of_eighth(width):
+        joined = eights[:, places[0]].astype(kind)
+        for n, place in enumerate(places[1:], 1):
+            joined |= eights[:, place].astype(kind) << kind(8 * n)
+        out[:, nth] = (joined >> kind(first)) & kind((1 << width) - 1)
+    return out.reshape(len(packed), -1)
+
+
 def pack_blocks(ids: np.ndarray, percentile: int = PERCENTILE) -> tuple[bytes, np.ndarray]:
     """Bytes of the blocks and the size of each; ``ids`` u32, a multiple of the block size."""
     values = ids.reshape(-1, BLOCK)
@@ -48,8 +82,8 @@ def pack_blocks(ids: np.ndarray, percentile: int = PERCENTILE) -> tuple[bytes, n
     deltas = values - least[:, None]
     ranked = np.sort(deltas, axis=1)[:, -(-BLOCK * percentile // 100) - 1]
     widths = np.ceil(np.log2(ranked.astype(np.float64) + 1)).astype(np.int64)
-    outlier = deltas >= (np.uint64(1) << widths.astype(np.uint64))[:, None]
-    counts = outlier.sum(axis=1)
+    outlier = deltas > ((np.uint64(1) << widths.astype(np.uint64)) - np.uint64(1)).astype(np.uint32)[:, None]
+    counts = np.count_nonzero(outlier, axis=1)
     sizes = 6 + widths * (BLOCK // 8) + counts * 5
     starts = np.cumsum(sizes) - sizes
     out = np.zeros(int(sizes.sum()), np.uint8)
@@ -57,8 +91,7 @@ def pack_blocks(ids: np.ndarray, percentile: int = PERCENTILE) -> tuple[bytes, n
     out[starts + 4], out[starts + 5] = widths, counts
     for width in np.unique(widths[widths > 0]):
         own = np.flatnonzero(widths == width)
-        bits = np.unpackbits(deltas[own].astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")
-        packed = np.packbits(bits[:, :width].reshape(len(own), -1), axis=1, bitorder="little")
+        packed = _pack_bits(deltas[own], int(width))
         out[(starts[own] + 6)[:, None] + np.arange(packed.shape[1])] = packed
     block, place = np.nonzero(outlier)
     if len(block):
@@ -79,9 +112,7 @@ def unpack_blocks(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     for width in np.unique(widths[widths > 0]):
         own = np.flatnonzero(widths == width)
         packed = data[(starts[own] + 6)[:, None] + np.arange(width * BLOCK // 8)]
-        bits = np.zeros((len(own) * BLOCK, 32), np.uint8)
-        bits[:, :width] = np.unpackbits(packed, axis=1, bitorder="little").reshape(-1, width)
-        deltas[own] = np.packbits(bits, axis=1, bitorder="little").view("<u4").reshape(-1, BLOCK)
+        deltas[own] = _unpack_bits(packed, int(width))
     block = np.repeat(np.arange(len(starts)), counts)
     if len(block):
         lists = starts + 6 + widths * (BLOCK // 8)
@@ -188,11 +219,16 @@ def _byte_symbols() -> dict[int, str]:
 _LAST_LATIN = "\u017f"
 _SYMBOLS = _byte_symbols()
 _LETTERS = {chr(c): chr(c).encode().decode("latin-1").translate(_SYMBOLS) for c in range(ord(_LAST_LATIN) + 1)}
-_PUNCTUATION = ".,;:!?"
+_DOUBLE = ["  ", "\n\n", " \n", "\n "]
+_id_of = attrgetter("id")
+
+
+class _DoubleSpace(Exception):
+    """A piece begins or ends with white space or has two in a row."""
 
 
 class _Pieces(dict):
-    """Ids of the pieces between spaces, worked out when first asked for.
+    """Ids of the pieces between spaces and line ends, worked out when first asked for.
 
     ``before`` is the space that belongs to every piece, or nothing. Pieces not asked for since the
     last but one call of ``age`` are forgotten.
@@ -208,7 +244,7 @@ class _Pieces(dict):
     def __missing__(self, piece: str) -> bytes:
         ids = self.older.get(piece)
         if ids is None:
-            ids = self.word(piece) if piece.isascii() and piece.isalpha() and self.encoder.bytewise else self._work_out(piece)
+            ids = self._work_out(piece)
         self[piece] = ids
         return ids
 
@@ -219,17 +255,15 @@ class _Pieces(dict):
     def word(self, word: str) -> bytes:
         """Ids of a word of Latin letters and the space before it, which is one piece."""
         symbols = word if word.isascii() else "".join(map(_LETTERS.__getitem__, word))
-        return array("I", [t.id for t in self.tokenize(self.lead + symbols)]).tobytes()
+        return array("I", map(_id_of, self.tokenize(self.lead + symbols))).tobytes()
 
     def _work_out(self, piece: str) -> bytes:
-        base = piece.rstrip(_PUNCTUATION)
-        if base.isalpha() and (base.isascii() or max(base) <= _LAST_LATIN) and self.encoder.bytewise:
-            if base == piece:
-                return self.word(piece)
-            return self[base] + self.encoder.bare[piece[len(base):]]
-        head, line_end, tail = piece.partition("\n")
-        if line_end and head:
-            return self[head] + self.encoder.line_end + (self.encoder.bare[tail] if tail else b"")
+        if self.encoder.bytewise:
+            base = piece.rstrip(self.encoder.punctuation)
+            if base.isalpha() and (base.isascii() or max(base) <= _LAST_LATIN):
+                return self.word(piece) if base == piece else self[base] + self.encoder.bare[piece[len(base):]]
+        if self.encoder.double(piece):
+            raise _DoubleSpace
         return self.encoder.plain([self.before + piece])[0]
 
 
@@ -247,11 +281,15 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.double = re.compile(r"\s\s").search
+        self.double = re.compile(r"^\s|\s\s|\s\Z").search
         self.line_end = self.plain(["\n"])[0]
         self.spaced, self.bare = _Pieces(self, " "), _Pieces(self, "")
         probes = ["word", "É", "ñandú", "straße", "x"]
         self.bytewise = all(self.plain([p.before + w])[0] == p.word(w) for w in probes for p in (self.spaced, self.bare))
+        # Signs that a word can be cut off before; those of tokens that are added as they are stay.
+        added = "".join(t.content for t in self.tokenizer.get_added_tokens_decoder().values() if not t.content.strip(string.punctuation))
+        self.punctuation = "".join(c for c in string.punctuation if c not in added and self.bytewise
+                                   and self.plain(["x" + c])[0] == self.bare.word("x") + self.plain([c])[0])
 
     def plain(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -261,11 +299,16 @@ class WordEncoder:
         if len(self.spaced) + len(self.bare) > REMEMBERED:
             self.spaced.age()
             self.bare.age()
-        if self.double(text):
-            return np.frombuffer(self.plain([text])[0], "<u4")
-        first, *words = text.split(" ")
-        head = self.bare[first] if first else b""
-        return np.frombuffer(head + b"".join(map(self.spaced.__getitem__, words)), "<u4")
+        if not any(map(text.__contains__, _DOUBLE)):
+            try:
+                return np.frombuffer(self.line_end.join(map(self._line, text.split("\n"))), "<u4")
+            except _DoubleSpace:
+                pass
+        return np.frombuffer(self.plain([text])[0], "<u4")
+
+    def _line(self, line: str) -> bytes:
+        first, *words = line.split(" ")
+        return (self.bare[first] if first else b"") + b"".join(map(self.spaced.__getitem__, words))
 
 
 @functools.lru_cache(maxsize=1)

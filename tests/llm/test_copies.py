@@ -210,6 +210,40 @@ def test_words_encode_like_whole_texts(text):
     assert encoder.encode(text).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@given(st.lists(st.sampled_from([*"ab1'éñ漢#$(|<>_- \n\t\r\x85\xa0", "word", "<|endoftext|>", "'s", "$$$", "***,"]), max_size=14))
+@settings(max_examples=300, deadline=None)
+def test_signs_after_words_encode_like_whole_texts(parts):
+    global _encoder
+    text, encoder = "".join(parts), globals().setdefault("_encoder", token_files.WordEncoder(TOKENIZER))
+    assert encoder.encode(text).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_words_are_worked_out_once(monkeypatch):
+    encoder = token_files.WordEncoder(TOKENIZER)
+    asked, worked_out, plain = [], [], encoder.plain
+    monkeypatch.setattr(encoder, "plain", lambda texts: asked.extend(texts) or plain(texts))
+    for pieces in (encoder.spaced, encoder.bare):
+        tokenize = pieces.tokenize
+        monkeypatch.setattr(pieces, "tokenize", lambda word, tokenize=tokenize: worked_out.append(word) or tokenize(word))
+    for sign in "#$%&*|":
+        for end in ("", sign, sign * 3, "," + sign):
+            assert encoder.encode(f"one longer{end}\nword{end} more").tolist() == encoder.tokenizer.encode(
+                f"one longer{end}\nword{end} more", add_special_tokens=False).ids
+    # Signs by themselves, never with the word before them, and a line is no piece of its own.
+    assert sorted(asked) == sorted(x for s in "#$%&*|" for x in (s, s * 3, "," + s))
+    assert len(worked_out) == 4 and not any("\n" in x for x in encoder.spaced)
+
+
+def test_bits_are_packed_as_their_places_say():
+    rng = np.random.default_rng(3)
+    for width in range(1, 33):
+        values = rng.integers(0, 2**32, (3, 128), dtype=np.uint64).astype(np.uint32)
+        bits = np.unpackbits(values.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :width]
+        want = np.packbits(bits.reshape(3, -1), axis=1, bitorder="little")
+        assert np.array_equal(token_files._pack_bits(values, width), want)
+        assert np.array_equal(token_files._unpack_bits(want, width), values & np.uint32((1 << width) - 1))
+
+
 def test_file_of_many_documents(tmp_path):
     rng = np.random.default_rng(1)
     docs = [(i if i % 5 else None, rng.integers(0, 50_000, int(n)).astype(np.uint32))
