@@ -539,8 +539,7 @@ def encode_categorical(spark, sf):
 @query
 def encode_all(spark, sf):
     df = v.raw_stops(spark, sf)
-    coded = encode.encode_categories(df, encode.category_codes(df, df.columns), df.columns)
-    return coded.drop(*df.columns)
+    return encode.encode_categories(df, encode.category_codes(df, df.columns), df.columns, replace=True)
 
 
 # ---------------------------------------------------------------- models

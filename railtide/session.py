@@ -5,7 +5,9 @@ from __future__ import annotations
 import functools
 import re
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -79,12 +81,46 @@ def leaves_nothing(plan):
     return run
 
 
+# Spark's setting for shuffle files to go when the query that wrote them ends, and who has it on now.
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_FREEING: dict = {"depth": 0, "before": None}
+_FREEING_LOCK = threading.Lock()
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession):
+    """Queries that run inside drop their shuffle files when they end, not when the driver happens to
+    collect its garbage. For tables that are written and read back, which need them no more."""
+    with _FREEING_LOCK:
+        if not _FREEING["depth"]:
+            _FREEING["before"] = spark.conf.get(_FREE_SHUFFLES, None)
+            spark.conf.set(_FREE_SHUFFLES, "true")
+        _FREEING["depth"] += 1
+    try:
+        yield
+    finally:
+        with _FREEING_LOCK:
+            _FREEING["depth"] -= 1
+            if not _FREEING["depth"]:
+                before = _FREEING["before"]
+                spark.conf.unset(_FREE_SHUFFLES) if before is None else spark.conf.set(_FREE_SHUFFLES, before)
+
+
 def store(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write the table to the shared folder and read it back.
 
     Cuts lineage so that a lost executor cannot change the rows, and later steps scan only the
-    columns they need instead of computing the table again.
+    columns they need instead of computing the table again. What it was shuffled by goes at once.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with shuffles_freed(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def forget(*stored: DataFrame) -> None:
+    """Remove stored tables that nothing reads any more."""
+    for df in stored:
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
