@@ -17,7 +17,7 @@ from railtide.operators import (
     asof, clean, encode, geo, journey, quality, stats, tracking,
 )
 from railtide.plans.train import prepared
-from railtide.session import scratch_path, store
+from railtide.session import scratch_path, shuffles_freed, store
 from railtide.sinks import files as sinks
 from railtide.sources import files as sources
 
@@ -40,7 +40,8 @@ def r6(df: DataFrame, *columns: str) -> DataFrame:
 @query
 def scan_csv(spark, sf):
     path = scratch_path(spark, "scan_csv")
-    v.raw_stops(spark, sf).write.option("sep", ";").option("header", True).csv(path)
+    with shuffles_freed(spark):
+        v.raw_stops(spark, sf).write.option("sep", ";").option("header", True).option("compression", "gzip").csv(path)
     return sources.read_stop_csv(spark, path, exclude=[])
 
 

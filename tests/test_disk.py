@@ -1,12 +1,15 @@
 """What jobs leave on disk while they run: shuffle files, texts and dumps that nothing needs any more."""
 
 import glob
+import os
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from plain_rows import rows
+from checks import views
+from checks.queries import QUERIES
+from plain_rows import SMALL, rows
 from railtide.operators import encode
 from railtide.session import forget, store
 
@@ -66,3 +69,13 @@ def test_codes_leave_no_shuffle_files_and_texts_go_before_the_next_join(spark):
     plan = placed._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join LeftOuter") == 1
     assert "trip#" not in plan and "line#" not in plan
+
+
+def test_dump_is_packed_and_leaves_no_shuffle_files(spark):
+    before = shuffle_files(spark)
+    found = QUERIES["scan_csv"](spark, SMALL)
+    assert left_after(spark, before) == set()
+    text = found.select(F.sum(sum(F.coalesce(F.length(c), F.lit(0)) + 1 for c in found.columns))).scalar()
+    dump = sum(os.path.getsize(f.removeprefix("file:").removeprefix("//")) for f in found.inputFiles())
+    assert dump * 2 < found.agg(text.alias("n")).first()["n"]
+    assert rows(found) == rows(views.raw_stops(spark, SMALL))
