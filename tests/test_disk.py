@@ -7,9 +7,9 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from checks import views
-from checks.queries import QUERIES
 from plain_rows import SMALL, rows
+from checks import queries, views
+from railtide.models import features as mf
 from railtide.operators import encode
 from railtide.session import forget, store
 
@@ -73,9 +73,22 @@ def test_codes_leave_no_shuffle_files_and_texts_go_before_the_next_join(spark):
 
 def test_dump_is_packed_and_leaves_no_shuffle_files(spark):
     before = shuffle_files(spark)
-    found = QUERIES["scan_csv"](spark, SMALL)
+    found = queries.QUERIES["scan_csv"](spark, SMALL)
     assert left_after(spark, before) == set()
     text = found.select(F.sum(sum(F.coalesce(F.length(c), F.lit(0)) + 1 for c in found.columns))).scalar()
     dump = sum(os.path.getsize(f.removeprefix("file:").removeprefix("//")) for f in found.inputFiles())
     assert dump * 2 < found.agg(text.alias("n")).first()["n"]
     assert rows(found) == rows(views.raw_stops(spark, SMALL))
+
+
+def test_features_store_only_what_they_are_made_from(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(views, "store", lambda df, name: stored.append(set(df.columns)) or store(df, name))
+    _, names = queries._model_table(spark, SMALL)
+    assert set(mf.COMPACT_FEATURES) == set(names)
+    assert len(stored) == 1 and not stored[0] & {"station_name", "line_text", "arr_prog", "dep_prog", "journey_id", "l_orderkey"}
+    wanted = ["row_key", "datetime", "hour", "remaining_stops", "historical_delay_pattern", "severe_weather", "dep_delay_s"]
+    some, every = views.features(spark, SMALL, wanted), views.features(spark, SMALL)
+    assert sorted(some.columns) == sorted(wanted)
+    exact = [c for c in wanted if c != "historical_delay_pattern"] + [F.round("historical_delay_pattern", 6)]
+    assert rows(some.select(*exact)) == rows(every.select(*exact))
